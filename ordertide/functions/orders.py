@@ -1,31 +1,53 @@
-"""Derived order and customer attributes, all built from native functions."""
+"""Derived order and customer attributes, all built from native functions.
+
+Order attributes are SQL expressions over the columns of a staged order, so the
+same text serves DataFrames and the stored views.
+"""
 
 from pyspark.sql import Column, functions as F
 
 from ordertide import fixed_values as V
 
+# 1 = Sunday … 7 = Saturday; ISO weeks.
+CALENDAR = {
+    "order_year": "trunc(order_date, 'year')",
+    "order_month": "trunc(order_date, 'month')",
+    "order_quarter": "trunc(order_date, 'quarter')",
+    "day_of_week": "dayofweek(order_date)",
+    "week_of_year": "weekofyear(order_date)",
+}
 
-def amount_bucket(amount: Column) -> Column:
-    """Bucket label; NULL and NaN fall through to the open-ended bucket."""
-    *bounded, (open_ended, _, _, _) = V.AMOUNT_BUCKETS
-    label = F
-    for name, below, _, _ in bounded:
-        label = label.when(amount < below, name)
-    return label.otherwise(open_ended)
+# 1 for completed orders, else 0 (also for NULL).
+COMPLETED_FLAG = f"int(status <=> '{V.COMPLETED}')"
 
 
-def bucket_bounds(label: Column) -> tuple[Column, Column]:
-    """Lowest and highest amount of a bucket; the open-ended one has no highest."""
-    low, high = F, F
-    for name, _, lowest, highest in V.AMOUNT_BUCKETS:
-        low = low.when(label == name, lowest)
-        high = high.when(label == name, F.lit(highest).cast("decimal(5,2)"))
-    return low, high
+def _bucket_of_amount() -> str:
+    steps = " ".join(
+        f"WHEN amount < {below} THEN '{name}'"
+        for name, below, _, _ in V.AMOUNT_BUCKETS if below is not None
+    )
+    return f"CASE {steps} ELSE '{V.AMOUNT_BUCKETS[-1][0]}' END"
+
+
+# NULL and NaN fall through to the open-ended bucket.
+AMOUNT_BUCKET = _bucket_of_amount()
+
+ENRICHMENT = {**CALENDAR, "amount_bucket": AMOUNT_BUCKET, "is_completed": COMPLETED_FLAG}
 
 
-def completed_flag(status: Column) -> Column:
-    """1 for completed orders, else 0 (also for NULL)."""
-    return F.when(status == V.COMPLETED, 1).otherwise(0)
+def named(expressions: dict[str, str]) -> list[str]:
+    """The expressions with their names, for selectExpr or a view."""
+    return [f"{text} AS {name}" for name, text in expressions.items()]
+
+
+def bucket_bounds(label: Column) -> tuple[Column, Column]:
+    """Lowest and highest amount of a bucket; the open-ended one has no highest."""
+    lows = [F.when(label == name, low) for name, _, low, _ in V.AMOUNT_BUCKETS]
+    highs = [
+        F.when(label == name, F.lit(high).cast("decimal(5,2)"))
+        for name, _, _, high in V.AMOUNT_BUCKETS
+    ]
+    return F.coalesce(*lows), F.coalesce(*highs)
 
 
 def customer_segment(orders: Column, value: Column) -> Column:
@@ -38,14 +60,3 @@ def customer_segment(orders: Column, value: Column) -> Column:
         .when(value >= V.VIP_MIN_VALUE, "vip")
         .otherwise("regular")
     )
-
-
-def calendar(day: Column) -> dict[str, Column]:
-    """Calendar attributes of a date: 1 = Sunday … 7 = Saturday, ISO weeks."""
-    return {
-        "order_year": F.trunc(day, "year"),
-        "order_month": F.trunc(day, "month"),
-        "order_quarter": F.trunc(day, "quarter"),
-        "day_of_week": F.dayofweek(day),
-        "week_of_year": F.weekofyear(day),
-    }

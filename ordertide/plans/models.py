@@ -23,12 +23,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
 
 def int_orders_enriched(staged: DataFrame) -> DataFrame:
     """Orders with calendar attributes, amount bucket and completed flag."""
-    return staged.select(
-        *V.ORDER_COLUMNS,
-        *[c.alias(name) for name, c in orders.calendar(F.col("order_date")).items()],
-        orders.amount_bucket(F.col("amount")).alias("amount_bucket"),
-        orders.completed_flag(F.col("status")).alias("is_completed"),
-    )
+    return staged.selectExpr(*V.ORDER_COLUMNS, *orders.named(orders.ENRICHMENT))
 
 
 def dim_customer(staged: DataFrame) -> DataFrame:
@@ -38,16 +33,15 @@ def dim_customer(staged: DataFrame) -> DataFrame:
 
 def dim_status(staged: DataFrame) -> DataFrame:
     """One row per status with its completed flag."""
-    return staged.select("status").distinct().select(
-        "status", orders.completed_flag(F.col("status")).alias("is_completed")
+    return staged.select("status").distinct().selectExpr(
+        "status", *orders.named({"is_completed": orders.COMPLETED_FLAG})
     )
 
 
 def dim_date(enriched: DataFrame) -> DataFrame:
     """One row per order date; its attributes follow from the date."""
-    return enriched.select("order_date").distinct().select(
-        "order_date",
-        *[c.alias(name) for name, c in orders.calendar(F.col("order_date")).items()],
+    return enriched.select("order_date").distinct().selectExpr(
+        "order_date", *orders.named(orders.CALENDAR)
     )
 
 

@@ -3,8 +3,7 @@
 import json
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ordertide.operators.changes import merge_changes, net_changes
 from ordertide.operators.history import scd2_apply
@@ -54,13 +53,12 @@ class Table:
     # -- reading -----------------------------------------------------------
 
     def version(self, number: int | None = None) -> Version | None:
-        """The newest version, or the one asked for; None if there is none."""
-        try:
-            log = self.spark.read.schema(LOG).json(f"{self.root}/log")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        """The newest version, or the one asked for; None if there is none.
+
+        A table not written yet gets an empty log, which is a no-op afterwards.
+        """
+        self.spark.createDataFrame([], LOG).write.mode("ignore").json(f"{self.root}/log")
+        log = self.spark.read.schema(LOG).json(f"{self.root}/log")
         if number is not None:
             log = log.filter(F.col("version") == number)
         row = log.orderBy(F.desc("version")).first()
@@ -147,18 +145,32 @@ class Table:
         if version is None:
             return self.replace(updates)
         updates = settle(updates)
-        touched = self._slices_of(updates) | self._slices_with(version, updates.select(*keys), keys)
-        return self._rewrite(version, touched, upsert(self._read(version, touched), updates, keys))
+        if self._retyped(version, updates):
+            touched = set(version.folders)
+        else:
+            touched = self._slices_with(version, updates.select(*keys), keys)
+        touched |= self._slices_of(updates)
+        rows = upsert(self._read(version, touched), updates, keys)
+        return self._rewrite(version, touched, rows)
 
-    def replace_since(self, updates: DataFrame, day: str, since) -> int:
-        """Replace all rows from the date ``since`` on."""
+    @staticmethod
+    def _retyped(version: Version, rows: DataFrame) -> bool:
+        """Whether a stored column has a new type, so that old folders need rewriting."""
+        stored = {f.name: f.dataType for f in version.schema.fields}
+        return any(stored.get(f.name, f.dataType) != f.dataType for f in rows.schema.fields)
+
+    def replace_since(self, updates: DataFrame, day: str, since: Column) -> int:
+        """Replace all rows from the day ``since`` on."""
         version = self.version()
         if version is None:
             return self.replace(updates)
-        updates, start = settle(updates), F.lit(since).cast("date")
-        later = self._read(version).filter(F.col(day) >= start)
-        touched = self._slices_of(updates) | self._slices_of(later)
-        rows = replace_window(self._read(version, touched), updates, day, start)
+        updates = settle(updates)
+        if self._retyped(version, updates):
+            touched = set(version.folders)
+        else:
+            touched = self._slices_of(self._read(version).filter(F.col(day) >= since))
+        touched |= self._slices_of(updates)
+        rows = replace_window(self._read(version, touched), updates, day, since)
         return self._rewrite(version, touched, rows)
 
     def merge(self, feed_rows: DataFrame, key: str, loaded_at,

@@ -3,7 +3,7 @@
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ordertide.operators.changes import merge_changes, net_changes
 from ordertide.operators.history import scd2_apply
@@ -57,7 +57,8 @@ class Table:
 
         A table not written yet gets an empty log, which is a no-op afterwards.
         """
-        self.spark.createDataFrame([], LOG).write.mode("ignore").json(f"{self.root}/log")
+        empty = self.spark.range(0).select(F.lit("").alias("value"))
+        empty.write.mode("ignore").text(f"{self.root}/log")
         log = self.spark.read.schema(LOG).json(f"{self.root}/log")
         if number is not None:
             log = log.filter(F.col("version") == number)
@@ -94,7 +95,7 @@ class Table:
     # -- writing -----------------------------------------------------------
 
     def replace(self, rows: DataFrame, feed: str | None = None, batch: int | None = None) -> int:
-        """Full rebuild; returns the number of rows, counted while writing."""
+        """Full rebuild; returns the number of rows stored."""
         return self._commit(rows, self.version(), {}, feed, batch)
 
     def _rewrite(self, version: Version, touched, rows: DataFrame,
@@ -106,22 +107,21 @@ class Table:
                 feed: str | None, batch: int | None) -> int:
         number = 1 if before is None else before.number + 1
         folder = f"data/v={number}"
-        written = Observation()
-        (
-            rows.observe(written, F.count(F.lit(1)).alias("rows"))
-            .withColumn("slice", F.expr(self.slice_by))
-            .hint("rebalance", "slice")
-            .write.mode("overwrite").partitionBy("slice").parquet(f"{self.root}/{folder}")
-        )
-        names = self.spark.read.schema("slice string").parquet(f"{self.root}/{folder}")
-        fresh = {r["slice"]: f"{folder}/slice={r['slice']}" for r in names.distinct().collect()}
+        rows.withColumn("slice", F.expr(self.slice_by)).hint("rebalance", "slice").write.mode(
+            "overwrite"
+        ).partitionBy("slice").parquet(f"{self.root}/{folder}")
+        # Names and row counts come from folder names and file footers.
+        written = self.spark.read.schema("slice string").parquet(f"{self.root}/{folder}")
+        counts = {r["slice"]: r["count"] for r in written.groupBy("slice").count().collect()}
         if feed is None and before is not None:
             feed, batch = before.feed, before.batch
-        entry = (number, feed, batch, rows.schema.json(), {**kept, **fresh})
-        self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("append").json(
-            f"{self.root}/log"
-        )
-        return written.get.get("rows", 0)
+        entry = json.dumps({
+            "version": number, "feed": feed, "batch": batch, "columns": rows.schema.json(),
+            "folders": {**kept, **{name: f"{folder}/slice={name}" for name in counts}},
+        })
+        line = self.spark.range(1).coalesce(1).select(F.lit(entry).alias("value"))
+        line.write.mode("append").text(f"{self.root}/log")
+        return sum(counts.values())
 
     # -- slices ------------------------------------------------------------
 

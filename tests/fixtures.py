@@ -1,0 +1,59 @@
+"""Small inputs with hand-checked results (FIXTURES.md)."""
+
+import datetime as dt
+
+from ordertide.schema import RAW_ORDERS
+
+A = [
+    (1, "C001", "2025-01-01", 120.50, "completed", "FR"),
+    (2, "C002", "2025-01-02", 80.00, "completed", "FR"),
+    (3, "C001", "2025-01-03", 40.00, "cancelled", "FR"),
+    (4, "C003", "2025-01-04", 220.00, "completed", "DE"),
+    (5, "C004", "2025-01-05", 150.00, "completed", "ES"),
+]
+
+B = [
+    (1, "A", "2025-03-01", 100.0, "completed", "FR"),
+    (2, "A", "2025-03-01", 50.0, "pending", "FR"),
+    (3, "B", "2025-03-01", 150.0, "completed", "DE"),
+    (4, "B", "2025-03-04", 0.0, "returned", "DE"),
+    (5, "B", "2025-03-05", 500.0, "completed", "DE"),
+    (6, "C", "2025-03-05", 49.995, "cancelled", "FR"),
+    (7, "D", "2025-03-05", 1200.0, "completed", "ES"),
+    (8, "D", "2025-03-05", 1300.0, "completed", "ES"),
+    (9, "E", "2025-03-06", 10.0, "completed", "FR"),
+    (10, "E", "2025-03-06", 20.0, "pending", "DE"),
+    (11, "F", "2025-03-06", None, None, "ES"),
+    (12, "G", "2025-03-07", -5.0, "completed", "IT"),
+    (None, "G", "2025-03-07", 99.0, "completed", "IT"),
+    (13, "H", "2025-03-08", 200.0, "completed", "FR"),
+    (14, "H", "2025-03-08", 200.0, "completed", "FR"),
+    (15, "H", "2025-03-09", 200.0, "pending", "FR"),
+    (16, "H", "2025-03-09", 200.0, "completed", "FR"),
+]
+
+C = [
+    (1, "C001", "2025-01-01", 120.50, "returned", "FR"),
+    (2, "C002", "2025-01-02", 90.00, "completed", "FR"),
+    (3, "C001", "2025-01-03", 40.00, "cancelled", "FR"),
+    (4, "C003", "2025-01-04", 220.00, "completed", "DE"),
+    (6, "C005", "2025-01-02", 30.00, "completed", "DE"),
+    (7, "C005", "2025-01-01", 10.00, "completed", "DE"),
+    (8, "C003", "2025-01-06", 280.00, "completed", "DE"),
+]
+
+
+def day(text):
+    return None if text is None else dt.date.fromisoformat(text)
+
+
+def raw_orders(spark, rows):
+    rows = [(i, c, day(d), a, s, n) for i, c, d, a, s, n in rows]
+    return spark.createDataFrame(rows, RAW_ORDERS)
+
+
+def as_set(df, *columns):
+    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
+    found = set(rows)
+    assert len(found) == len(rows), "repeated rows"
+    return found

@@ -1,0 +1,170 @@
+"""Incremental runs: fixture C on top of A, and the traps around the lookback."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordertide.operators import checks, upsert
+from ordertide.plans import models
+from ordertide.plans.refresh import open_tables, refresh, refresh_fact, refresh_kpi
+from ordertide.sources.tables import BY_MONTH, Table
+from tests.fixtures import A, C, as_set, day, raw_orders
+from tests.test_models import KPI, build, dated
+
+RUN = {"as_of": "2025-01-06 06:00", "loaded_at": "2025-01-06 06:00"}
+RERUN = {"as_of": "2025-01-07 06:00", "loaded_at": "2025-01-07 06:00"}
+
+
+@pytest.fixture(scope="module")
+def job(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("job"))
+    first = refresh(spark, root, raw_orders(spark, A), **RUN)
+    second = refresh(spark, root, raw_orders(spark, C), **RERUN)
+    return root, first, second, {n: t.read() for n, t in open_tables(spark, root).items()}
+
+
+def test_fact_after_second_run(job):
+    assert as_set(job[3]["fact_sales"], "order_id", "amount") == {
+        (1, 120.5), (2, 90.0), (3, 40.0), (4, 220.0), (5, 150.0), (6, 30.0), (8, 280.0)}
+    assert as_set(job[3]["fact_sales"].filter("order_id = 1"), "status") == {("completed",)}
+
+
+def test_mart_after_second_run(job):
+    columns = ["customer_id", "total_orders", "lifetime_value", "avg_order_value",
+               "first_order_date", "last_order_date", "customer_segment", "completion_rate_pct"]
+    assert as_set(job[3]["agg_customers"], *columns) == dated("2025-01-", [
+        ("C001", 2, 160.5, 80.25, 1, 3, "occasional", 50.0),
+        ("C002", 1, 90.0, 90.0, 2, 2, "one-time", 100.0),
+        ("C003", 2, 500.0, 250.0, 4, 6, "regular", 100.0),
+        ("C004", 1, 150.0, 150.0, 5, 5, "one-time", 100.0),
+        ("C005", 1, 30.0, 30.0, 2, 2, "one-time", 100.0),
+    ], 4, 5)
+
+
+def test_kpi_after_second_run(job):
+    assert as_set(job[3]["sales_daily_kpi"], *KPI) == dated("2025-01-", [
+        (1, "FR", 1, 120.5, 1, 120.5, None, None, 1, None, None),
+        (2, "DE", 1, 30.0, 1, 30.0, None, None, 2, None, None),
+        (2, "FR", 1, 90.0, 1, 210.5, 120.5, 1, 1, -25.31, 0.0),
+        (3, "FR", 1, 40.0, 0, 250.5, 90.0, 1, 1, -55.56, 0.0),
+        (4, "DE", 1, 220.0, 1, 250.0, 30.0, 1, 1, 633.33, 0.0),
+        (5, "ES", 1, 150.0, 1, 150.0, None, None, 1, None, None),
+        (6, "DE", 1, 280.0, 1, 530.0, 220.0, 1, 1, 27.27, 0.0),
+    ], 0)
+
+
+def test_checks_after_second_run(job):
+    failed = as_set(job[2].checks.filter("status <> 'pass'"), "table", "column", "check", "failing_rows")
+    # The deleted order stays in the fact; its customer and its day left the dimensions.
+    assert failed == {("fact_sales", "customer_id", "relationship", 1),
+                      ("fact_sales", "order_date", "relationship", 1)}
+    lost = checks.orphans(job[3]["fact_sales"], "customer_id", job[3]["dim_customer"], "customer_id")
+    assert as_set(lost) == {("C004",)}
+
+
+def test_first_run_passes_all_checks(job):
+    assert job[1].checks.filter("status <> 'pass'").count() == 0
+    assert job[1].checks.count() == 83
+    assert job[1].rows["orders"] == 5 and job[1].rows["fact_sales"] == 5
+
+
+def test_cdc_and_history_after_second_run(job):
+    marks = as_set(job[3]["stg_orders_cdc"], "order_id", "_cdc_action")
+    assert marks == {(1, "UPDATE"), (2, "UPDATE"), (3, "INITIAL_LOAD"), (4, "INITIAL_LOAD"),
+                     (6, "INSERT"), (7, "INSERT"), (8, "INSERT")}
+    history = job[3]["orders_snapshot"]
+    assert history.count() == 10 and history.filter("valid_to IS NULL").count() == 7
+
+
+def test_layers_serve_the_tables(spark, job):
+    names = {t.name for layer in ("raw", "staging", "marts", "snapshots")
+             for t in spark.catalog.listTables(layer)}
+    assert names >= {"orders", "stg_orders", "int_orders_enriched", "stg_orders_cdc", "fact_sales",
+                     "agg_customers", "sales_daily_kpi", "orders_snapshot", "dim_customer",
+                     "dim_date", "dim_status", "dim_amount_bucket"}
+    spark.sql("""SELECT country, sum(amount) FROM marts.fact_sales
+                 JOIN marts.dim_customer USING (customer_id) GROUP BY country""").collect()
+
+
+def test_replace_window_drops_the_vanished_day(spark, job, tmp_path):
+    now = build(spark, C)
+    fact = job[3]["fact_sales"]
+    kpi = Table(spark, str(tmp_path), BY_MONTH)
+    kpi.replace(build(spark, A)["kpi"])
+    refresh_kpi(fact, now["statuses"], now["customers"], kpi, replace_window=True)
+    days = as_set(kpi.read(), "order_date", "country")
+    # The deleted order stays in the fact, but its customer has left dim_customer.
+    assert len(days) == 6 and (day("2025-01-05"), "ES") not in days
+
+
+def test_full_refresh_repairs(spark, tmp_path):
+    fact = Table(spark, str(tmp_path), BY_MONTH)
+    refresh_fact(build(spark, A)["enriched"], fact)
+    refresh_fact(build(spark, C)["enriched"], fact, full_refresh=True)
+    assert as_set(fact.read(), "order_id") == {(i,) for i in (1, 2, 3, 4, 6, 7, 8)}
+
+
+def test_gate_stops_the_run(spark, tmp_path):
+    report = refresh(spark, str(tmp_path), raw_orders(spark, A), "2025-02-01", "2025-02-01")
+    assert report.freshness == "error" and list(report.rows) == ["orders"] and report.checks is None
+    assert open_tables(spark, str(tmp_path))["fact_sales"].version() is None
+
+
+def test_a_repeated_run_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    for _ in range(2):
+        refresh(spark, root, raw_orders(spark, A), **RUN)
+    tables = {n: t.read() for n, t in open_tables(spark, root).items()}
+    expected = build(spark, A, as_of="2025-01-06")
+    assert as_set(tables["fact_sales"]) == as_set(expected["fact"])
+    assert as_set(tables["agg_customers"]) == as_set(expected["mart"])
+    assert as_set(tables["sales_daily_kpi"]) == as_set(expected["kpi"])
+    assert tables["stg_orders_cdc"].filter("_cdc_action <> 'INITIAL_LOAD'").count() == 0
+    assert tables["orders_snapshot"].count() == 5
+
+
+def test_incremental_equals_rebuild_inside_the_lookback(spark, tmp_path):
+    root = str(tmp_path)
+    late = A + [(9, "C009", "2025-01-04", 75.0, "pending", "FR"), (10, "C001", "2025-01-06", 9.5, "completed", "FR")]
+    refresh(spark, root, raw_orders(spark, A), **RUN)
+    refresh(spark, root, raw_orders(spark, late), **RERUN)
+    expected = build(spark, late, as_of="2025-01-07")
+    tables = open_tables(spark, root)
+    assert as_set(tables["fact_sales"].read()) == as_set(expected["fact"])
+    assert as_set(tables["sales_daily_kpi"].read()) == as_set(expected["kpi"])
+    stale = ["days_since_last_order"]  # kept for customers the run did not touch
+    assert as_set(tables["agg_customers"].read().drop(*stale)) == as_set(expected["mart"].drop(*stale))
+
+
+def test_empty_target_counts_as_first_run(spark):
+    built = build(spark, A)
+    since = models.lookback_start(built["fact"].filter("1 = 0"), "order_date")
+    assert models.fact_sales(built["enriched"], since).count() == 5
+
+
+def test_upsert_replaces_by_key_and_keeps_the_rest(spark):
+    old = spark.createDataFrame([(1, None, "a"), (1, "x", "b"), (2, "y", "c")], "k int, c string, v string")
+    new = spark.createDataFrame([(1, None, "A"), (3, "z", "d")], "k int, c string, v string")
+    assert as_set(upsert.upsert(old, new, ["k", "c"])) == {
+        (1, None, "A"), (1, "x", "b"), (2, "y", "c"), (3, "z", "d")}
+
+
+def test_update_rows_that_share_a_key_are_both_kept(spark):
+    old = spark.createDataFrame([("E", "FR", 1)], "k string, c string, n int")
+    new = spark.createDataFrame([("E", "FR", 2), ("E", "DE", 2)], "k string, c string, n int")
+    assert as_set(upsert.upsert(old, new, ["k"])) == {("E", "FR", 2), ("E", "DE", 2)}
+
+
+def test_columns_follow_the_updates(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t", "date_format(order_date, 'yyyy-MM')")
+    def at(text):
+        return F.lit(text).cast("date").alias("order_date")
+    first = spark.range(4).select("id", at("2025-01-10"), F.lit("x").alias("gone"))
+    table.replace(first.unionByName(spark.range(4, 6).select("id", at("2025-02-10"), F.lit("x").alias("gone"))))
+    table.upsert(spark.range(5, 7).select("id", at("2025-02-11"), F.lit(7).alias("new")), ["id"])
+    assert as_set(table.read(), "id", "new") == {(0, None), (1, None), (2, None), (3, None), (4, None), (5, 7), (6, 7)}
+    assert "gone" not in table.read().columns
+    # January was not rewritten; a new type rewrites everything.
+    assert table.version().folders["2025-01"].startswith("data/v=1/")
+    table.upsert(spark.range(6, 7).select("id", at("2025-02-11"), F.lit("8").alias("new")), ["id"])
+    assert dict(table.read().dtypes)["new"] == "string"
+    assert as_set(table.read(), "id", "new") == {(0, None), (1, None), (2, None), (3, None), (4, None), (5, "7"), (6, "8")}

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ordertide.fixed_values import DELETE, INITIAL_LOAD, INSERT, UPDATE
 from ordertide.schema import FEED_COLUMNS
+from ordertide.sources.scratch import settle
 
 FEED = [f.name for f in FEED_COLUMNS]
 MARKS = ["_cdc_action", "_loaded_at"]
@@ -32,11 +33,15 @@ def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0) ->
         .filter(F.col("was") & F.col("now"))
         .select(key, F.lit(True).alias("paired"))
     )
-    return changed.join(updated, key, "left").select(
-        *columns,
-        F.when(F.col("was"), DELETE).otherwise(INSERT).alias("_action"),
-        F.coalesce("paired", F.lit(False)).alias("_is_update"),
-        (F.when(F.col("was"), 0).otherwise(1) + F.lit(first_seq)).cast("long").alias("_seq"),
+    # Null-safe, so that no filter on the key tells the two uses of "changed"
+    # apart and Spark shuffles the two states once for both.
+    row, event = F.col(f"c.{key}"), changed.alias("c")
+    pair = event.join(updated.alias("u"), row.eqNullSafe(F.col(f"u.{key}")), "left")
+    return pair.select(
+        *[F.col(f"c.{c}") for c in columns],
+        F.when(F.col("c.was"), DELETE).otherwise(INSERT).alias("_action"),
+        (F.col("u.paired").isNotNull() & row.isNotNull()).alias("_is_update"),
+        (F.when(F.col("c.was"), 0).otherwise(1) + F.lit(first_seq)).cast("long").alias("_seq"),
     )
 
 
@@ -83,9 +88,11 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str, loaded_at) ->
     the row's other columns; an INSERT of an absent or NULL key adds a row. All
     other events do nothing. If several events fit one key the latest counts.
 
-    Nothing here shuffles the target while the changes are small enough to be
-    broadcast; beyond that both joins are by key, with one row per key on the
-    right, so a hot key only lengthens the left side, which Spark splits.
+    The latest change of each key is settled, so its size is known: while it is
+    small enough to broadcast the target is not shuffled at all. Beyond that the
+    join is by key with one row per key on the right, and as the right side is
+    then a plain shuffle Spark splits a key that is hot in the target. Pass
+    ``changes`` settled too; they are read twice.
     """
     marks = {m.lower() for m in MARKS}
     columns = [c for c in target.columns if c.lower() not in marks]
@@ -98,9 +105,9 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str, loaded_at) ->
     fitting = changes.filter(
         (came & F.col("_is_update")) | ((F.col("_action") == DELETE) & ~F.col("_is_update"))
     ).filter(F.col(key).isNotNull())
-    latest = fitting.groupBy(key).agg(
+    latest = settle(fitting.groupBy(key).agg(
         F.max(F.struct("_seq", came.alias("came"), *rest)).alias("change")
-    )
+    ))
     hit = F.col("change").isNotNull()
     kept = target.join(latest, key, "left").filter(~hit | F.col("change.came")).select(
         key,
@@ -110,7 +117,9 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str, loaded_at) ->
     )
 
     arrivals = changes.filter(came).select(*columns)
-    present = target.select(key).join(arrivals.select(key), key, "left_semi").distinct()
+    present = target.select(key).distinct().join(
+        arrivals.select(key).distinct(), key, "left_semi"
+    )
     added = arrivals.join(present, key, "left_anti").select(
         *columns, F.lit(INSERT).alias("_cdc_action"), stamp.alias("_loaded_at")
     )

@@ -22,8 +22,9 @@ def scd2_apply(
     without such a version opens one, which covers new and returning keys.
     Columns that are not tracked never make a version. NULL keys are left out.
 
-    Versions are matched on key and tracked values by one left join against
-    distinct values and one anti join, so copies of a key are never paired.
+    Versions are matched on key and tracked values by semi and anti joins, so
+    copies of a row are never paired, and with no aggregate before a join Spark
+    can split a large group of copies. The first two joins share their shuffles.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     never = F.lit(None).cast("timestamp_ntz")
@@ -34,20 +35,12 @@ def scd2_apply(
 
     values = [key, *tracked]
     closed = history.filter(F.col("valid_to").isNotNull())
-    standing = history.filter(F.col("valid_to").isNull())
-    seen = rows.select(*values).distinct().withColumn("seen", F.lit(True))
-    reviewed = (
-        standing.alias("h")
-        .join(seen.alias("s"), _same("h", "s", key, tracked), "left")
-        .select(
-            *[F.col(f"h.{c}") for c in history.columns if c != "valid_to"],
-            F.when(F.col("s.seen").isNull(), now).alias("valid_to"),
-        )
-    )
-    opened = fresh.alias("s").join(
-        standing.select(*values).alias("h"), _same("s", "h", key, tracked), "left_anti"
-    )
-    return closed.unionByName(reviewed).unionByName(opened).select(*history.columns)
+    standing = history.filter(F.col("valid_to").isNull() & F.col(key).isNotNull())
+    seen, match = rows.select(*values).alias("s"), _same("h", "s", key, tracked)
+    kept = standing.alias("h").join(seen, match, "left_semi")
+    ended = standing.alias("h").join(seen, match, "left_anti").withColumn("valid_to", now)
+    opened = fresh.alias("s").join(standing.select(*values).alias("h"), match, "left_anti")
+    return reduce(DataFrame.unionByName, [closed, kept, ended, opened]).select(*history.columns)
 
 
 def state_at(history: DataFrame, moment) -> DataFrame:

@@ -16,10 +16,12 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 
     The result has the columns of ``updates``. Keys compare null-safe, so the
     group of a NULL key is stored once. The anti join emits each target row at
-    most once whatever the number of copies of a key.
+    most once whatever the number of copies of a key; both its sides are plain
+    shuffles, with no aggregate between, so Spark can split a hot key.
     """
-    replaced = updates.select(*keys).distinct()
-    kept = target.alias("t").join(replaced.alias("u"), same_key("t", "u", keys), "left_anti")
+    kept = target.alias("t").join(
+        updates.select(*keys).alias("u"), same_key("t", "u", keys), "left_anti"
+    )
     return sync_columns(kept, updates).unionByName(updates)
 
 

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide import fixed_values as V
 from ordertide.functions import orders
@@ -70,29 +70,41 @@ def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
     return merged.merge(feed, KEY, loaded_at, feed="raw", batch=current.number)
 
 
-def refresh_fact(enriched: DataFrame, fact: Table, full_refresh: bool = False) -> int:
-    """Rebuild the fact table, or upsert the orders inside the lookback."""
-    if full_refresh or fact.version() is None:
+def lookback_day(target: Table, column: str):
+    """First day an incremental run looks at; None for an empty table."""
+    newest = F.date_sub(F.max(column), V.LOOKBACK_DAYS)
+    rows = target.read_newest() if target.slice_by == BY_MONTH else target.read()
+    return rows.agg(newest).first()[0]
+
+
+def refresh_fact(raw: Table, fact: Table, full_refresh: bool = False) -> int:
+    """Rebuild the fact table, or upsert the orders inside the lookback.
+
+    The lookback is a plain date, so older months of raw orders are not read.
+    """
+    day = None if full_refresh or fact.version() is None else lookback_day(fact, "order_date")
+    rows = raw.read() if day is None else raw.read_from(day)
+    enriched = models.int_orders_enriched(models.stg_orders(rows))
+    if day is None:
         return fact.replace(models.fact_sales(enriched))
-    since = models.lookback_start(fact.read(), "order_date")
-    return fact.upsert(models.fact_sales(enriched, since), [KEY])
+    return fact.upsert(models.fact_sales(enriched, F.lit(day)), [KEY])
 
 
 def refresh_customers(
-    fact: DataFrame, statuses: DataFrame, customers: DataFrame, mart: Table,
+    fact: Table, statuses: DataFrame, customers: DataFrame, mart: Table,
     as_of=None, full_refresh: bool = False,
 ) -> int:
     """Rebuild the customer mart, or upsert the customers active inside the lookback."""
-    if full_refresh or mart.version() is None:
-        return mart.replace(models.agg_customers(fact, statuses, customers, as_of))
-    since = models.lookback_start(mart.read(), "last_order_date")
-    only = settle(models.active_customers(fact, since))
-    rows = models.agg_customers(fact, statuses, customers, as_of, only)
+    day = None if full_refresh or mart.version() is None else lookback_day(mart, "last_order_date")
+    if day is None:
+        return mart.replace(models.agg_customers(fact.read(), statuses, customers, as_of))
+    only = settle(models.active_customers(fact.read_from(day), F.lit(day)))
+    rows = models.agg_customers(fact.read(), statuses, customers, as_of, only)
     return mart.upsert(rows, ["customer_id"])
 
 
 def refresh_kpi(
-    fact: DataFrame, statuses: DataFrame, customers: DataFrame, kpi: Table,
+    fact: Table, statuses: DataFrame, customers: DataFrame, kpi: Table,
     full_refresh: bool = False, replace_window: bool = False,
 ) -> int:
     """Rebuild the daily figures, or compute and store those inside the lookback.
@@ -100,13 +112,13 @@ def refresh_kpi(
     ``replace_window`` also removes stored days and countries of the lookback
     that no longer occur; an upsert leaves them.
     """
-    if full_refresh or kpi.version() is None:
-        daily = models.daily_sales(fact, statuses, customers)
+    day = None if full_refresh or kpi.version() is None else lookback_day(kpi, "order_date")
+    if day is None:
+        daily = models.daily_sales(fact.read(), statuses, customers)
         return kpi.replace(models.sales_daily_kpi(daily))
-    stored = kpi.read()
-    since = models.lookback_start(stored, "order_date")
-    daily = models.daily_sales(fact, statuses, customers, since)
-    rows = models.sales_daily_kpi(daily, stored, since)
+    since = F.lit(day)
+    daily = models.daily_sales(fact.read_from(day), statuses, customers, since)
+    rows = models.sales_daily_kpi(daily, kpi.read(), since)
     if replace_window:
         return kpi.replace_since(rows, "order_date", since)
     return kpi.upsert(rows, ["order_date", "country"])
@@ -151,11 +163,12 @@ def refresh(
         }.items()
     }
     statuses, customers = built["dim_status"], built["dim_customer"]
-    fact = store("fact_sales", refresh_fact(enriched, tables["fact_sales"], full_refresh))
+    fact = store("fact_sales", refresh_fact(
+        tables["orders"], tables["fact_sales"], full_refresh))
     mart = store("agg_customers", refresh_customers(
-        fact, statuses, customers, tables["agg_customers"], as_of, full_refresh))
+        tables["fact_sales"], statuses, customers, tables["agg_customers"], as_of, full_refresh))
     kpi = store("sales_daily_kpi", refresh_kpi(
-        fact, statuses, customers, tables["sales_daily_kpi"], full_refresh, replace_window))
+        tables["fact_sales"], statuses, customers, tables["sales_daily_kpi"], full_refresh, replace_window))
     report.checks = run_checks({
         "stg_orders": staged, "stg_orders_cdc": cdc, "int_orders_enriched": enriched,
         **built, "fact_sales": fact, "agg_customers": mart, "sales_daily_kpi": kpi,

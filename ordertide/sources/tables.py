@@ -2,12 +2,13 @@
 
 import json
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ordertide.operators.changes import merge_changes, net_changes
 from ordertide.operators.history import scd2_apply
-from ordertide.operators.upsert import replace_window, sync_columns, upsert
+from ordertide.operators.upsert import replace_window, same_key, sync_columns, upsert
 from ordertide.sources.scratch import settle
 
 LOG = "version long, feed string, batch long, columns string, folders map<string,string>"
@@ -24,6 +25,10 @@ def create_layers(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
 
+def _is_month(name: str) -> bool:
+    return len(name) == 7 and name[:4].isdigit()
+
+
 @dataclass(frozen=True)
 class Version:
     """A committed version: which folder holds each slice, and the last feed batch in it."""
@@ -82,6 +87,23 @@ class Table:
             return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*paths)
 
+    def read_from(self, day: date) -> DataFrame:
+        """The rows of all months that can hold ``day`` or a later one.
+
+        For a table cut BY_MONTH; folders of earlier months are not even listed.
+        """
+        version = self.version()
+        first = f"{day:%Y-%m}".zfill(7)
+        return self._read(version, [s for s in version.folders if not _is_month(s) or s >= first])
+
+    def read_newest(self) -> DataFrame:
+        """Rows that include the newest day of a table cut BY_MONTH."""
+        version = self.version()
+        names = list(version.folders)
+        if "none" in names:
+            names.remove("none")
+        return self._read(version, [max(names)] if names and all(map(_is_month, names)) else None)
+
     def publish(self, layer: str, name: str) -> None:
         """Point the view ``layer.name`` at the newest version."""
         version = self.version()
@@ -128,14 +150,23 @@ class Table:
     def _slices_of(self, rows: DataFrame) -> set[str]:
         return {r[0] for r in rows.select(F.expr(self.slice_by)).distinct().collect()}
 
-    def _slices_with(self, version: Version, keys: DataFrame, names: list[str]) -> set[str]:
-        """Slices that hold one of the keys: reads the key and slice columns only."""
-        here, there = self._read(version).alias("t"), keys.alias("k")
-        same = None
-        for n in names:
-            test = F.col(f"t.{n}").eqNullSafe(F.col(f"k.{n}"))
-            same = test if same is None else same & test
-        return self._slices_of(here.join(there, same, "left_semi"))
+    def _slices_with(self, version: Version, keys: DataFrame) -> set[str]:
+        """Slices that hold one of the keys: reads the key and slice columns only.
+
+        The range of the keys goes into the scan first, which skips most files
+        where keys grow with time; the semi join then decides exactly.
+        """
+        if len(version.folders) < 2:
+            return set(version.folders)
+        rows = self._read(version)
+        ends = keys.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys.columns
+                          for f in (F.min, F.max)]).first()
+        for k in keys.columns:
+            if ends[f"min_{k}"] is not None:
+                inside = F.col(k).between(ends[f"min_{k}"], ends[f"max_{k}"])
+                rows = rows.filter(inside | F.col(k).isNull())
+        match = same_key("t", "k", keys.columns)
+        return self._slices_of(rows.alias("t").join(keys.alias("k"), match, "left_semi"))
 
     # -- maintenance -------------------------------------------------------
 
@@ -148,7 +179,7 @@ class Table:
         if self._retyped(version, updates):
             touched = set(version.folders)
         else:
-            touched = self._slices_with(version, updates.select(*keys), keys)
+            touched = self._slices_with(version, updates.select(*keys))
         touched |= self._slices_of(updates)
         rows = upsert(self._read(version, touched), updates, keys)
         return self._rewrite(version, touched, rows)
@@ -183,7 +214,7 @@ class Table:
             return 0
         changes = settle(net_changes(feed_rows, key))
         touched = self._slices_of(changes.filter("_action = 'INSERT'"))
-        touched |= self._slices_with(version, changes.select(key), [key])
+        touched |= self._slices_with(version, changes.select(key))
         rows = merge_changes(self._read(version, touched), changes, key, loaded_at)
         return self._rewrite(version, touched, rows, feed, batch)
 

@@ -87,7 +87,7 @@ def test_layers_serve_the_tables(spark, job):
 
 def test_replace_window_drops_the_vanished_day(spark, job, tmp_path):
     now = build(spark, C)
-    fact = job[3]["fact_sales"]
+    fact = open_tables(spark, job[0])["fact_sales"]
     kpi = Table(spark, str(tmp_path), BY_MONTH)
     kpi.replace(build(spark, A)["kpi"])
     refresh_kpi(fact, now["statuses"], now["customers"], kpi, replace_window=True)
@@ -97,9 +97,11 @@ def test_replace_window_drops_the_vanished_day(spark, job, tmp_path):
 
 
 def test_full_refresh_repairs(spark, tmp_path):
-    fact = Table(spark, str(tmp_path), BY_MONTH)
-    refresh_fact(build(spark, A)["enriched"], fact)
-    refresh_fact(build(spark, C)["enriched"], fact, full_refresh=True)
+    raw, fact = (Table(spark, f"{tmp_path}/{n}", BY_MONTH) for n in ("raw", "fact"))
+    raw.replace(raw_orders(spark, A))
+    refresh_fact(raw, fact)
+    raw.replace(raw_orders(spark, C))
+    refresh_fact(raw, fact, full_refresh=True)
     assert as_set(fact.read(), "order_id") == {(i,) for i in (1, 2, 3, 4, 6, 7, 8)}
 
 

@@ -88,11 +88,11 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str, loaded_at) ->
     the row's other columns; an INSERT of an absent or NULL key adds a row. All
     other events do nothing. If several events fit one key the latest counts.
 
-    The latest change of each key is settled, so its size is known: while it is
-    small enough to broadcast the target is not shuffled at all. Beyond that the
-    join is by key with one row per key on the right, and as the right side is
-    then a plain shuffle Spark splits a key that is hot in the target. Pass
-    ``changes`` settled too; they are read twice.
+    The latest change of each key, and the keys already there, are settled, so
+    their size is known: while they are small enough to broadcast the target is
+    not shuffled at all. Beyond that the joins are by key with one row per key
+    on the right, and as the right is then a plain shuffle Spark splits a key
+    that is hot on the left. Pass ``changes`` settled too; they are read twice.
     """
     marks = {m.lower() for m in MARKS}
     columns = [c for c in target.columns if c.lower() not in marks]
@@ -117,9 +117,9 @@ def merge_changes(target: DataFrame, changes: DataFrame, key: str, loaded_at) ->
     )
 
     arrivals = changes.filter(came).select(*columns)
-    present = target.select(key).distinct().join(
+    present = settle(target.select(key).distinct().join(
         arrivals.select(key).distinct(), key, "left_semi"
-    )
+    ))
     added = arrivals.join(present, key, "left_anti").select(
         *columns, F.lit(INSERT).alias("_cdc_action"), stamp.alias("_loaded_at")
     )

@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ordertide.sources.scratch import settle
+
 VALIDITY = ["valid_from", "valid_to"]
 
 
@@ -22,9 +24,11 @@ def scd2_apply(
     without such a version opens one, which covers new and returning keys.
     Columns that are not tracked never make a version. NULL keys are left out.
 
-    Versions are matched on key and tracked values by semi and anti joins, so
-    copies of a row are never paired, and with no aggregate before a join Spark
-    can split a large group of copies. The first two joins share their shuffles.
+    One aggregate over keys and tracked values of both sides finds the groups
+    that ended and the groups that are new; it combines copies before its
+    shuffle. These groups are few in a daily run and are settled, so Spark
+    broadcasts them while small and whole rows are not shuffled at all; beyond
+    that each join has one row per group on its right and a splittable left.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     never = F.lit(None).cast("timestamp_ntz")
@@ -35,12 +39,23 @@ def scd2_apply(
 
     values = [key, *tracked]
     closed = history.filter(F.col("valid_to").isNotNull())
-    standing = history.filter(F.col("valid_to").isNull() & F.col(key).isNotNull())
-    seen, match = rows.select(*values).alias("s"), _same("h", "s", key, tracked)
-    kept = standing.alias("h").join(seen, match, "left_semi")
-    ended = standing.alias("h").join(seen, match, "left_anti").withColumn("valid_to", now)
-    opened = fresh.alias("s").join(standing.select(*values).alias("h"), match, "left_anti")
-    return reduce(DataFrame.unionByName, [closed, kept, ended, opened]).select(*history.columns)
+    standing = history.filter(F.col("valid_to").isNull())
+    sides = standing.select(*values, F.lit(True).alias("was"), F.lit(False).alias("is")).unionByName(
+        rows.select(*values, F.lit(False).alias("was"), F.lit(True).alias("is"))
+    )
+    groups = sides.groupBy(*values).agg(F.max("was").alias("was"), F.max("is").alias("is"))
+    changed = settle(groups.filter(F.col("was") != F.col("is")))
+    match = _same("r", "g", key, tracked)
+    reviewed = (
+        standing.alias("r")
+        .join(changed.filter("was").alias("g"), match, "left")
+        .select(
+            *[F.col(f"r.{c}") for c in history.columns if c != "valid_to"],
+            F.when(F.col("g.was"), now).alias("valid_to"),
+        )
+    )
+    opened = fresh.alias("r").join(changed.filter("is").alias("g"), match, "left_semi")
+    return closed.unionByName(reviewed).unionByName(opened).select(*history.columns)
 
 
 def state_at(history: DataFrame, moment) -> DataFrame:

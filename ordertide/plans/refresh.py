@@ -10,6 +10,7 @@ from ordertide.operators.changes import change_feed, initial_load
 from ordertide.operators.checks import freshness
 from ordertide.plans import models
 from ordertide.plans.check_list import run_checks
+from ordertide.schema import RAW_ORDERS
 from ordertide.sources.scratch import settle
 from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, Table, create_layers
 
@@ -48,6 +49,14 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, Table]:
     }
 
 
+def create_raw(spark: SparkSession, raw: Table) -> None:
+    """The layers and, if missing, an empty raw.orders with its declared columns."""
+    create_layers(spark)
+    if raw.version() is None:
+        raw.replace(spark.createDataFrame([], RAW_ORDERS))
+    raw.publish("raw", "orders")
+
+
 def create_views(spark: SparkSession) -> None:
     """The staging views; they hold no rows and follow raw.orders."""
     columns = ", ".join(V.ORDER_COLUMNS)
@@ -134,7 +143,7 @@ def refresh(
     the load stamp. A run that broke off can be run again.
     """
     report, tables = Report(), open_tables(spark, root)
-    create_layers(spark)
+    create_raw(spark, tables["orders"])
 
     def store(name: str, rows: int) -> DataFrame:
         report.rows[name] = rows

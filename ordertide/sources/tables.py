@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ordertide.operators.changes import merge_changes, net_changes
 from ordertide.operators.history import scd2_apply
-from ordertide.operators.upsert import replace_window, same_key, sync_columns, upsert
+from ordertide.operators.upsert import replace_window, same_key, upsert
 from ordertide.sources.scratch import settle
 
 LOG = "version long, feed string, batch long, columns string, folders map<string,string>"
@@ -107,12 +107,17 @@ class Table:
     def publish(self, layer: str, name: str) -> None:
         """Point the view ``layer.name`` at the newest version."""
         version = self.version()
-        folders = ",".join(sorted(version.folders.values()))
-        columns = ", ".join(f"`{c}`" for c in version.schema.names)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {layer}.{name} AS "
-            f"SELECT {columns} FROM parquet.`{self.root}/{{{folders}}}`"
-        )
+        if version.folders:
+            columns = ", ".join(f"`{c}`" for c in version.schema.names)
+            folders = ",".join(sorted(version.folders.values()))
+            rows = f"SELECT {columns} FROM parquet.`{self.root}/{{{folders}}}`"
+        else:
+            columns = ", ".join(
+                f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in version.schema.fields
+            )
+            rows = f"SELECT {columns} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {rows}")
 
     # -- writing -----------------------------------------------------------
 
@@ -176,7 +181,7 @@ class Table:
         if version is None:
             return self.replace(updates)
         updates = settle(updates)
-        if self._retyped(version, updates):
+        if self._reshaped(version, updates):
             touched = set(version.folders)
         else:
             touched = self._slices_with(version, updates.select(*keys))
@@ -185,10 +190,11 @@ class Table:
         return self._rewrite(version, touched, rows)
 
     @staticmethod
-    def _retyped(version: Version, rows: DataFrame) -> bool:
-        """Whether a stored column has a new type, so that old folders need rewriting."""
-        stored = {f.name: f.dataType for f in version.schema.fields}
-        return any(stored.get(f.name, f.dataType) != f.dataType for f in rows.schema.fields)
+    def _reshaped(version: Version, rows: DataFrame) -> bool:
+        """Whether columns or types differ from the stored ones, so all slices change."""
+        return sorted(version.schema.names) != sorted(rows.columns) or any(
+            version.schema[f.name].dataType != f.dataType for f in rows.schema.fields
+        )
 
     def replace_since(self, updates: DataFrame, day: str, since: Column) -> int:
         """Replace all rows from the day ``since`` on."""
@@ -196,7 +202,7 @@ class Table:
         if version is None:
             return self.replace(updates)
         updates = settle(updates)
-        if self._retyped(version, updates):
+        if self._reshaped(version, updates):
             touched = set(version.folders)
         else:
             touched = self._slices_of(self._read(version).filter(F.col(day) >= since))
@@ -227,7 +233,3 @@ class Table:
         touched = self._slices_of(moment) | {"open"}
         rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of)
         return self._rewrite(version, touched, rows)
-
-    def sync(self, like: DataFrame) -> DataFrame:
-        """The stored rows in the columns of ``like``."""
-        return sync_columns(self.read(), like)

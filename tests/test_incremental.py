@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ordertide.operators import checks, upsert
 from ordertide.plans import models
-from ordertide.plans.refresh import open_tables, refresh, refresh_fact, refresh_kpi
+from ordertide.plans.refresh import create_raw, open_tables, refresh, refresh_fact, refresh_kpi
+from ordertide.schema import RAW_ORDERS
 from ordertide.sources.tables import BY_MONTH, Table
 from tests.fixtures import A, C, as_set, day, raw_orders
 from tests.test_models import KPI, build, dated
@@ -105,6 +106,16 @@ def test_full_refresh_repairs(spark, tmp_path):
     assert as_set(fact.read(), "order_id") == {(i,) for i in (1, 2, 3, 4, 6, 7, 8)}
 
 
+def test_raw_table_is_created_once(spark, tmp_path):
+    raw = open_tables(spark, str(tmp_path))["orders"]
+    create_raw(spark, raw)
+    assert spark.table("raw.orders").schema.simpleString() == RAW_ORDERS.simpleString()
+    assert spark.table("raw.orders").count() == 0
+    raw.replace(raw_orders(spark, A))
+    create_raw(spark, raw)
+    assert spark.table("raw.orders").count() == 5
+
+
 def test_gate_stops_the_run(spark, tmp_path):
     report = refresh(spark, str(tmp_path), raw_orders(spark, A), "2025-02-01", "2025-02-01")
     assert report.freshness == "error" and list(report.rows) == ["orders"] and report.checks is None
@@ -165,8 +176,8 @@ def test_columns_follow_the_updates(spark, tmp_path):
     table.upsert(spark.range(5, 7).select("id", at("2025-02-11"), F.lit(7).alias("new")), ["id"])
     assert as_set(table.read(), "id", "new") == {(0, None), (1, None), (2, None), (3, None), (4, None), (5, 7), (6, 7)}
     assert "gone" not in table.read().columns
-    # January was not rewritten; a new type rewrites everything.
-    assert table.version().folders["2025-01"].startswith("data/v=1/")
+    # New columns or types rewrite every slice, so that all files have one schema.
+    assert table.version().folders["2025-01"].startswith("data/v=2/")
     table.upsert(spark.range(6, 7).select("id", at("2025-02-11"), F.lit("8").alias("new")), ["id"])
     assert dict(table.read().dtypes)["new"] == "string"
     assert as_set(table.read(), "id", "new") == {(0, None), (1, None), (2, None), (3, None), (4, None), (5, "7"), (6, "8")}

@@ -12,8 +12,13 @@ def money_sum(amount: Column) -> Column:
 
 
 def money_avg(amount: Column) -> Column:
-    """Exact sum over the count of non-NULL amounts; NULL when there is none."""
-    return money_sum(amount).cast("double") / F.nullif(F.count(amount), F.lit(0))
+    """Exact sum over the count of non-NULL amounts; NULL when there is none.
+
+    Guarded by ``when``: ``nullif`` inside an aggregate keeps Spark from moving
+    a semi join below it.
+    """
+    count = F.count(amount)
+    return money_sum(amount).cast("double") / F.when(count > 0, count)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -104,6 +104,13 @@ def _result(table: str, column: str, check: str, failing: DataFrame) -> DataFram
     )
 
 
+def _counted(table: str, column: str, check: str, failing: int, tables) -> DataFrame:
+    return tables[table].sparkSession.range(1).select(
+        F.lit(table).alias("table"), F.lit(column).alias("column"),
+        F.lit(check).alias("check"), F.lit(failing).cast("long").alias("failing_rows"),
+    )
+
+
 def _row_results(table: str, df: DataFrame) -> DataFrame:
     found = row_checks(table)
     counts = df.agg(*[F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(found)])
@@ -115,19 +122,25 @@ def _row_results(table: str, df: DataFrame) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
-def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
+def run_checks(
+    tables: dict[str, DataFrame], repeats: dict[tuple[str, str], int] | None = None
+) -> DataFrame:
     """One row per check over built tables.
 
+    ``repeats`` holds the repeated values of (table, column) already counted.
+
     The row checks of a table share one pass; uniqueness, foreign keys and the
     cross-table rules each add one aggregate on their own key. Pass tables that
     are stored (or settled), as each check reads its table again.
     """
     results = [_row_results(name, df) for name, df in tables.items()]
+    repeats = repeats or {}
     for name, columns in UNIQUE.items():
         results += [
             _result(name, c, "unique", Q.duplicates(tables[name], c))
-            for c in columns if name in tables
+            for c in columns if name in tables and (name, c) not in repeats
         ]
+    results += [_counted(*place, "unique", found, tables) for place, found in repeats.items()]
     for name, kinds in TYPES.items():
         results.append(Q.column_types(tables[name], kinds).select(
             F.lit(name).alias("table"), F.col("column_name").alias("column"),

@@ -62,6 +62,11 @@ def fact_sales(enriched: DataFrame, since: Column | None = None) -> DataFrame:
     )
 
 
+def order_count(unique_orders: bool) -> Column:
+    """Distinct orders; a plain count says the same where order ids are known unique."""
+    return F.count("order_id") if unique_orders else F.count_distinct("order_id")
+
+
 def active_customers(fact: DataFrame, since: Column) -> DataFrame:
     """Customers with an order from ``since`` on."""
     return fact.filter(F.col("order_date") >= since).select("customer_id").distinct()
@@ -69,7 +74,7 @@ def active_customers(fact: DataFrame, since: Column) -> DataFrame:
 
 def agg_customers(
     fact: DataFrame, statuses: DataFrame, customers: DataFrame,
-    as_of=None, only: DataFrame | None = None,
+    as_of=None, only: DataFrame | None = None, unique_orders: bool = False,
 ) -> DataFrame:
     """Lifetime value, recency, segment and completion per customer.
 
@@ -77,7 +82,9 @@ def agg_customers(
     semi join stands after the aggregate: Spark moves it below by itself when
     ``only`` is small enough to broadcast, and otherwise joins one row per
     customer instead of shuffling orders by a customer who may own a third of
-    them. The distinct count spreads each customer over (customer, order).
+    them. The distinct count spreads each customer over (customer, order) in a
+    shuffle of its own; with ``unique_orders`` orders are summed up before the
+    only shuffle.
     """
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     amount, done = F.col("amount"), F.sum("is_completed")
@@ -86,7 +93,7 @@ def agg_customers(
         .join(statuses, "status")
         .groupBy("customer_id")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            order_count(unique_orders).alias("total_orders"),
             numbers.money_sum(amount).cast("double").alias("lifetime_value"),
             numbers.money_avg(amount).alias("avg_order_value"),
             F.min("order_date").alias("first_order_date"),
@@ -114,13 +121,16 @@ DAILY = ["order_date", "country", "total_orders", "revenue", "avg_order_value",
 
 
 def daily_sales(
-    fact: DataFrame, statuses: DataFrame, customers: DataFrame, since: Column | None = None
+    fact: DataFrame, statuses: DataFrame, customers: DataFrame, since: Column | None = None,
+    unique_orders: bool = False,
 ) -> DataFrame:
     """Orders, revenue and completions per day and country, from ``since`` on if given.
 
     Status is a few rows and is broadcast once its size is known. Customers are
     joined by shuffle; a customer with very many orders is split by Spark's
-    skew join, since the aggregate above shuffles anew on (day, country, order).
+    skew join, since the aggregate above shuffles anew: on (day, country, order)
+    for the distinct count, or with ``unique_orders`` one row per task, day and
+    country.
     """
     if since is not None:
         fact = fact.filter(F.col("order_date") >= since)
@@ -130,7 +140,7 @@ def daily_sales(
         .join(customers, "customer_id")
         .groupBy("order_date", "country")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            order_count(unique_orders).alias("total_orders"),
             numbers.money_sum(amount).cast("double").alias("revenue"),
             numbers.money_avg(amount).alias("avg_order_value"),
             F.sum("is_completed").alias("completed_orders"),

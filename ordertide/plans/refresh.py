@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ordertide import fixed_values as V
 from ordertide.functions import orders
 from ordertide.operators.changes import change_feed, initial_load
-from ordertide.operators.checks import freshness
+from ordertide.operators.checks import duplicates, freshness
 from ordertide.plans import models
 from ordertide.plans.check_list import run_checks
 from ordertide.schema import RAW_ORDERS
@@ -101,20 +101,23 @@ def refresh_fact(raw: Table, fact: Table, full_refresh: bool = False) -> int:
 
 def refresh_customers(
     fact: Table, statuses: DataFrame, customers: DataFrame, mart: Table,
-    as_of=None, full_refresh: bool = False,
+    as_of=None, full_refresh: bool = False, unique_orders: bool = False,
 ) -> int:
     """Rebuild the customer mart, or upsert the customers active inside the lookback."""
     day = None if full_refresh or mart.version() is None else lookback_day(mart, "last_order_date")
     if day is None:
-        return mart.replace(models.agg_customers(fact.read(), statuses, customers, as_of))
-    only = settle(models.active_customers(fact.read_from(day), F.lit(day)))
-    rows = models.agg_customers(fact.read(), statuses, customers, as_of, only)
+        only = None
+    else:
+        only = settle(models.active_customers(fact.read_from(day), F.lit(day)))
+    rows = models.agg_customers(fact.read(), statuses, customers, as_of, only, unique_orders)
+    if day is None:
+        return mart.replace(rows)
     return mart.upsert(rows, ["customer_id"])
 
 
 def refresh_kpi(
     fact: Table, statuses: DataFrame, customers: DataFrame, kpi: Table,
-    full_refresh: bool = False, replace_window: bool = False,
+    full_refresh: bool = False, replace_window: bool = False, unique_orders: bool = False,
 ) -> int:
     """Rebuild the daily figures, or compute and store those inside the lookback.
 
@@ -123,10 +126,11 @@ def refresh_kpi(
     """
     day = None if full_refresh or kpi.version() is None else lookback_day(kpi, "order_date")
     if day is None:
-        daily = models.daily_sales(fact.read(), statuses, customers)
+        daily = models.daily_sales(
+            fact.read(), statuses, customers, unique_orders=unique_orders)
         return kpi.replace(models.sales_daily_kpi(daily))
     since = F.lit(day)
-    daily = models.daily_sales(fact.read_from(day), statuses, customers, since)
+    daily = models.daily_sales(fact.read_from(day), statuses, customers, since, unique_orders)
     rows = models.sales_daily_kpi(daily, kpi.read(), since)
     if replace_window:
         return kpi.replace_since(rows, "order_date", since)
@@ -174,12 +178,16 @@ def refresh(
     statuses, customers = built["dim_status"], built["dim_customer"]
     fact = store("fact_sales", refresh_fact(
         tables["orders"], tables["fact_sales"], full_refresh))
+    # This check comes first: where it finds none, the marts need no distinct count.
+    repeated = duplicates(fact, KEY).count()
+    star = (tables["fact_sales"], statuses, customers)
     mart = store("agg_customers", refresh_customers(
-        tables["fact_sales"], statuses, customers, tables["agg_customers"], as_of, full_refresh))
+        *star, tables["agg_customers"], as_of, full_refresh, unique_orders=repeated == 0))
     kpi = store("sales_daily_kpi", refresh_kpi(
-        tables["fact_sales"], statuses, customers, tables["sales_daily_kpi"], full_refresh, replace_window))
+        *star, tables["sales_daily_kpi"], full_refresh, replace_window,
+        unique_orders=repeated == 0))
     report.checks = run_checks({
         "stg_orders": staged, "stg_orders_cdc": cdc, "int_orders_enriched": enriched,
         **built, "fact_sales": fact, "agg_customers": mart, "sales_daily_kpi": kpi,
-    })
+    }, repeats={("fact_sales", KEY): repeated})
     return report

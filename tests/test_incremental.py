@@ -122,6 +122,18 @@ def test_gate_stops_the_run(spark, tmp_path):
     assert open_tables(spark, str(tmp_path))["fact_sales"].version() is None
 
 
+def test_job_counts_a_repeated_order_once(spark, tmp_path):
+    rows = A + [(5, "C004", "2025-01-05", 50.0, "completed", "ES")]
+    report = refresh(spark, str(tmp_path), raw_orders(spark, rows), **RUN)
+    expected = build(spark, rows, as_of="2025-01-06")
+    tables = open_tables(spark, str(tmp_path))
+    assert as_set(tables["agg_customers"].read()) == as_set(expected["mart"])
+    assert as_set(tables["sales_daily_kpi"].read()) == as_set(expected["kpi"])
+    failed = as_set(report.checks.filter("status <> 'pass'"), "table", "check", "failing_rows")
+    # Two completed lines of one order also make a completion rate of 200 %.
+    assert ("fact_sales", "unique", 1) in failed and {c[1] for c in failed} == {"unique", "between"}
+
+
 def test_a_repeated_run_changes_nothing(spark, tmp_path):
     root = str(tmp_path)
     for _ in range(2):

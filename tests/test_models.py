@@ -150,6 +150,15 @@ def test_repeated_order_id_counts_once_and_its_amounts_add_up(spark):
     assert as_set(built["kpi"], "total_orders", "revenue") == {(1, 15.0)}
 
 
+@pytest.mark.parametrize("rows", [A, B])
+def test_plain_count_is_the_distinct_count_of_unique_orders(spark, rows):
+    b = build(spark, rows)
+    star = b["fact"], b["statuses"], b["customers"]
+    assert as_set(models.agg_customers(*star, "2025-04-01", unique_orders=True)) == as_set(b["mart"])
+    daily = models.daily_sales(*star, unique_orders=True)
+    assert as_set(models.sales_daily_kpi(daily)) == as_set(b["kpi"])
+
+
 def test_sums_do_not_depend_on_row_order(spark):
     amounts = [0.1, 0.2, 0.3, 1e9, -1e9, 49.99] * 200
     rows = [(i, "X", "2025-01-01", a, "completed", "FR") for i, a in enumerate(amounts)]

@@ -78,17 +78,22 @@ def _star(spark: SparkSession, folder: str) -> Star:
     return Star(star_orders(spark, folder))
 
 
+def _stored(spark: SparkSession, folder: str) -> Star:
+    """The same over raw orders written once, for queries that read them several times."""
+    return Star(settle(star_orders(spark, folder)))
+
+
 def _before(raw: DataFrame, day: str) -> Star:
     return Star(raw.filter(F.col("order_date") < F.lit(day).cast("date")))
 
 
 def _two_days(spark: SparkSession, folder: str) -> tuple[Star, Star]:
-    raw = star_orders(spark, folder)
-    return _before(raw, "2001-07-20"), Star(raw)
+    new = _stored(spark, folder)
+    return _before(new.raw, "2001-07-20"), new
 
 
 def _two_states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    raw = star_orders(spark, folder)
+    raw = _stored(spark, folder).raw
     group = F.col("order_id") % 10
     old = raw.filter(group != 0)
     new = raw.filter(group.isNull() | (group != 2)).withColumn(
@@ -158,7 +163,7 @@ def kpi_replace_window(spark: SparkSession, folder: str) -> DataFrame:
 def schema_sync(spark: SparkSession, folder: str) -> DataFrame:
     """A stored fact with one column too many and one too few meets new rows."""
     old, new = _two_days(spark, folder)
-    stored = old.fact.drop("amount_bucket").withColumn("channel", F.lit("web"))
+    stored = settle(old.fact.drop("amount_bucket").withColumn("channel", F.lit("web")))
     since = models.lookback_start(stored, "order_date")
     return upsert.upsert(stored, models.fact_sales(new.enriched, since), [KEY])
 
@@ -175,6 +180,10 @@ def refresh_job(spark: SparkSession, folder: str) -> DataFrame:
 # -- change capture and history ------------------------------------------------
 
 
+def _first_load(old: DataFrame) -> DataFrame:
+    return changes.initial_load(models.stg_orders(old), FIRST_LOAD)
+
+
 def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return changes.change_feed(*_two_states(spark, folder), KEY)
 
@@ -183,28 +192,30 @@ def net_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changes.net_changes(change_feed(spark, folder), KEY)
 
 
-def _merged_before(spark: SparkSession, folder: str) -> DataFrame:
-    old, _ = _two_states(spark, folder)
-    return changes.initial_load(models.stg_orders(old), FIRST_LOAD)
+def cdc_initial(spark: SparkSession, folder: str) -> DataFrame:
+    return _first_load(_two_states(spark, folder)[0])
 
 
 def cdc_merge(spark: SparkSession, folder: str) -> DataFrame:
-    net = settle(net_changes(spark, folder))
-    return changes.merge_changes(_merged_before(spark, folder), net, KEY, LOADED_AT)
+    old, new = _two_states(spark, folder)
+    net = settle(changes.net_changes(changes.change_feed(old, new, KEY), KEY))
+    return changes.merge_changes(_first_load(old), net, KEY, LOADED_AT)
 
 
 def cdc_merge_literal(spark: SparkSession, folder: str) -> DataFrame:
     """The feed merged as it comes, NULL keys included."""
-    feed = settle(change_feed(spark, folder))
-    return changes.merge_changes(_merged_before(spark, folder), feed, KEY, LOADED_AT)
+    old, new = _two_states(spark, folder)
+    feed = settle(changes.change_feed(old, new, KEY))
+    return changes.merge_changes(_first_load(old), feed, KEY, LOADED_AT)
 
 
 def cdc_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The feed as files, merged by a stream over two runs."""
-    old, _ = _two_states(spark, folder)
+    old, new = _two_states(spark, folder)
     target = Table(spark, _folder(spark, "cdc"), BY_MONTH)
-    target.replace(_merged_before(spark, folder))
-    feed, files, offset = settle(change_feed(spark, folder)), _folder(spark, "feed"), _folder(spark, "offset")
+    target.replace(_first_load(old))
+    feed = settle(changes.change_feed(old, new, KEY))
+    files, offset = _folder(spark, "feed"), _folder(spark, "offset")
     odd = F.coalesce(F.col(KEY) % 2 == 1, F.lit(False))
     for part in (odd, ~odd):
         feed.filter(part).write.mode("append").parquet(files)
@@ -230,7 +241,7 @@ def _refunds(star: Star) -> DataFrame:
 
 
 def check_running_total(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
+    star = _stored(spark, folder)
     daily = models.daily_sales(
         _refunds(star), star.statuses, star.customers, unique_orders=star.unique)
     return checks.falling_totals(models.sales_daily_kpi(daily))
@@ -242,13 +253,13 @@ def check_ltv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_relationships(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
+    star = _stored(spark, folder)
     early = _before(star.raw, "1996-01-01")
     return checks.orphans(star.fact, "customer_id", early.customers, "customer_id")
 
 
 def check_orphan_customers(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
+    star = _stored(spark, folder)
     return checks.customers_without_mart(star.fact, _before(star.raw, "1996-01-01").mart())
 
 
@@ -266,7 +277,7 @@ def check_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Daily revenue, growth and rank per country."""
-    return _star(spark, "/root/testdata/sf0.001").kpi()
+    return _stored(spark, "/root/testdata/sf0.001").kpi()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -280,8 +291,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_date": lambda s, d: models.dim_date(_star(s, d).enriched),
         "dim_amount_bucket": lambda s, d: models.dim_amount_bucket(_star(s, d).enriched),
         "fact_sales_full": lambda s, d: _star(s, d).fact,
-        "agg_customers_full": lambda s, d: _star(s, d).mart(),
-        "sales_daily_kpi_full": lambda s, d: _star(s, d).kpi(),
+        "agg_customers_full": lambda s, d: _stored(s, d).mart(),
+        "sales_daily_kpi_full": lambda s, d: _stored(s, d).kpi(),
         "fact_sales_incremental": fact_incremental,
         "agg_customers_incremental": customers_incremental,
         "sales_daily_kpi_incremental": kpi_incremental,
@@ -290,7 +301,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "refresh_job": refresh_job,
         "orders_change_feed": change_feed,
         "orders_net_changes": net_changes,
-        "stg_orders_cdc_initial": _merged_before,
+        "stg_orders_cdc_initial": cdc_initial,
         "stg_orders_cdc_merge": cdc_merge,
         "stg_orders_cdc_merge_literal": cdc_merge_literal,
         "stg_orders_cdc_stream": cdc_stream,

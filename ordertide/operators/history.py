@@ -14,8 +14,33 @@ def _same(left: str, right: str, key: str, tracked: list[str]):
     return reduce(lambda a, b: a & b, tests, F.col(f"{left}.{key}") == F.col(f"{right}.{key}"))
 
 
+def changed_groups(
+    history: DataFrame, source: DataFrame, key: str, tracked: list[str]
+) -> DataFrame:
+    """Key and tracked values that only open versions have (``was``) or only the source (``is``).
+
+    One aggregate over the union of both sides; it combines copies before its
+    shuffle, which carries nothing but these columns. Settled, as the groups are
+    few in a daily run and Spark should know.
+    """
+    values = [key, *tracked]
+    standing = history.filter(F.col("valid_to").isNull()).select(
+        *values, F.lit(True).alias("was"), F.lit(False).alias("is"))
+    current = source.filter(F.col(key).isNotNull()).select(
+        *values, F.lit(False).alias("was"), F.lit(True).alias("is"))
+    groups = standing.unionByName(current).groupBy(*values).agg(
+        F.max("was").alias("was"), F.max("is").alias("is"))
+    return settle(groups.filter(F.col("was") != F.col("is")))
+
+
+def in_groups(rows: DataFrame, groups: DataFrame, key: str, tracked: list[str]) -> DataFrame:
+    """The rows whose key and tracked values form one of the groups."""
+    return rows.alias("r").join(groups.alias("g"), _same("r", "g", key, tracked), "left_semi")
+
+
 def scd2_apply(
-    history: DataFrame | None, source: DataFrame, key: str, tracked: list[str], as_of
+    history: DataFrame | None, source: DataFrame, key: str, tracked: list[str], as_of,
+    changed: DataFrame | None = None,
 ) -> DataFrame:
     """History after seeing ``source`` at ``as_of``.
 
@@ -24,11 +49,9 @@ def scd2_apply(
     without such a version opens one, which covers new and returning keys.
     Columns that are not tracked never make a version. NULL keys are left out.
 
-    One aggregate over keys and tracked values of both sides finds the groups
-    that ended and the groups that are new; it combines copies before its
-    shuffle. These groups are few in a daily run and are settled, so Spark
-    broadcasts them while small and whole rows are not shuffled at all; beyond
-    that each join has one row per group on its right and a splittable left.
+    ``changed`` are the changed groups, if already known. While they are few
+    Spark broadcasts them and whole rows are not shuffled at all; beyond that
+    each join has one row per group on its right and a splittable left.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     never = F.lit(None).cast("timestamp_ntz")
@@ -37,24 +60,16 @@ def scd2_apply(
     if history is None:
         return fresh
 
-    values = [key, *tracked]
+    if changed is None:
+        changed = changed_groups(history, source, key, tracked)
     closed = history.filter(F.col("valid_to").isNotNull())
     standing = history.filter(F.col("valid_to").isNull())
-    sides = standing.select(*values, F.lit(True).alias("was"), F.lit(False).alias("is")).unionByName(
-        rows.select(*values, F.lit(False).alias("was"), F.lit(True).alias("is"))
-    )
-    groups = sides.groupBy(*values).agg(F.max("was").alias("was"), F.max("is").alias("is"))
-    changed = settle(groups.filter(F.col("was") != F.col("is")))
-    match = _same("r", "g", key, tracked)
-    reviewed = (
-        standing.alias("r")
-        .join(changed.filter("was").alias("g"), match, "left")
-        .select(
-            *[F.col(f"r.{c}") for c in history.columns if c != "valid_to"],
-            F.when(F.col("g.was"), now).alias("valid_to"),
-        )
+    ended = changed.filter("was").alias("g")
+    reviewed = standing.alias("r").join(ended, _same("r", "g", key, tracked), "left").select(
+        *[F.col(f"r.{c}") for c in history.columns if c != "valid_to"],
+        F.when(F.col("g.was"), now).alias("valid_to"),
     )
-    opened = fresh.alias("r").join(changed.filter("is").alias("g"), match, "left_semi")
+    opened = in_groups(fresh, changed.filter("is"), key, tracked)
     return closed.unionByName(reviewed).unionByName(opened).select(*history.columns)
 
 

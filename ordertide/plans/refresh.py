@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from ordertide import fixed_values as V
 from ordertide.functions import orders
 from ordertide.operators.changes import change_feed, initial_load
 from ordertide.operators.checks import duplicates, freshness
+from ordertide.operators.history import state_at
 from ordertide.plans import models
 from ordertide.plans.check_list import run_checks
 from ordertide.schema import RAW_ORDERS
@@ -59,6 +61,17 @@ def create_raw(spark: SparkSession, raw: Table) -> None:
     raw.publish("raw", "orders")
 
 
+def attach(spark: SparkSession, root: str) -> dict[str, Table]:
+    """Give a new session the views over the tables stored below ``root``."""
+    create_layers(spark)
+    tables = open_tables(spark, root)
+    for name, table in tables.items():
+        if table.version() is not None:
+            table.publish(STORED[name][0], name)
+    create_views(spark)
+    return tables
+
+
 def create_views(spark: SparkSession) -> None:
     """The staging views; they hold no rows and follow raw.orders."""
     columns = ", ".join(V.ORDER_COLUMNS)
@@ -81,13 +94,18 @@ def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
     return merged.merge(feed, KEY, loaded_at, feed="raw", batch=current.number)
 
 
-def lookback_day(target: Table, column: str):
+def lookback_day(target: Table, column: str) -> date | None:
     """First day an incremental run looks at; None for an empty table."""
     newest = F.date_sub(F.max(column), V.LOOKBACK_DAYS)
     rows = target.read_newest() if target.slice_by == BY_MONTH else target.read()
     return rows.agg(newest).first()[0]
 
 
+def orders_at(history: Table, moment: datetime) -> DataFrame:
+    """All orders as they stood at ``moment``; older closed versions are not read."""
+    return state_at(history.read_valid(moment), moment)
+
+
 def refresh_fact(raw: Table, fact: Table, full_refresh: bool = False) -> int:
     """Rebuild the fact table, or upsert the orders inside the lookback.
 

@@ -2,12 +2,12 @@
 
 import json
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ordertide.operators.changes import merge_changes, net_changes
-from ordertide.operators.history import scd2_apply
+from ordertide.operators.history import changed_groups, in_groups, scd2_apply
 from ordertide.operators.upsert import replace_window, same_key, upsert
 from ordertide.sources.scratch import settle
 
@@ -16,7 +16,7 @@ LOG = "version long, feed string, batch long, columns string, folders map<string
 LAYERS = ["raw", "staging", "marts", "snapshots"]
 
 BY_MONTH = "coalesce(date_format(order_date, 'yyyy-MM'), 'none')"
-BY_VALIDITY = "coalesce(concat('closed-', date_format(valid_to, 'yyyy-MM')), 'open')"
+BY_VALIDITY = f"coalesce('closed-' || date_format(valid_to, 'yyyy-MM'), 'open-' || {BY_MONTH})"
 
 
 def create_layers(spark: SparkSession) -> None:
@@ -225,11 +225,29 @@ class Table:
         return self._rewrite(version, touched, rows, feed, batch)
 
     def remember(self, source: DataFrame, key: str, tracked: list[str], as_of) -> int:
-        """Bring a history table up to ``as_of``; reads only what may still change."""
+        """Bring a history cut BY_VALIDITY up to ``as_of``.
+
+        Open versions are compared with the source on key and tracked values;
+        only the months with a version to close or open are then rewritten.
+        """
         version = self.version()
         if version is None:
             return self.replace(scd2_apply(None, source, key, tracked, as_of))
-        moment = self.spark.range(1).select(F.lit(as_of).cast("timestamp_ntz").alias("valid_to"))
-        touched = self._slices_of(moment) | {"open"}
-        rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of)
+        standing = self._read(version, [s for s in version.folders if s.startswith("open-")])
+        changed = changed_groups(standing, source, key, tracked)
+        now = F.lit(as_of).cast("timestamp_ntz")
+        ended = in_groups(standing, changed.filter("was"), key, tracked)
+        opened = in_groups(source, changed.filter("is"), key, tracked).withColumn(
+            "valid_to", F.lit(None).cast("timestamp_ntz"))
+        touched = self._slices_of(ended) | self._slices_of(opened)
+        touched |= self._slices_of(ended.withColumn("valid_to", now))
+        if not touched:
+            return 0
+        rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of, changed)
         return self._rewrite(version, touched, rows)
+
+    def read_valid(self, moment: datetime) -> DataFrame:
+        """Versions of a history cut BY_VALIDITY that may be valid at ``moment`` or later."""
+        version, first = self.version(), f"closed-{moment:%Y-%m}"
+        return self._read(
+            version, [s for s in version.folders if s.startswith("open-") or s >= first])

@@ -1,5 +1,6 @@
 """Change feed, net effect, merge, stream and history: fixture D and the invariants."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from ordertide.operators.changes import change_feed, initial_load, merge_changes, net_changes
 from ordertide.operators.history import scd2_apply, state_at
 from ordertide.plans.models import stg_orders
+from ordertide.plans.refresh import orders_at
 from ordertide.schema import RAW_ORDERS, feed_schema
 from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, Table
 from ordertide.streaming.cdc import follow_feed
@@ -247,7 +249,7 @@ def test_versions(history):
         (3, 40.0, "cancelled", T1, None), (4, 220.0, "completed", T1, None),
         (5, 150.0, "completed", T1, T2), (6, 30.0, "completed", T2, None),
         (7, 10.0, "completed", T2, None), (8, 280.0, "completed", T2, None)}
-    assert set(history.version().folders) == {"open", "closed-2025-01"}
+    assert set(history.version().folders) == {"open-2025-01", "closed-2025-01"}
 
 
 def test_state_at(history, states):
@@ -258,6 +260,27 @@ def test_state_at(history, states):
     assert state_at(history.read(), "2025-01-05 00:00:00").count() == 0
 
 
+def test_stored_history_rewrites_only_touched_months(spark, tmp_path):
+    rows = [(m * 10 + i, "C", f"2025-0{m}-10", 1.0, "pending", "FR") for m in (1, 2, 3) for i in (1, 2)]
+    table = Table(spark, str(tmp_path), BY_VALIDITY)
+    table.remember(raw_orders(spark, rows), KEY, TRACKED, "2025-04-01 00:00:00")
+    done = [(*r[:4], "completed", r[5]) if r[0] == 21 else r for r in rows if r[0] != 31]
+    table.remember(raw_orders(spark, done), KEY, TRACKED, "2025-05-01 00:00:00")
+    folders = table.version().folders
+    assert {s: f.split("/")[1] for s, f in folders.items()} == {
+        "open-2025-01": "v=1", "open-2025-02": "v=2", "open-2025-03": "v=2", "closed-2025-05": "v=2"}
+    final = [r for r in done if r[0] != 12]
+    table.remember(raw_orders(spark, final), KEY, TRACKED, "2025-06-01 00:00:00")
+    assert table.version().folders["closed-2025-05"] == folders["closed-2025-05"]
+    for moment, state in [("2025-04-15", rows), ("2025-05-01", done), ("2025-06-02", final)]:
+        moment = dt.datetime.fromisoformat(moment)
+        assert as_set(orders_at(table, moment)) == as_set(raw_orders(spark, state))
+    read = {f.split("slice=")[1].split("/")[0] for f in table.read_valid(dt.datetime(2025, 5, 20)).inputFiles()}
+    assert "closed-2025-05" in read and "closed-2025-06" in read
+    read = {f.split("slice=")[1].split("/")[0] for f in table.read_valid(dt.datetime(2025, 6, 1)).inputFiles()}
+    assert "closed-2025-05" not in read
+
+
 def test_same_source_again_makes_no_version(history, states):
     before = as_set(history.read())
     history.remember(states[1], KEY, TRACKED, "2025-02-07 00:00:00")

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ordertide.operators import checks, upsert
 from ordertide.plans import models
-from ordertide.plans.refresh import create_raw, open_tables, refresh, refresh_fact, refresh_kpi
+from ordertide.plans.refresh import (
+    attach, create_raw, open_tables, refresh, refresh_fact, refresh_kpi,
+)
 from ordertide.schema import RAW_ORDERS
 from ordertide.sources.tables import BY_MONTH, Table
 from tests.fixtures import A, C, as_set, day, raw_orders
@@ -86,6 +88,14 @@ def test_layers_serve_the_tables(spark, job):
                  JOIN marts.dim_customer USING (customer_id) GROUP BY country""").collect()
 
 
+def test_a_new_session_attaches_to_stored_tables(spark, job):
+    spark.sql("DROP VIEW marts.fact_sales")
+    spark.sql("DROP VIEW staging.stg_orders")
+    attach(spark, job[0])
+    assert spark.table("marts.fact_sales").count() == 7
+    assert spark.table("staging.stg_orders").count() == 7
+
+
 def test_replace_window_drops_the_vanished_day(spark, job, tmp_path):
     now = build(spark, C)
     fact = open_tables(spark, job[0])["fact_sales"]

@@ -87,7 +87,7 @@ def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
     current, known = raw.version(), merged.version()
     if known is None:
         rows = initial_load(models.stg_orders(raw.read()), loaded_at)
-        return merged.replace(rows, feed="raw", batch=current.number)
+        return merged.replace(rows, feed="raw", batch=current.number, clustered=True)
     if known.batch == current.number:
         return 0
     feed = change_feed(raw.read(number=known.batch), raw.read(), KEY)
@@ -115,7 +115,7 @@ def refresh_fact(raw: Table, fact: Table, full_refresh: bool = False) -> int:
     rows = raw.read() if day is None else raw.read_from(day)
     enriched = models.int_orders_enriched(models.stg_orders(rows))
     if day is None:
-        return fact.replace(models.fact_sales(enriched))
+        return fact.replace(models.fact_sales(enriched), clustered=True)
     return fact.upsert(models.fact_sales(enriched, F.lit(day)), [KEY])
 
 

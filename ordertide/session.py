@@ -8,6 +8,8 @@ SETTINGS = {
     # Splits the hot side of a join; coalesces the many small partitions.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Size of shuffle partitions after coalescing, and so of stored files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Lets the scan skip row groups with the bound a scalar subquery returns.
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",

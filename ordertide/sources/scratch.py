@@ -7,15 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; on one machine a new one is made."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="ordertide-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder named in spark.checkpoint.dir, else the context's checkpoint folder.
+
+    If neither is set a temporary folder is made, which only local mode allows.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordertide-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:

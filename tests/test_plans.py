@@ -5,6 +5,7 @@ import datetime as dt
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +185,18 @@ def test_date_bound_prunes_folders_and_reaches_the_scan(spark, shop, tmp_path):
     assert newest == {"slice=2024-10"}
 
 
+def test_month_files_are_sorted_by_day(spark, shop, tmp_path):
+    table, copy = (Table(spark, f"{tmp_path}/{n}", BY_MONTH) for n in ("t", "copy"))
+    table.replace(shop)
+    assert copy.replace(table.read(), clustered=True) == 200_000
+    for stored in (table, copy):
+        files = stored.read().inputFiles()
+        assert len(files) <= 20
+        for file in files:
+            days = pq.read_table(file.replace("file://", ""), columns=["order_date"])["order_date"].to_pylist()
+            assert days == sorted(days)
+
+
 def test_scalar_bound_is_one_subquery(spark, shop):
     fact, _, _ = star(shop)
     since = models.lookback_start(fact, "order_date")

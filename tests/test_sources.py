@@ -53,6 +53,13 @@ def test_bad_values_fail_the_load(spark, tmp_path, line):
         rows.collect()
 
 
+def test_files_with_another_header_fail_the_load(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + "1,C,2025-01-01,1.0,completed,FR\n" * 50)
+    (tmp_path / "b.csv").write_text("customer_id,order_id,order_date,amount,status,country\n9,2,2025-01-01,1,x,FR\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_csv(spark, str(tmp_path)).collect()
+
+
 def test_missing_column_fails_the_load(spark, tmp_path):
     with pytest.raises(Exception, match="country"):
         load_csv(spark, csv(tmp_path, "order_id,customer_id,order_date,amount,status\n1,C,2025-01-01,1,x\n"))

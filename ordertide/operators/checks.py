@@ -48,7 +48,7 @@ def rows_outside(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct child values with no parent; distinct first, so hot values collapse early."""
     values = child.filter(F.col(column).isNotNull()).select(column).distinct()
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
     return values.join(known, column, "left_anti")
 
 

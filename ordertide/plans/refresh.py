@@ -16,7 +16,7 @@ from ordertide.plans import models
 from ordertide.plans.check_list import run_checks
 from ordertide.schema import RAW_ORDERS
 from ordertide.sources.scratch import settle
-from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, Table, create_layers
+from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, WHOLE, Table, create_layers
 
 KEY = "order_id"
 TRACKED = ["status", "amount"]
@@ -26,12 +26,12 @@ STORED = {
     "orders": ("raw", BY_MONTH),
     "orders_snapshot": ("snapshots", BY_VALIDITY),
     "stg_orders_cdc": ("staging", BY_MONTH),
-    "dim_customer": ("marts", "'all'"),
-    "dim_status": ("marts", "'all'"),
-    "dim_date": ("marts", "'all'"),
-    "dim_amount_bucket": ("marts", "'all'"),
+    "dim_customer": ("marts", WHOLE),
+    "dim_status": ("marts", WHOLE),
+    "dim_date": ("marts", WHOLE),
+    "dim_amount_bucket": ("marts", WHOLE),
     "fact_sales": ("marts", BY_MONTH),
-    "agg_customers": ("marts", "'all'"),
+    "agg_customers": ("marts", WHOLE),
     "sales_daily_kpi": ("marts", BY_MONTH),
 }
 

@@ -15,6 +15,7 @@ LOG = "version long, feed string, batch long, columns string, folders map<string
 
 LAYERS = ["raw", "staging", "marts", "snapshots"]
 
+WHOLE = "'all'"
 BY_MONTH = "coalesce(date_format(order_date, 'yyyy-MM'), 'none')"
 BY_VALIDITY = f"coalesce('closed-' || date_format(valid_to, 'yyyy-MM'), 'open-' || {BY_MONTH})"
 
@@ -53,7 +54,7 @@ class Table:
     One writer at a time, as in a daily job.
     """
 
-    def __init__(self, spark: SparkSession, root: str, slice_by: str = "'all'"):
+    def __init__(self, spark: SparkSession, root: str, slice_by: str = WHOLE):
         self.spark, self.root, self.slice_by = spark, root.rstrip("/"), slice_by
         self.sort_by = ["slice", "order_date"] if slice_by == BY_MONTH else ["slice"]
 
@@ -142,7 +143,9 @@ class Table:
         number = 1 if before is None else before.number + 1
         folder = f"data/v={number}"
         placed = rows.withColumn("slice", F.expr(self.slice_by))
-        if not clustered:
+        if self.slice_by == WHOLE:
+            placed = placed.hint("rebalance")
+        elif not clustered:
             placed = placed.hint("rebalance", "slice")
         placed.sortWithinPartitions(*self.sort_by).write.mode("overwrite").partitionBy(
             "slice"

@@ -143,7 +143,7 @@ def customers_incremental(spark: SparkSession, folder: str) -> DataFrame:
 
 def _kpi_run(spark: SparkSession, folder: str):
     old, new = _two_days(spark, folder)
-    fact = settle(_fact_after(old, new)[1])
+    fact = _fact_after(old, new)[1]
     stored = settle(old.kpi())
     since = models.lookback_start(stored, "order_date")
     daily = models.daily_sales(fact, new.statuses, new.customers, since)

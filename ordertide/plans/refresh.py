@@ -53,9 +53,10 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, Table]:
     }
 
 
-def create_raw(spark: SparkSession, raw: Table) -> None:
+def create_raw(spark: SparkSession, root: str) -> None:
     """The layers and, if missing, an empty raw.orders with its declared columns."""
-    create_layers(spark)
+    create_layers(spark, root)
+    raw = open_tables(spark, root)["orders"]
     if raw.version() is None:
         raw.replace(spark.createDataFrame([], RAW_ORDERS))
     raw.publish("raw", "orders")
@@ -63,7 +64,7 @@ def create_raw(spark: SparkSession, raw: Table) -> None:
 
 def attach(spark: SparkSession, root: str) -> dict[str, Table]:
     """Give a new session the views over the tables stored below ``root``."""
-    create_layers(spark)
+    create_layers(spark, root)
     tables = open_tables(spark, root)
     for name, table in tables.items():
         if table.version() is not None:
@@ -168,7 +169,7 @@ def refresh(
     ``threads`` at a time. A run that broke off can be run again.
     """
     report, tables = Report(), open_tables(spark, root)
-    create_raw(spark, tables["orders"])
+    create_raw(spark, root)
 
     def store(name: str, write: Callable[[Table], int]) -> DataFrame:
         report.rows[name] = write(tables[name])

@@ -20,10 +20,10 @@ BY_MONTH = "coalesce(date_format(order_date, 'yyyy-MM'), 'none')"
 BY_VALIDITY = f"coalesce('closed-' || date_format(valid_to, 'yyyy-MM'), 'open-' || {BY_MONTH})"
 
 
-def create_layers(spark: SparkSession) -> None:
-    """One database per layer, under exactly these names."""
+def create_layers(spark: SparkSession, root: str) -> None:
+    """One database per layer, under exactly these names; they hold views only."""
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
 
 
 def _is_month(name: str) -> bool:

@@ -118,11 +118,11 @@ def test_full_refresh_repairs(spark, tmp_path):
 
 def test_raw_table_is_created_once(spark, tmp_path):
     raw = open_tables(spark, str(tmp_path))["orders"]
-    create_raw(spark, raw)
+    create_raw(spark, str(tmp_path))
     assert spark.table("raw.orders").schema.simpleString() == RAW_ORDERS.simpleString()
     assert spark.table("raw.orders").count() == 0
     raw.replace(raw_orders(spark, A))
-    create_raw(spark, raw)
+    create_raw(spark, str(tmp_path))
     assert spark.table("raw.orders").count() == 5
 
 

@@ -181,7 +181,8 @@ def refresh(
             return dict(zip(writes, pool.map(store, writes, writes.values())))
 
     source = store("orders", lambda table: table.replace(raw))
-    report.freshness = freshness(source, "order_date", as_of).first()["status"]
+    newest = tables["orders"].read_newest()
+    report.freshness = freshness(newest, "order_date", as_of).first()["status"]
     if report.freshness == "error":
         return report
 
@@ -209,8 +210,8 @@ def refresh(
             *star, table, full_refresh, replace_window, unique),
     })
     del built["orders_snapshot"]
-    report.checks = run_checks(
+    report.checks = settle(run_checks(
         {"stg_orders": staged, "int_orders_enriched": enriched, **built},
         repeats={("fact_sales", KEY): repeated},
-    )
+    ))
     return report

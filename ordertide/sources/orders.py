@@ -16,8 +16,8 @@ def load_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """Raw orders from UTF-8 CSV with a header row; columns are found by name.
 
     Text that is no number or date fails the load, an empty one too. Other
-    empty cells stay empty text. All files need the same header. ``multiline`` allows line breaks inside quotes
-    but makes each file one task, so it is off.
+    empty cells stay empty text. All files need the same header. ``multiline``
+    allows line breaks inside quotes but makes each file one task, so it is off.
     """
     cells = spark.read.csv(
         path, header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"',

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ordertide.__main__ import main
 from ordertide.operators import checks, upsert
 from ordertide.plans import models
 from ordertide.plans.refresh import (
@@ -203,3 +204,17 @@ def test_columns_follow_the_updates(spark, tmp_path):
     table.upsert(spark.range(6, 7).select("id", at("2025-02-11"), F.lit("8").alias("new")), ["id"])
     assert dict(table.read().dtypes)["new"] == "string"
     assert as_set(table.read(), "id", "new") == {(0, None), (1, None), (2, None), (3, None), (4, None), (5, "7"), (6, "8")}
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    lines = ["order_id,customer_id,order_date,amount,status,country"]
+    (tmp_path / "orders.csv").write_text("\n".join(lines + [",".join(map(str, r)) for r in A]) + "\n")
+    root = str(tmp_path / "root")
+    argv = ["ordertide", str(tmp_path / "orders.csv"), root, "--as-of"]
+    monkeypatch.setattr("sys.argv", [*argv, "2025-01-06T06:00"])
+    assert main() == 0
+    assert "freshness: warn" in (out := capsys.readouterr().out) and "fact_sales: 5 rows" in out
+    assert as_set(Table(spark, f"{root}/marts/fact_sales").read()) == as_set(build(spark, A)["fact"])
+    monkeypatch.setattr("sys.argv", [*argv, "2025-03-01"])
+    assert main() == 1
+    assert "freshness: error" in capsys.readouterr().out

@@ -29,6 +29,14 @@ from ordertide.sources.scratch import settle, shared_folder
 from ordertide.sources.tables import BY_MONTH, Table
 from ordertide.streaming.cdc import follow_feed
 
+try:  # the operators for training data may be left out as a whole
+    import corpus_pipeline
+    from ordertide.llm import oracles as llm_oracles, queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ordertide.llm"):
+        raise
+    llm_queries = None
+
 AS_OF = "2001-08-02"
 FIRST_LOAD, LOADED_AT = "2001-08-01 00:00:00", "2001-08-02 00:00:00"
 NOON = "2001-08-02 12:00:00"
@@ -281,6 +289,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return order_queries()
+    return order_queries() | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_orders": star_orders,
         "raw_orders_csv_reload": csv_reload,
@@ -326,4 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE
+    if llm_queries is None:
+        return ORACLE
+    more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return ORACLE | llm_oracles.ORACLES | more

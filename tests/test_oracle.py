@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from oracle_queries import ORACLE
 from tests.comparing import FAMILIES, TESTDATA, duck, rows_of
 
 FOLDER = f"{TESTDATA}/sf0.001"
@@ -17,10 +18,10 @@ def con():
 
 
 def test_each_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.order_queries()) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.order_queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     cur = con.execute(entry.oracle_sql()[name])

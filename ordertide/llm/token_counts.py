@@ -42,16 +42,28 @@ def margin_of(tokenizer) -> int:
     return 4 + max(map(len, added), default=0)
 
 
-def boundaries(encoding, start: int) -> list[tuple[int, int]]:
-    """(position in the text, tokens before it) of each pre-token of a chunk."""
-    found, last = [], None
-    for n, (word, (begin, _)) in enumerate(zip(encoding.word_ids, encoding.offsets)):
-        if word != last:
-            found.append((start + begin, n))
-            last = word
+def boundaries(encoding, numbers) -> list[tuple[int, int]]:
+    """(place in the chunk, tokens before it) of the pre-tokens that start at these tokens."""
+    found = []
+    for n in numbers:
+        word = encoding.token_to_word(n)
+        if n == 0 or word is None or word != encoding.token_to_word(n - 1):
+            found.append((encoding.token_to_chars(n)[0], n))
     return found
 
 
+def ends(encoding, size: int, overlap: int, margin: int):
+    """Boundaries in the first ``overlap`` characters of a chunk, and the trusted ones in the last."""
+    count, first = len(encoding), 0
+    while first < count and encoding.token_to_chars(first)[0] <= overlap:
+        first += 1
+    last = count
+    while last > 0 and encoding.token_to_chars(last - 1)[0] >= size - overlap:
+        last -= 1
+    tail = boundaries(encoding, range(last, count))
+    return boundaries(encoding, range(first)), [b for b in tail if b[0] <= size - margin]
+
+
 def _whole(path: str):
     def make():
         tokenizer = _open(path)
@@ -93,11 +105,9 @@ def _encode_pieces(path: str, overlap: int):
             heads, tails, totals = [], [], []
             for start, piece in zip(starts, pieces):
                 encoding = tokenizer.encode(piece, add_special_tokens=False)
-                marks, end = boundaries(encoding, start), start + len(piece)
-                as_rows = [{"pos": p, "cum": c} for p, c in marks]
-                heads.append([m for m in as_rows if m["pos"] <= start + overlap])
-                tails.append([m for m in as_rows if end - overlap <= m["pos"] <= end - margin])
-                totals.append(len(encoding.ids))
+                for marks, out in zip(ends(encoding, len(piece), overlap, margin), (heads, tails)):
+                    out.append([{"pos": start + at, "cum": n} for at, n in marks])
+                totals.append(len(encoding))
             return [batch.column(0), batch.column(1), batch.column(2), heads, tails, totals]
 
         return step
@@ -144,8 +154,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     long_rows = rows.filter(long_text).withColumn("key", F.sha2("text", 256))
     texts, done = long_rows.select("key", "text"), None
-    longest = rows.agg(F.max(F.length("text"))).first()[0] or 0
-    while chunk < longest:
+    while True:
         found = settle(_spliced(texts, path, chunk, overlap))
         ready = found.filter("n_tokens IS NOT NULL")
         done = ready if done is None else done.unionByName(ready)
@@ -154,16 +163,6 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             break
         texts = texts.join(failed, "key", "left_semi")
         chunk, overlap = chunk * GROW, overlap * GROW
-    else:
-        if done is None:
-            return _named(counted, id_col)
-        last = map_rows(texts.dropDuplicates(["key"]), _whole(path),
-                        "key string, n_bytes long, n_tokens long", 1)
-        done = done.unionByName(last.select("key", "n_tokens"))
     joined = long_rows.select("id", "key", F.octet_length("text").cast("long").alias("n_bytes"))
     joined = joined.join(done, "key").select("id", "n_bytes", "n_tokens")
-    return _named(counted.unionByName(joined), id_col)
-
-
-def _named(counted: DataFrame, id_col: str) -> DataFrame:
-    return counted.withColumnRenamed("id", id_col)
+    return counted.unionByName(joined).withColumnRenamed("id", id_col)

@@ -4,8 +4,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordertide.llm import host_rules, secrets, token_counts, warc
-from ordertide.llm.common import read_table
+from ordertide.llm import (
+    host_rules, language_id, quality, secrets, sentence_pieces, token_counts, warc)
+from ordertide.llm.common import held_out, read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "")
 
@@ -25,6 +26,14 @@ def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    weights = quality.train(docs, read_table(spark, folder, "labels"))
+    scored = quality.score(docs, weights)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(read_table(spark, folder, "documents")))
 
@@ -40,9 +49,23 @@ def host_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("host_rejected")
 
 
+def sentence_pieces_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return sentence_pieces.encode_texts(docs, tokenizer("piece_bpe_32k.model"))
+
+
+def language_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_token_counts": token_counts_query,
+    "op2_quality_scores": quality_query,
     "op4_secrets": secrets_query,
     "op7_warc_archive": warc_query,
     "op8_host_rules": host_rules_query,
+    "op9_sentence_pieces": sentence_pieces_query,
+    "op10_language_id": language_query,
 }

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide.llm import (
-    host_rules, language_id, quality, secrets, sentence_pieces, token_counts, warc)
+    host_rules, language_id, line_dedup, quality, secrets, sentence_pieces, token_counts, warc)
 from ordertide.llm.common import held_out, read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "")
@@ -38,6 +38,10 @@ def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(read_table(spark, folder, "documents")))
 
 
+def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(read_table(spark, folder, "documents"))
+
+
 def warc_query(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.new_archive(spark)
     warc.write_archive(read_table(spark, folder, "pages"), archive)
@@ -64,6 +68,7 @@ QUERIES = {
     "op1_token_counts": token_counts_query,
     "op2_quality_scores": quality_query,
     "op4_secrets": secrets_query,
+    "op6_line_dedup": line_dedup_query,
     "op7_warc_archive": warc_query,
     "op8_host_rules": host_rules_query,
     "op9_sentence_pieces": sentence_pieces_query,

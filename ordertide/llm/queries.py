@@ -5,7 +5,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide.llm import (
-    host_rules, language_id, line_dedup, quality, secrets, sentence_pieces, token_counts, warc)
+    decontam, host_rules, language_id, line_dedup, quality, secrets, sentence_pieces,
+    token_counts, warc)
 from ordertide.llm.common import held_out, read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "")
@@ -34,6 +35,11 @@ def quality_query(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def decontamination_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, folder, t) for t in ("documents", "benchmark"))
+    return decontam.find_items(docs, benchmark)
+
+
 def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(read_table(spark, folder, "documents")))
 
@@ -67,6 +73,7 @@ def language_query(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": token_counts_query,
     "op2_quality_scores": quality_query,
+    "op3_decontamination": decontamination_query,
     "op4_secrets": secrets_query,
     "op6_line_dedup": line_dedup_query,
     "op7_warc_archive": warc_query,

@@ -16,6 +16,7 @@ row; equal long texts are encoded once.
 """
 
 import os
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,7 +27,9 @@ CHUNK, OVERLAP, GROW = 1 << 15, 1 << 9, 8
 MARKS = "array<struct<pos:long,cum:long>>"
 
 
+@lru_cache(maxsize=2)
 def _open(path: str):
+    """Read once per Python worker, which Spark uses again for later tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 

@@ -5,8 +5,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide.llm import (
-    decontam, host_rules, language_id, line_dedup, quality, secrets, sentence_pieces,
-    token_counts, warc)
+    decontam, host_rules, language_id, line_dedup, ngram_join, quality, secrets,
+    sentence_pieces, token_counts, warc)
 from ordertide.llm.common import held_out, read_table
 
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "")
@@ -44,6 +44,10 @@ def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(read_table(spark, folder, "documents")))
 
 
+def jaccard_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, folder, "documents")).drop("node")
+
+
 def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(read_table(spark, folder, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op2_quality_scores": quality_query,
     "op3_decontamination": decontamination_query,
     "op4_secrets": secrets_query,
+    "op5_jaccard_components": jaccard_query,
     "op6_line_dedup": line_dedup_query,
     "op7_warc_archive": warc_query,
     "op8_host_rules": host_rules_query,

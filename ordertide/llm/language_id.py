@@ -24,6 +24,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ordertide.llm.common import held_out, map_rows, quoted, type_of
@@ -242,13 +243,12 @@ def identify(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id",
 
 def keep_known(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -> DataFrame:
     """All columns of the rows whose language is known."""
+    at, known_samples = docs.columns.index(text_col), tuple(sorted(samples.items()))
+
     def make():
-        parser = _parser(tuple(sorted(samples.items())))
-        at = docs.columns.index(text_col)
+        parser = _parser(known_samples)
 
         def step(batch):
-            import pyarrow as pa
-
             names, _ = parser.detect(batch.column(at).to_pylist())
             known = pa.array([n != UNKNOWN for n in names], pa.bool_())
             return batch.filter(known).columns

@@ -23,8 +23,9 @@ whose lines are copies becomes empty.
 """
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ordertide.llm.common import map_rows, quoted, type_of
 from ordertide.sources.scratch import settle
@@ -45,24 +46,29 @@ def _lines():
                 number.append(i)
                 digest.append(xxhash.xxh3_128_digest(line))
                 words.append(len(line.split()))
-        return [batch.column(0).take(owner), batch.column(1).take(owner), number, digest, words]
+        take = pa.array(owner, pa.int64())
+        return [batch.column(0).take(take), batch.column(1).take(take), number, digest, words]
 
     return step
 
 
+def key_of(id_col: str, text_col: str) -> Column:
+    """Digest of id and text."""
+    id_ = quoted(id_col)
+    text = F.concat_ws("|", id_.isNull().cast("string"), id_.cast("string"), quoted(text_col))
+    return F.unhex(F.md5(text))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns doc (digest of id and text), id and text."""
-    id_, text = quoted(id_col), quoted(text_col)
-    key = F.concat_ws("|", id_.isNull().cast("string"), id_.cast("string"), text)
-    return docs.select(F.unhex(F.md5(key)).alias("doc"), id_.alias("id"), text.alias("text"))
+    return docs.select(key_of(id_col, text_col).alias("doc"), quoted(id_col).alias("id"),
+                       quoted(text_col).alias("text"))
 
 
 def _stretches(min_words: int):
     """Rows (doc, id, stretch, line number, line, need) of stretches with enough words."""
     def make():
         def step(batch):
-            import pyarrow as pa
-
             owner, stretch, number, line, need = [], [], [], [], []
             for n, rows in enumerate(batch.column(2).to_pylist()):
                 at = np.array([r["i"] for r in rows])
@@ -193,16 +199,19 @@ def runs(gone: np.ndarray) -> str:
     return ",".join(f"{a}-{b - 1}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
-def _cut():
+def cut(text: str | None, cuts) -> tuple[int, np.ndarray, str | None]:
+    """Number of lines, which are deleted, and the text that is left."""
+    lines = [] if text is None else text.split("\n")
+    gone = removed_lines([(c["i"], c["need"]) for c in cuts or []], len(lines))
+    kept = "\n".join(x for x, g in zip(lines, gone) if not g) if gone.any() else text
+    return len(lines), gone, kept
+
+
+def _report():
     def step(batch):
-        out = []
-        for text, cuts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            lines = [] if text is None else text.split("\n")
-            gone = removed_lines([(c["i"], c["need"]) for c in cuts or []], len(lines))
-            kept = text if not gone.any() else "\n".join(
-                line for line, g in zip(lines, gone) if not g)
-            out.append((len(lines), int(gone.sum()), runs(gone), kept))
-        return [batch.column(0), *(list(c) for c in zip(*out))]
+        found = [cut(t, c) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        return [batch.column(0), [n for n, _, _ in found], [int(g.sum()) for _, g, _ in found],
+                [runs(g) for _, g, _ in found], [kept for _, _, kept in found]]
 
     return step
 
@@ -212,6 +221,38 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row ``id_col``, n_lines, n_removed, removed (line ranges) and the text that is left."""
     rows = keyed(docs, id_col, text_col)
     joined = rows.join(copies(rows, min_words), "doc", "left").select("id", "text", "cuts")
-    found = map_rows(joined, _cut, f"id {type_of(rows, 'id')}, n_lines long, n_removed long, "
+    found = map_rows(joined, _report, f"id {type_of(rows, 'id')}, n_lines long, n_removed long, "
                      "removed string, text string")
     return found.withColumnRenamed("id", id_col).withColumnRenamed("text", text_col)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   min_words: int = MIN_WORDS, length_col: str | None = None) -> DataFrame:
+    """All rows and columns with copied lines taken out of the text.
+
+    Rows that lose all their lines go. ``length_col`` gets the new text's code points.
+    """
+    rows = keyed(docs, id_col, text_col)
+    found, schema = copies(rows, min_words), docs.schema
+    at, length_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col else -1
+    key = key_of(id_col, text_col).alias("doc")
+    struct = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+    joined = docs.select(key, struct).join(found, "doc", "left")
+    names = [f"c{n}" for n in range(len(docs.columns))]
+    flat = joined.select(*[F.col("row").getField(c).alias(n) for c, n in zip(docs.columns, names)], "cuts")
+
+    def make():
+        def step(batch):
+            columns = list(batch.columns[:-1])
+            done = [cut(t, c) for t, c in zip(columns[at].to_pylist(), batch.column(len(names)).to_pylist())]
+            columns[at] = pa.array([kept for _, _, kept in done], pa.string())
+            if length_at >= 0:
+                size = pa.array([None if k is None else len(k) for _, _, k in done], pa.int64())
+                columns[length_at] = size.cast(batch.schema.field(length_at).type)
+            left = pa.array([not n or bool((~gone).any()) for n, gone, _ in done], pa.bool_())
+            return [c.filter(left) for c in columns]
+
+        return step
+
+    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema.fields))
+    return map_rows(flat, make, kinds).toDF(*docs.columns)

@@ -315,22 +315,24 @@ def _members(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
     return settle(found.dropDuplicates(["node"]))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Columns ``id_col``, n_shingles, node (class of equal sets) and component_id of each row."""
+def linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """Columns id, hash (of the text), size, node, component_id and first of each row.
+
+    ``first`` has id and hash of the component's first row: the smallest id, nulls last.
+    """
     rows = docs.select(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("hash"),
                        quoted(text_col).alias("text"))
     kind = type_of(rows, "id")
     every = settle(map_rows(
         rows, _classes_of(n, percent),
         f"id {kind}, hash long, size long, node binary, keys array<long>"))
-    place = F.min(F.struct("id", "hash")).alias("place")
+    place = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")
     classes = settle(every.filter("node IS NOT NULL").groupBy("node").agg(
         place, F.first("size").alias("size"), F.min("id").alias("least"),
         F.first("keys").alias("keys")))
     classes = classes.withColumn("short", F.xxhash64("node"))
     short = classes.select("short", F.explode("keys").alias("key"))
-    known = classes.select("short", "node", "size", "place.id", "place.hash")
+    known = classes.select("short", "node", "size", "first.id", "first.hash")
 
     component, links, sets = None, None, None
     for deal in range(DEALS + 1):
@@ -362,16 +364,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         # Groups in one block are done; only keys of the others are looked at again.
         again = placed.filter("parts > 1").select(F.xxhash64("node").alias("short")).distinct()
         short = settle(short.join(again, "short", "left_semi"))
-    found = every.select("id", "size", "node")
-    if component is None:
-        least = classes.select("node", F.col("least").alias("component_id"))
-    else:
-        of = classes.select("node", "least").join(component, "node", "left").withColumn(
+    first = classes.select("node", "first", "least")
+    if component is not None:
+        of = first.join(component, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
-        smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
-        least = of.select("node", "component").join(smallest, "component").select(
-            "node", "component_id")
-    joined = found.join(least, "node", "left")
-    alone = F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return joined.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "node",
-                         alone.alias("component_id"))
+        smallest = of.groupBy("component").agg(F.min("first").alias("first"), F.min("least").alias("least"))
+        first = of.select("node", "component").join(smallest, "component")
+    joined = every.select("id", "hash", "size", "node").join(
+        first.select("node", "first", "least"), "node", "left")
+    alone = F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("least"))
+    return joined.select("id", "hash", "size", "node", alone.alias("component_id"),
+                         F.struct("first.id", "first.hash").alias("first"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Columns ``id_col``, n_shingles, node (class of equal sets) and component_id of each row."""
+    return linked_rows(docs, id_col, text_col, n, percent).select(
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "node", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of each component's smallest id (rows without words all stay), all columns.
+
+    Rows with the same id and text are one document; null ids come last.
+    """
+    found = linked_rows(docs, id_col, text_col, n, percent)
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
+    gone = settle(found.filter((F.col("size") > 0) & ~same).select("id", "hash").distinct())
+    if gone.count() <= SMALL:  # 16 bytes a row; beyond that the join shuffles
+        gone = F.broadcast(gone)
+    # A condition on expressions of the left side leaves its columns, however named, alone.
+    match = quoted(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(quoted(text_col)) == F.col("__hash"))
+    return docs.join(gone.toDF("__id", "__hash"), match, "left_anti")

@@ -1,0 +1,70 @@
+"""Secret scan against plain regular expressions and hand-made owners."""
+
+import hashlib
+import re
+
+from ordertide.llm import secrets
+
+SCHEMA = "doc_id long, text string, source string, spans string"
+KEY, HEX = "AKIA" + "Q7ZP" * 5, "0123456789abcdef" * 2
+LIVE = "xK9+mQ2/vR7tLp4Zw8Yb"
+
+
+def base(text):
+    """The contract's patterns as they stand, failing matches dropped."""
+    kinds = [
+        ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+         re.IGNORECASE | re.ASCII, lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 20),
+        ("hex", r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 24)]
+    found = [(m.start(), n, k, m.end()) for n, (k, p, f, good) in enumerate(kinds)
+             for m in re.finditer(p, text or "", f) if good(m)]
+    return [(k, s, e) for s, _, k, e in sorted(found)]
+
+
+TEXTS = [
+    "", None, f"token = \"{HEX}\" and {KEY}", "token=token:abcdefgh", "PassWord:'abc' secret = zzzzzz",
+    f"é {KEY} AKIASHORT {HEX}f0", "api_key=abcdef apikey : abcdef api__key=abcdef", "ſecret=abcdefg",
+    "password= =abcdef", f"free {LIVE} here", "x" * 50_000 + f" secret={LIVE}", f"{HEX}{HEX}",
+    "token  =  \"\"", "AKIAAKIA" + "A" * 20, "TOKEN:-_-_-_-", f"\U0001f600 passwd={HEX}",
+]
+
+
+def run(spark, rows, **more):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return secrets.digests(secrets.find_secrets(df, **more)).collect()
+
+
+def test_base_matches(spark):
+    rows = [(i, t, f"s{i}", "x") for i, t in enumerate(TEXTS)]
+    got = {r.doc_id: r for r in run(spark, rows)}
+    assert len(got) == len(rows)
+    for i, t in enumerate(TEXTS):
+        want = base(t)
+        text = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        r = got[i]
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), (t or "")[-80:]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(
+            sum(k == kind for k, _, _ in want) for kind in ("assign", "access", "hex"))
+        kept = [s for s in r.spans.split(",") if s and not s.startswith("owned")]
+        assert ",".join(kept) == text
+
+
+def test_owners_tell_examples_from_live_credentials(spark):
+    rows = [(i, f"see {LIVE} and token={HEX}", "same owner", "") for i in range(5)]
+    rows += [(10 + i, f"docs say password=example-Pa55word-1 {KEY}xyz/9", f"owner {i}", "") for i in range(4)]
+    got = {r.doc_id: r for r in run(spark, rows)}
+    assert got[0].spans == f"owned:4:{4 + len(LIVE)},assign:29:67,hex:35:67" and got[0].n_live == 3
+    assert got[10].n_example == 2 and got[10].n_live == 0
+    # Under more owners the same token is an example and no span of its own.
+    rows += [(20 + i, f"see {LIVE}", f"other {i}", "") for i in range(2)]
+    assert {r.spans for r in run(spark, rows) if r.doc_id in (0, 20)} == {"assign:29:67,hex:35:67", ""}
+
+
+def test_ownership_counts(spark):
+    rows = [(1, f"a {LIVE}", "o1", ""), (1, f"a {LIVE}", "o1", ""), (2, f"{LIVE}", "o1", ""),
+            (3, f"{LIVE}", None, ""), (None, f"{LIVE}", None, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = secrets.ownership(secrets.scan(df, "doc_id", "text", "source", "doc_id")).collect()
+    assert [(r.owners, r.repos) for r in found] == [(2, 4)]
+    assert len(run(spark, rows)) == 5 and run(spark, []) == []

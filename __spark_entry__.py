@@ -13,7 +13,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,9 +21,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_queries import ORACLE
 from ordertide import fixed_values as V
+from ordertide.functions.numbers import is_special
 from ordertide.operators import changes, checks, history, upsert
 from ordertide.plans import models
-from ordertide.plans.refresh import KEY, TRACKED, refresh
+from ordertide.plans.check_list import run_checks
+from ordertide.plans.refresh import KEY, TRACKED, open_tables, refresh, refresh_cdc
 from ordertide.sources.orders import load_csv, star_orders
 from ordertide.sources.scratch import settle, shared_folder
 from ordertide.sources.tables import BY_MONTH, Table
@@ -73,9 +75,9 @@ class Star:
         """Whether order ids are unique: a narrow check that spares a full build a wide shuffle."""
         return checks.duplicates(self.fact, KEY).isEmpty()
 
-    def mart(self) -> DataFrame:
+    def mart(self, as_of: str | None = AS_OF) -> DataFrame:
         return models.agg_customers(
-            self.fact, self.statuses, self.customers, AS_OF, unique_orders=self.unique)
+            self.fact, self.statuses, self.customers, as_of, unique_orders=self.unique)
 
     def kpi(self) -> DataFrame:
         return models.sales_daily_kpi(models.daily_sales(
@@ -118,11 +120,16 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def csv_reload(spark: SparkSession, folder: str) -> DataFrame:
-    """Staged orders written as CSV, loaded back strictly, stored and read."""
+    """Staged orders written as CSV, loaded back strictly, stored and read.
+
+    Ids lie beyond 32 bits, and some cells hold line breaks.
+    """
     path = _folder(spark, "csv")
-    _star(spark, folder).staged.write.csv(path, header=True)
+    rows = _star(spark, folder).staged.withColumn("order_id", F.col("order_id") + 3_000_000_000)
+    rows = rows.withColumn("country", F.translate("country", " ", "\n"))
+    rows.write.csv(path, header=True, quoteAll=True, escape='"')
     table = Table(spark, _folder(spark, "raw"), BY_MONTH)
-    table.replace(load_csv(spark, path))
+    table.replace(load_csv(spark, path, multiline=True))
     return table.read()
 
 
@@ -176,13 +183,61 @@ def schema_sync(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.upsert(stored, models.fact_sales(new.enriched, since), [KEY])
 
 
-def refresh_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily figures after a first and a second run of the whole job."""
+_jobs: dict[tuple[str, str], str] = {}
+
+
+def _job(spark: SparkSession, folder: str) -> str:
+    """Root of a first and a second run of the whole job, run once per session and folder."""
+    place = spark.sparkContext.applicationId, folder
+    root = _jobs.get(place)
+    if root is None or open_tables(spark, root)["sales_daily_kpi"].version() is None:
+        old, new = _two_days(spark, folder)
+        root = _folder(spark, "job")
+        refresh(spark, root, old.raw, "2001-07-21 00:00:00", FIRST_LOAD)
+        refresh(spark, root, new.raw, NOON, LOADED_AT)
+        _jobs[place] = root
+    return root
+
+
+def job_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A stored table after two runs of the job."""
+    return lambda spark, folder: open_tables(spark, _job(spark, folder))[name].read()
+
+
+def job_dims(spark: SparkSession, folder: str) -> DataFrame:
+    """The members of all stored dimensions after two runs of the job."""
+    tables = open_tables(spark, _job(spark, folder))
+    members = {
+        "customer": F.concat_ws("/", "customer_id", "country"),
+        "status": F.concat_ws("/", "status", F.col("is_completed").cast("string")),
+        "date": F.col("order_date").cast("string"), "amount_bucket": F.col("amount_bucket"),
+    }
+    parts = [tables[f"dim_{n}"].read().select(
+        F.lit(n.removeprefix("amount_")).alias("dim"), m.alias("member")) for n, m in members.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def job_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily figures after a second run that rebuilds the marts."""
     old, new = _two_days(spark, folder)
     root = _folder(spark, "job")
     refresh(spark, root, old.raw, "2001-07-21 00:00:00", FIRST_LOAD)
-    refresh(spark, root, new.raw, NOON, LOADED_AT)
-    return Table(spark, f"{root}/marts/sales_daily_kpi").read()
+    refresh(spark, root, new.raw, NOON, LOADED_AT, full_refresh=True)
+    return open_tables(spark, root)["sales_daily_kpi"].read()
+
+
+def customers_special(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer mart where some amounts are NaN or infinite."""
+    raw, group = star_orders(spark, folder), F.col("order_id") % 500
+    amount = F.col("amount")
+    for k, value in enumerate(("nan", "inf", "-inf"), 1):
+        amount = F.when(group == k, float(value)).otherwise(amount)
+    mart = Star(settle(raw.withColumn("amount", amount))).mart()
+    value = F.col("lifetime_value")
+    kind = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(
+        value == -float("inf"), "-inf").otherwise("finite")
+    return mart.select("customer_id", "total_orders", "customer_segment", kind.alias("kind"), *[
+        F.when(~is_special(F.col(c)), F.col(c)).alias(c) for c in ("lifetime_value", "avg_order_value")])
 
 
 # -- change capture and history ------------------------------------------------
@@ -196,6 +251,48 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return changes.change_feed(*_two_states(spark, folder), KEY)
 
 
+def change_feed_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Some rows of the old state, and others of the new, are there twice."""
+    old, new = _two_states(spark, folder)
+    group = F.col("order_id") % 10
+    return changes.change_feed(
+        old.unionByName(old.filter(group == 4)), new.unionByName(new.filter(group.isin(0, 3))), KEY)
+
+
+def _three_states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The third takes back a change of the second and has changes of its own."""
+    old, new = _two_states(spark, folder)
+    group = F.col("order_id") % 10
+    last = star_orders(spark, folder).filter(group.isNull() | (group != 6)).withColumn(
+        "amount", F.when(group == 5, F.col("amount") + 1).otherwise(F.col("amount")))
+    return old, new, settle(last)
+
+
+def cdc_two_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Two feeds wait in the folder when the stream runs once."""
+    old, new, last = _three_states(spark, folder)
+    target = Table(spark, _folder(spark, "cdc"), BY_MONTH)
+    target.replace(_first_load(old))
+    files = _folder(spark, "feed")
+    for before, after in ((old, new), (new, last)):
+        changes.change_feed(before, after, KEY).write.mode("append").parquet(files)
+    offset = _folder(spark, "offset")
+    follow_feed(spark, files, old.schema, target, KEY, offset, lambda batch: LOADED_AT)
+    return target.read()
+
+
+def cdc_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream batch is merged between two daily runs on one table."""
+    old, new, last = _three_states(spark, folder)
+    raw, merged = (Table(spark, _folder(spark, n), BY_MONTH) for n in ("raw", "merged"))
+    raw.replace(old)
+    refresh_cdc(raw, merged, FIRST_LOAD)
+    merged.merge(changes.change_feed(old, new, KEY), KEY, LOADED_AT, feed="stream", batch=2)
+    raw.replace(last)
+    refresh_cdc(raw, merged, LOADED_AT)
+    return merged.read().drop(*changes.MARKS)
+
+
 def net_changes(spark: SparkSession, folder: str) -> DataFrame:
     return changes.net_changes(change_feed(spark, folder), KEY)
 
@@ -237,8 +334,8 @@ def _history(spark: SparkSession, folder: str) -> DataFrame:
     return history.scd2_apply(first, new, KEY, TRACKED, LOADED_AT)
 
 
-def orders_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    return history.state_at(settle(_history(spark, folder)), "2001-08-01 12:00:00")
+def orders_as_of(moment: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: history.state_at(settle(_history(spark, folder)), moment)
 
 
 # -- checks, on inputs that some rows fail ---------------------------------------
@@ -277,6 +374,29 @@ def check_type(spark: SparkSession, folder: str) -> DataFrame:
     })
 
 
+def check_report_failing(spark: SparkSession, folder: str) -> DataFrame:
+    """All checks on tables of which each breaks some rules, at least one of every kind."""
+    star, key = _stored(spark, folder), F.col("order_id")
+    lost = F.when(key % 50 == 0, "lost").when(key % 50 != 1, F.col("status"))
+    twice = star.raw.unionByName(star.raw.filter(key % 100 == 3))
+    broken = Star(settle(twice.withColumns({
+        "amount": F.col("amount") - 400, "status": F.when(key.isNull(), F.col("status")).otherwise(lost)})))
+    early = _before(star.raw, "1996-01-01")
+    kpi = broken.kpi()
+    tables = {
+        "stg_orders": broken.staged.withColumn("order_date", F.col("order_date").cast("string")),
+        "stg_orders_cdc": changes.initial_load(broken.staged, FIRST_LOAD).withColumn(
+            "_cdc_action", F.lit("LOAD")),
+        "int_orders_enriched": broken.enriched, "dim_customer": early.customers,
+        "dim_status": models.dim_status(broken.staged).filter("status <> 'pending'"),
+        "dim_date": models.dim_date(early.enriched),
+        "dim_amount_bucket": models.dim_amount_bucket(early.enriched).filter("amount_bucket <> 'small'"),
+        "fact_sales": broken.fact, "agg_customers": early.mart(),
+        "sales_daily_kpi": kpi.unionByName(kpi.filter("country = 'FRANCE'")),
+    }
+    return run_checks({name: settle(df) for name, df in tables.items()})
+
+
 def check_report(spark: SparkSession, folder: str) -> DataFrame:
     """All checks on the tables of a first run of the job."""
     raw = star_orders(spark, folder)
@@ -306,21 +426,34 @@ def order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_amount_bucket": lambda s, d: models.dim_amount_bucket(_star(s, d).enriched),
         "fact_sales_full": lambda s, d: _star(s, d).fact,
         "agg_customers_full": lambda s, d: _stored(s, d).mart(),
+        "agg_customers_today": lambda s, d: _stored(s, d).mart(None),
+        "agg_customers_special": customers_special,
         "sales_daily_kpi_full": lambda s, d: _stored(s, d).kpi(),
         "fact_sales_incremental": fact_incremental,
         "agg_customers_incremental": customers_incremental,
         "sales_daily_kpi_incremental": kpi_incremental,
         "kpi_replace_window": kpi_replace_window,
         "schema_sync": schema_sync,
-        "refresh_job": refresh_job,
+        "refresh_job": job_table("sales_daily_kpi"),
+        "refresh_job_fact": job_table("fact_sales"),
+        "refresh_job_customers": job_table("agg_customers"),
+        "refresh_job_cdc": job_table("stg_orders_cdc"),
+        "refresh_job_history": job_table("orders_snapshot"),
+        "refresh_job_dims": job_dims,
+        "refresh_job_full": job_full_refresh,
         "orders_change_feed": change_feed,
+        "orders_change_feed_copies": change_feed_copies,
         "orders_net_changes": net_changes,
         "stg_orders_cdc_initial": cdc_initial,
         "stg_orders_cdc_merge": cdc_merge,
         "stg_orders_cdc_merge_literal": cdc_merge_literal,
         "stg_orders_cdc_stream": cdc_stream,
+        "stg_orders_cdc_two_feeds": cdc_two_feeds,
+        "stg_orders_cdc_mixed": cdc_mixed,
         "orders_snapshot": _history,
-        "orders_as_of": orders_as_of,
+        "orders_as_of": orders_as_of("2001-08-01 12:00:00"),
+        "orders_as_of_boundary": orders_as_of(LOADED_AT),
+        "orders_as_of_later": orders_as_of("2001-08-03 00:00:00"),
         "check_not_null": lambda s, d: checks.null_rows(star_orders(s, d), KEY),
         "check_unique": lambda s, d: checks.duplicates(star_orders(s, d), "customer_id"),
         "check_accepted_values": lambda s, d: checks.unaccepted_values(
@@ -336,6 +469,7 @@ def order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_orphan_customers": check_orphan_customers,
         "source_freshness": lambda s, d: checks.freshness(star_orders(s, d), "order_date", NOON),
         "check_report": check_report,
+        "check_report_failing": check_report_failing,
     }
 
 

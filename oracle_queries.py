@@ -53,20 +53,21 @@ FIGURES = f"""CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders, {{0}} AS
        CAST(sum(is_completed) AS BIGINT) AS completed_orders"""
 
 
-def mart(name: str, source: str, dim: str, where: str = "TRUE") -> str:
+def mart(name: str, source: str, dim: str, where: str = "TRUE", today: str = TODAY,
+         total: str = TOTAL) -> str:
     return f"""{name} AS (
   SELECT customer_id, country, total_orders, lifetime_value, avg_order_value,
          first_order_date, last_order_date,
          CAST(date_diff('day', first_order_date, last_order_date) AS INTEGER)
            AS customer_lifespan_days,
          completed_orders, total_orders - completed_orders AS non_completed_orders,
-         CAST(date_diff('day', last_order_date, {TODAY}) AS INTEGER) AS days_since_last_order,
+         CAST(date_diff('day', last_order_date, {today}) AS INTEGER) AS days_since_last_order,
          CASE WHEN total_orders = 1 THEN 'one-time'
               WHEN total_orders <= 3 AND lifetime_value < 500 THEN 'occasional'
               WHEN total_orders > 3 AND lifetime_value >= 500 THEN 'loyal'
               WHEN lifetime_value >= 2000 THEN 'vip' ELSE 'regular' END AS customer_segment,
          round(completed_orders / nullif(total_orders, 0) * 100, 2) AS completion_rate_pct
-  FROM (SELECT customer_id, {FIGURES.format(TOTAL, 'lifetime_value')},
+  FROM (SELECT customer_id, {FIGURES.replace(TOTAL, total).format(total, 'lifetime_value')},
                min(order_date) AS first_order_date, max(order_date) AS last_order_date
         FROM {source} JOIN states{dim} USING (status) WHERE {where} GROUP BY customer_id)
   JOIN people{dim} USING (customer_id))"""
@@ -160,9 +161,32 @@ VERSIONS = f"""versions AS (
     WHERE a.order_id = b.order_id AND a.status IS NOT DISTINCT FROM b.status
       AND a.amount IS NOT DISTINCT FROM b.amount))"""
 
+LATEST = """latest AS (SELECT * REPLACE (CASE WHEN order_id % 10 = 5 THEN amount + 1 ELSE amount END
+  AS amount) FROM raw WHERE order_id IS NULL OR order_id % 10 <> 6)"""
+
 REFUNDS = "refunds AS (SELECT * REPLACE (amount - 400 AS amount) FROM f)"
 EARLY = [staged("s9", "raw", "order_date < DATE '1996-01-01'"), fact("f9", "s9"), dims("9", "s9")]
 
+# Amounts that no decimal holds, in some orders.
+ODD = """odd AS (SELECT * REPLACE (CASE WHEN order_id % 500 = 1 THEN 'nan'::DOUBLE
+  WHEN order_id % 500 = 2 THEN 'inf'::DOUBLE WHEN order_id % 500 = 3 THEN '-inf'::DOUBLE
+  ELSE amount END AS amount) FROM raw)"""
+ODD_TOTAL = """coalesce(sum(CASE WHEN NOT isfinite(amount) THEN amount END),
+  CAST(sum(CASE WHEN isfinite(amount) THEN CAST(amount AS DECIMAL(18,4)) END) AS DOUBLE))"""
+
+# The whole check list over tables of which each breaks some rules.
+BROKEN = """broken AS (SELECT * REPLACE (amount - 400 AS amount, CASE order_id % 50 WHEN 0 THEN 'lost'
+  WHEN 1 THEN NULL ELSE status END AS status) FROM (SELECT * FROM raw UNION ALL
+  SELECT * FROM raw WHERE order_id % 100 = 3))"""
+BROKEN_DIMS = f"""dim_customer AS (SELECT * FROM people9), dim_status AS (SELECT * FROM states
+  WHERE status <> 'pending'), dim_date AS (SELECT DISTINCT order_date FROM s9),
+dim_amount_bucket AS (SELECT DISTINCT amount_bucket FROM f9 WHERE amount_bucket <> 'small'),
+stg_orders AS (SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM s),
+stg_orders_cdc AS (SELECT *, 'LOAD' AS _cdc_action, {T0} AS _loaded_at FROM s),
+int_orders_enriched AS (SELECT *, {BUCKET}, {DONE} AS is_completed FROM s),
+fact_sales AS (SELECT * FROM f), agg_customers AS (SELECT * FROM m),
+sales_daily_kpi AS (SELECT * FROM k)"""
+
 # The whole check list over a first run of the job.
 DIMS = """dim_customer AS (SELECT * FROM people), dim_status AS (SELECT * FROM states),
 dim_date AS (SELECT DISTINCT order_date FROM s),
@@ -264,8 +288,8 @@ FROM ({rows})"""
 ORACLE = {
     "raw_orders": ask("SELECT * FROM raw"),
     "raw_orders_csv_reload": ask(
-        "SELECT * REPLACE (CAST(order_id AS INTEGER) AS order_id) FROM raw "
-        "WHERE order_id IS NOT NULL"),
+        "SELECT * REPLACE (order_id + 3000000000 AS order_id, "
+        "replace(country, ' ', chr(10)) AS country) FROM raw WHERE order_id IS NOT NULL"),
     "stg_orders": ask(NOW[0], "SELECT * FROM s"),
     "int_orders_enriched": ask(
         NOW[0], f"SELECT *, {attributes()}, {BUCKET}, {DONE} AS is_completed FROM s"),
@@ -280,6 +304,13 @@ ORACLE = {
 FROM (SELECT DISTINCT amount_bucket FROM f)"""),
     "fact_sales_full": ask(*NOW, "SELECT * FROM f"),
     "agg_customers_full": ask(*NOW, mart("m", "f", ""), "SELECT * FROM m"),
+    "agg_customers_today": ask(*NOW, mart("m", "f", "", today="current_date"), "SELECT * FROM m"),
+    "agg_customers_special": ask(ODD, *[x.replace("FROM raw", "FROM odd") for x in NOW],
+        mart("m", "f", "", total=ODD_TOTAL), """SELECT customer_id, total_orders, customer_segment,
+  CASE WHEN isnan(lifetime_value) THEN 'nan' WHEN isinf(lifetime_value)
+       THEN CASE WHEN lifetime_value > 0 THEN 'inf' ELSE '-inf' END ELSE 'finite' END AS kind,
+  CASE WHEN isfinite(lifetime_value) THEN lifetime_value END AS lifetime_value,
+  CASE WHEN isfinite(avg_order_value) THEN avg_order_value END AS avg_order_value FROM m"""),
     "sales_daily_kpi_full": ask(*NOW, daily("d", "f", ""), kpi("k", "d"), "SELECT * FROM k"),
     "fact_sales_incremental": ask(*RUN, "SELECT * FROM f1"),
     "agg_customers_incremental": ask(*RUN, *MART_RUN, "SELECT * FROM m1"),
@@ -289,9 +320,31 @@ UNION ALL SELECT * FROM k_fresh"""),
     "schema_sync": ask(*RUN, """SELECT * REPLACE (NULL AS amount_bucket) FROM f0
 WHERE order_id NOT IN (SELECT order_id FROM fresh) UNION ALL SELECT * FROM fresh"""),
     "refresh_job": KPI_UPSERT,
+    "refresh_job_fact": ask(*RUN, "SELECT * FROM f1"),
+    "refresh_job_customers": ask(*RUN, mart("m0", "f0", "0", today="DATE '2001-07-21'"), *MART_RUN[1:],
+                                 "SELECT * FROM m1"),
+    "refresh_job_cdc": ask(*NOW, f"""SELECT *, CASE WHEN {OLD_DAYS} THEN 'INITIAL_LOAD' ELSE 'INSERT' END
+  AS _cdc_action, CASE WHEN {OLD_DAYS} THEN {T0} ELSE {T1} END AS _loaded_at FROM s"""),
+    "refresh_job_history": ask(*NOW, f"""SELECT *, CASE WHEN {OLD_DAYS}
+  THEN TIMESTAMP '2001-07-21 00:00:00' ELSE TIMESTAMP '2001-08-02 12:00:00' END AS valid_from,
+  {OPEN_END} AS valid_to FROM s"""),
+    "refresh_job_dims": ask(*NOW, """SELECT 'customer' AS dim, customer_id || '/' || country AS member
+FROM people UNION ALL SELECT 'status', status || '/' || is_completed FROM states
+UNION ALL SELECT DISTINCT 'date', CAST(order_date AS VARCHAR) FROM s
+UNION ALL SELECT DISTINCT 'bucket', amount_bucket FROM f"""),
+    "refresh_job_full": ask(*NOW, daily("d", "f", ""), kpi("k", "d"), "SELECT * FROM k"),
     "orders_change_feed": ask(*STATES, f"""SELECT *, 'DELETE' AS _action,
   {PAIRED} AS _is_update, CAST(0 AS BIGINT) AS _seq FROM gone
 UNION ALL SELECT *, 'INSERT', {PAIRED}, 1 FROM come"""),
+    "orders_change_feed_copies": ask(*STATES, """old_c AS (SELECT * FROM before_ UNION ALL
+  SELECT * FROM before_ WHERE order_id % 10 = 4)""", """new_c AS (SELECT * FROM after_ UNION ALL
+  SELECT * FROM after_ WHERE order_id % 10 IN (0, 3))""",
+        "lost AS (SELECT * FROM old_c EXCEPT ALL SELECT * FROM new_c)",
+        "won AS (SELECT * FROM new_c EXCEPT ALL SELECT * FROM old_c)",
+        """SELECT *, 'DELETE' AS _action, order_id IN (SELECT order_id FROM new_c
+  WHERE order_id IS NOT NULL) AS _is_update, CAST(0 AS BIGINT) AS _seq FROM lost
+UNION ALL SELECT *, 'INSERT', order_id IS NOT NULL AND order_id IN (SELECT order_id FROM lost), 1
+FROM won"""),
     "orders_net_changes": ask(*STATES, f"""SELECT *, 'DELETE' AS _action,
   FALSE AS _is_update, CAST(0 AS BIGINT) AS _seq FROM gone
 WHERE order_id NOT IN (SELECT order_id FROM both_)
@@ -302,8 +355,13 @@ UNION ALL SELECT *, 'INSERT', {PAIRED}, 1 FROM come WHERE order_id IS NOT NULL""
     "stg_orders_cdc_merge_literal": ask(*STATES, MERGED, "SELECT * FROM merged"),
     "stg_orders_cdc_stream": ask(
         *STATES, MERGED, "SELECT * FROM merged WHERE order_id IS NOT NULL"),
+    "stg_orders_cdc_two_feeds": ask(*STATES[:2], LATEST, *[x.replace("after_", "latest")
+        for x in STATES[2:]], MERGED, "SELECT * FROM merged WHERE order_id IS NOT NULL"),
+    "stg_orders_cdc_mixed": ask(*STATES[:2], LATEST, "SELECT * FROM latest WHERE order_id IS NOT NULL"),
     "orders_snapshot": ask(*STATES, VERSIONS, "SELECT * FROM versions"),
     "orders_as_of": ask(*STATES, "SELECT * FROM before_"),
+    "orders_as_of_boundary": ask(*STATES, "SELECT * FROM after_ WHERE order_id IS NOT NULL"),
+    "orders_as_of_later": ask(*STATES, "SELECT * FROM after_ WHERE order_id IS NOT NULL"),
     "check_not_null": ask("SELECT * FROM raw WHERE order_id IS NULL"),
     "check_unique": ask("""SELECT customer_id, CAST(count(*) AS BIGINT) AS row_count FROM raw
 GROUP BY customer_id HAVING count(*) > 1"""),
@@ -342,6 +400,11 @@ HAVING count(*) > 1"""),
 FROM (SELECT newest, date_diff('second', newest, TIMESTAMP '2001-08-02 12:00:00') / 3600
         AS age_hours
       FROM (SELECT CAST(max(order_date) AS TIMESTAMP) AS newest FROM raw))"""),
+    "check_report_failing": ask(
+        BROKEN, *[x.replace("FROM raw", "FROM broken") for x in NOW], *EARLY, mart("m", "f9", "9"),
+        daily("d", "f", ""), kpi("k1", "d"),
+        "k AS (SELECT * FROM k1 UNION ALL SELECT * FROM k1 WHERE country = 'FRANCE')",
+        BROKEN_DIMS, _report()),
     "check_report": ask(*NOW, mart("m", "f", ""), daily("d", "f", ""), kpi("k", "d"), DIMS,
                         _report()),
 }

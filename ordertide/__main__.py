@@ -18,11 +18,14 @@ def main() -> int:
     parser.add_argument("--full-refresh", action="store_true", help="rebuild the marts")
     parser.add_argument("--replace-window", action="store_true",
                         help="drop days and countries that vanished inside the lookback")
+    parser.add_argument("--multiline", action="store_true",
+                        help="allow line breaks inside quoted cells (one task per file)")
     args = parser.parse_args()
 
     spark = session()
-    report = refresh(spark, args.root, load_csv(spark, args.orders), args.as_of, args.as_of,
-                     args.full_refresh, args.replace_window)
+    raw = load_csv(spark, args.orders, args.multiline)
+    report = refresh(spark, args.root, raw, args.as_of, args.as_of, args.full_refresh,
+                     args.replace_window)
     print(f"freshness: {report.freshness}")
     for name, rows in report.rows.items():
         print(f"{name}: {rows} rows written")

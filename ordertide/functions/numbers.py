@@ -6,9 +6,31 @@ MONEY = "decimal(18,4)"
 MONEY_TOTAL = "decimal(28,4)"
 
 
+def is_special(amount: Column) -> Column:
+    """NaN or infinite, which no decimal can hold."""
+    return F.isnan(amount) | (F.abs(amount) == float("inf"))
+
+
+def _added(exact: Column, special: Column) -> Column:
+    """The exact total, unless special values were added: then what doubles give."""
+    return F.coalesce(special, exact.cast("double"))
+
+
 def money_sum(amount: Column) -> Column:
-    """Exact sum: doubles are added as decimals, so any partitioning gives one result."""
-    return F.sum(amount.cast(MONEY))
+    """Exact sum as a double: amounts are added as decimals, so any partitioning gives one result.
+
+    NaN and infinite amounts are added by themselves, and if there are any their
+    sum is the result, as it is when doubles are added.
+    """
+    odd = is_special(amount)
+    return _added(F.sum(F.when(~odd, amount.cast(MONEY))), F.sum(F.when(odd, amount)))
+
+
+def money_total(amount: Column, over) -> Column:
+    """The same over a window."""
+    odd = is_special(amount)
+    return _added(F.sum(F.when(~odd, amount.cast(MONEY_TOTAL))).over(over),
+                  F.sum(F.when(odd, amount)).over(over))
 
 
 def money_avg(amount: Column) -> Column:
@@ -18,7 +40,7 @@ def money_avg(amount: Column) -> Column:
     a semi join below it.
     """
     count = F.count(amount)
-    return money_sum(amount).cast("double") / F.when(count > 0, count)
+    return money_sum(amount) / F.when(count > 0, count)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -13,31 +13,35 @@ MARKS = ["_cdc_action", "_loaded_at"]
 def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0) -> DataFrame:
     """Inserts, deletes and update pairs that lead from ``old`` to ``new``.
 
-    Rows are compared as a whole, null-safe, by one aggregate over both states,
-    so copies of a key never meet in pairs. Copies equal in all columns count
-    once. A key with changed rows on both sides is an update: its old rows are
-    DELETE events, its new ones INSERT events, both with ``_is_update``.
+    Rows are compared as a whole, null-safe, by one aggregate over both states
+    that counts copies, so copies of a key never meet in pairs; as many events
+    come out as there are copies more or less. A key that lost rows and gained
+    others is an update: its old rows are DELETE events, its new ones INSERT
+    events, both with ``_is_update``. A key that lost rows but still has one is
+    not deleted either, so its DELETE events carry the mark too.
     """
     columns = new.columns
-    sides = old.select(*columns, F.lit(True).alias("was"), F.lit(False).alias("now")).unionByName(
-        new.select(*columns, F.lit(False).alias("was"), F.lit(True).alias("now"))
+    sides = old.select(*columns, F.lit(-1).alias("sign")).unionByName(
+        new.select(*columns, F.lit(1).alias("sign"))
     )
     changed = (
         sides.groupBy(*columns)
-        .agg(F.max("was").alias("was"), F.max("now").alias("now"))
-        .filter(F.col("was") != F.col("now"))
+        .agg(F.sum("sign").alias("more"))
+        .filter(F.col("more") != 0)
+        .withColumn("was", F.col("more") < 0)
     )
+    # Keys that lost a row and have one now. The keys that lost rows are few.
+    lost = changed.filter("was").select(F.col(key).alias("_key")).distinct()
     updated = (
-        changed.groupBy(key)
-        .agg(F.max("was").alias("was"), F.max("now").alias("now"))
-        .filter(F.col("was") & F.col("now"))
-        .select(key, F.lit(True).alias("paired"))
+        new.select(key).join(lost, F.col(key).eqNullSafe(F.col("_key")), "left_semi").distinct()
+        .withColumn("paired", F.lit(True))
     )
     # Null-safe, so that no filter on the key tells the two uses of "changed"
     # apart and Spark shuffles the two states once for both.
     row, event = F.col(f"c.{key}"), changed.alias("c")
     pair = event.join(updated.alias("u"), row.eqNullSafe(F.col(f"u.{key}")), "left")
-    return pair.select(
+    copies = F.explode(F.array_repeat(F.lit(0), F.abs("c.more").cast("int")))
+    return pair.select("*", copies.alias("_copy")).select(
         *[F.col(f"c.{c}") for c in columns],
         F.when(F.col("c.was"), DELETE).otherwise(INSERT).alias("_action"),
         (F.col("u.paired").isNotNull() & row.isNotNull()).alias("_is_update"),
@@ -46,30 +50,36 @@ def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0) ->
 
 
 def net_changes(feed: DataFrame, key: str) -> DataFrame:
-    """One final change per key; events without effect and NULL keys are left out.
-
-    A key whose first event is a DELETE was there before; one whose last event
-    is an INSERT is there after. Both are found by min/max, which Spark combines
-    before the shuffle, so a key with very many events is no hot spot.
+    """The net effect of all events per key; NULL keys are left out.
+
+    Events of equal rows cancel, whatever their order and number, so feeds that
+    wait together need no common numbering and no tie is decided by values. What
+    a key gained in the end is one INSERT per copy, an update if it also lost
+    rows. A key that only lost rows is a DELETE, unless every such event says
+    that the key is still there. Counts are combined before each shuffle, so a
+    key with very many events is no hot spot.
     """
     values = [c for c in feed.columns if c not in FEED]
-    event = F.struct("_seq", (F.col("_action") == INSERT).alias("came"), *values)
-    ends = (
+    came = F.col("_action") == INSERT
+    rows = (
         feed.filter(F.col(key).isNotNull() & F.col("_action").isin(INSERT, DELETE))
-        .groupBy(F.col(key).alias("k"))
-        .agg(F.min(event).alias("first"), F.max(event).alias("last"))
-    )
-    before, after = ~F.col("first.came"), F.col("last.came")
-    same = F.struct(*[f"first.{c}" for c in values]).eqNullSafe(
-        F.struct(*[f"last.{c}" for c in values])
-    )
-    gone = before & ~after
-    return ends.filter(gone | (after & ~(before & same))).select(
-        *[F.when(gone, F.col(f"first.{c}")).otherwise(F.col(f"last.{c}")).alias(c) for c in values],
-        F.when(gone, DELETE).otherwise(INSERT).alias("_action"),
-        (before & after).alias("_is_update"),
-        F.col("last._seq").alias("_seq"),
+        .groupBy(*values)
+        .agg(F.sum(F.when(came, 1).otherwise(-1)).alias("more"), F.max("_seq").alias("last"),
+             F.max(~came & ~F.col("_is_update")).alias("ended"))
     )
+    lost = F.when(F.col("more") < 0, F.struct(*values))
+    keys = rows.groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.col("more") > 0).alias("gain"), F.max(lost).alias("lost"),
+        F.max("last").alias("_seq"), F.max("ended").alias("ended"))
+    gone = keys.filter(~F.col("gain") & F.col("lost").isNotNull() & F.col("ended")).select(
+        *[F.col(f"lost.{c}").alias(c) for c in values], F.lit(DELETE).alias("_action"),
+        F.lit(False).alias("_is_update"), "_seq")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("more").cast("int"))).alias("_copy")
+    gained = rows.filter("more > 0").select(*values, copies).join(
+        keys.select("_key", F.col("lost").isNotNull().alias("_lost"), "_seq"), F.col(key) == F.col("_key"))
+    return gained.select(
+        *values, F.lit(INSERT).alias("_action"), F.col("_lost").alias("_is_update"), "_seq",
+    ).unionByName(gone)
 
 
 def initial_load(rows: DataFrame, loaded_at) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ordertide.fixed_values import ERROR_AFTER_HOURS, VALUE_TOLERANCE, WARN_AFTER_HOURS
-from ordertide.functions.numbers import money_sum
+from ordertide.functions.numbers import is_special, money_sum
 
 
 def is_unaccepted(column: str, accepted: list) -> Column:
@@ -12,11 +12,14 @@ def is_unaccepted(column: str, accepted: list) -> Column:
 
 
 def is_outside(column: str, low=None, high=None) -> Column:
-    """True below ``low`` or above ``high``, bounds allowed; NULL is not judged."""
+    """True below ``low`` or above ``high``, bounds allowed, and for NaN and infinite values.
+
+    NULL is not judged.
+    """
     value = F.col(column)
     below = value < low if low is not None else F.lit(False)
     above = value > high if high is not None else F.lit(False)
-    return below | above
+    return below | above | is_special(value.cast("double"))
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
@@ -55,7 +58,10 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 def column_types(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     """Expected and actual type of columns, with the number of rows held in the wrong type."""
     actual = dict(df.dtypes)
-    rows = df.agg(F.count("*").alias("n"))
+    if all(actual.get(name) == kind for name, kind in expected.items()):
+        rows = df.sparkSession.range(1).select(F.lit(0).alias("n"))  # no row is in a wrong type
+    else:
+        rows = df.agg(F.count("*").alias("n"))
     entries = F.array(*[
         F.struct(
             F.lit(name).alias("column_name"),
@@ -75,7 +81,7 @@ def value_mismatches(fact: DataFrame, customers: DataFrame,
                      tolerance: float = VALUE_TOLERANCE) -> DataFrame:
     """Customers whose lifetime value is not the sum of their orders."""
     expected = fact.groupBy("customer_id").agg(
-        money_sum(F.col("amount")).cast("double").alias("expected_ltv")
+        money_sum(F.col("amount")).alias("expected_ltv")
     )
     actual = customers.select("customer_id", F.col("lifetime_value").alias("actual_ltv"))
     gap = F.abs(F.col("expected_ltv") - F.col("actual_ltv"))

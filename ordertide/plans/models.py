@@ -94,7 +94,7 @@ def agg_customers(
         .groupBy("customer_id")
         .agg(
             order_count(unique_orders).alias("total_orders"),
-            numbers.money_sum(amount).cast("double").alias("lifetime_value"),
+            numbers.money_sum(amount).alias("lifetime_value"),
             numbers.money_avg(amount).alias("avg_order_value"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
@@ -141,7 +141,7 @@ def daily_sales(
         .groupBy("order_date", "country")
         .agg(
             order_count(unique_orders).alias("total_orders"),
-            numbers.money_sum(amount).cast("double").alias("revenue"),
+            numbers.money_sum(amount).alias("revenue"),
             numbers.money_avg(amount).alias("avg_order_value"),
             F.sum("is_completed").alias("completed_orders"),
         )
@@ -164,12 +164,11 @@ def sales_daily_kpi(
     days = W.partitionBy("country").orderBy("order_date")
     so_far = days.rowsBetween(W.unboundedPreceding, W.currentRow)
     ranking = W.partitionBy("order_date").orderBy(F.desc_nulls_last("revenue"))
-    exact = F.col("revenue").cast(numbers.MONEY_TOTAL)
     revenue, total = F.col("revenue"), F.col("total_orders")
     before, total_before = F.col("revenue_prev_day"), F.col("orders_prev_day")
     out = daily.select(
         *DAILY,
-        F.sum(exact).over(so_far).cast("double").alias("revenue_running_total"),
+        numbers.money_total(revenue, so_far).alias("revenue_running_total"),
         F.lag("revenue").over(days).alias("revenue_prev_day"),
         F.lag("total_orders").over(days).alias("orders_prev_day"),
         F.rank().over(ranking).alias("country_revenue_rank"),

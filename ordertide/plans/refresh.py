@@ -84,14 +84,23 @@ def create_views(spark: SparkSession) -> None:
 
 
 def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
-    """Load the merged table once, then bring it from the raw version it knows to the newest."""
+    """Load the merged table once, then bring it from the raw version it knows to the newest.
+
+    A merged table whose newest version did not come from raw (loaded by hand, or
+    merged from another feed) is no raw version any more; it is compared itself.
+    """
     current, known = raw.version(), merged.version()
     if known is None:
         rows = initial_load(models.stg_orders(raw.read()), loaded_at)
         return merged.replace(rows, feed="raw", batch=current.number, clustered=True)
-    if known.batch == current.number:
+    base = known.batches.get("raw") if known.feed == "raw" else None
+    if base == current.number:
         return 0
-    feed = change_feed(raw.read(number=known.batch), raw.read(), KEY)
+    if base is None:
+        old, new = merged.read().select(*V.ORDER_COLUMNS), models.stg_orders(raw.read())
+    else:
+        old, new = raw.read(number=base), raw.read()
+    feed = change_feed(old, new, KEY, first_seq=2 * current.number)
     return merged.merge(feed, KEY, loaded_at, feed="raw", batch=current.number)
 
 

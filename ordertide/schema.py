@@ -3,7 +3,7 @@
 from pyspark.sql import types as T
 
 RAW_ORDERS = T.StructType([
-    T.StructField("order_id", T.IntegerType()),
+    T.StructField("order_id", T.LongType()),
     T.StructField("customer_id", T.StringType()),
     T.StructField("order_date", T.DateType()),
     T.StructField("amount", T.DoubleType()),

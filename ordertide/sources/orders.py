@@ -5,9 +5,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ordertide.schema import RAW_ORDERS
 
 
+# What a number or a date must look like as a whole; a cast alone reads "2024" as a day.
+PATTERNS = {
+    "bigint": r"[+-]?\d+",
+    "double": r"(?i)[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)",
+    "date": r"\d{4}-\d{1,2}-\d{1,2}",
+}
+
+
 def _required(name: str, kind: str) -> Column:
     text = F.col(name)
-    value = text.try_cast(kind)
+    whole = F.regexp(F.trim(text), F.lit(f"^(?:{PATTERNS[kind]})$"))
+    value = F.when(whole, F.trim(text).try_cast(kind))
     problem = F.concat(F.lit(f"raw orders: bad {name}: "), F.coalesce(text, F.lit("(empty)")))
     return F.when(value.isNull(), F.raise_error(problem).cast(kind)).otherwise(value)
 

@@ -11,7 +11,7 @@ from ordertide.operators.history import changed_groups, in_groups, scd2_apply
 from ordertide.operators.upsert import replace_window, same_key, upsert
 from ordertide.sources.scratch import settle
 
-LOG = "version long, feed string, batch long, columns string, folders map<string,string>"
+LOG = "version long, feed string, batches map<string,long>, columns string, folders map<string,string>"
 
 LAYERS = ["raw", "staging", "marts", "snapshots"]
 
@@ -32,11 +32,12 @@ def _is_month(name: str) -> bool:
 
 @dataclass(frozen=True)
 class Version:
-    """A committed version: which folder holds each slice, and the last feed batch in it."""
+    """A committed version: which folder holds each slice, the feed it came from, and the
+    last batch of every feed in it."""
 
     number: int
     feed: str | None
-    batch: int | None
+    batches: dict[str, int]
     schema: T.StructType
     folders: dict[str, str]
 
@@ -74,7 +75,7 @@ class Table:
         if row is None:
             return None
         schema = T.StructType.fromJson(json.loads(row["columns"]))
-        return Version(row["version"], row["feed"], row["batch"], schema, row["folders"])
+        return Version(row["version"], row["feed"], row["batches"] or {}, schema, row["folders"])
 
     def read(self, slices=None, number: int | None = None) -> DataFrame:
         """The rows of the newest (or given) version, of all or some slices."""
@@ -153,10 +154,11 @@ class Table:
         # Names and row counts come from folder names and file footers.
         written = self.spark.read.schema("slice string").parquet(f"{self.root}/{folder}")
         counts = {r["slice"]: r["count"] for r in written.groupBy("slice").count().collect()}
-        if feed is None and before is not None:
-            feed, batch = before.feed, before.batch
+        batches = {} if before is None else dict(before.batches)
+        if feed is not None:
+            batches[feed] = batch
         entry = json.dumps({
-            "version": number, "feed": feed, "batch": batch, "columns": rows.schema.json(),
+            "version": number, "feed": feed, "batches": batches, "columns": rows.schema.json(),
             "folders": {**kept, **{name: f"{folder}/slice={name}" for name in counts}},
         })
         line = self.spark.range(1).coalesce(1).select(F.lit(entry).alias("value"))
@@ -225,11 +227,14 @@ class Table:
 
     def merge(self, feed_rows: DataFrame, key: str, loaded_at,
               feed: str | None = None, batch: int | None = None) -> int:
-        """Merge the net effect of a feed batch; a batch already in the table is skipped."""
+        """Merge the net effect of a feed batch; one not after the feed's last is skipped.
+
+        Each feed has its own count of batches, so several may take turns.
+        """
         version = self.version()
         if version is None:
             raise LookupError(f"load {self.root} before merging changes into it")
-        if feed is not None and version.feed == feed and version.batch >= batch:
+        if feed is not None and version.batches.get(feed, batch - 1) >= batch:
             return 0
         changes = settle(net_changes(feed_rows, key))
         touched = self._slices_of(changes.filter("_action = 'INSERT'"))
@@ -246,6 +251,7 @@ class Table:
         version = self.version()
         if version is None:
             return self.replace(scd2_apply(None, source, key, tracked, as_of))
+        self._refuse_backdated(version, as_of)
         standing = self._read(version, [s for s in version.folders if s.startswith("open-")])
         changed = changed_groups(standing, source, key, tracked)
         now = F.lit(as_of).cast("timestamp_ntz")
@@ -259,6 +265,14 @@ class Table:
         rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of, changed)
         return self._rewrite(version, touched, rows)
 
+    def _refuse_backdated(self, version: Version, as_of) -> None:
+        """A version may not end before it began: ``as_of`` must not lie before the newest one."""
+        now = F.lit(as_of).cast("timestamp_ntz")
+        newest = self._read(version).agg(F.max("valid_from").alias("at")).select(
+            "at", (F.col("at") > now).alias("later")).first()
+        if newest["later"]:
+            raise ValueError(f"history at {self.root} has versions of {newest['at']}, after {as_of}")
+
     def read_valid(self, moment: datetime) -> DataFrame:
         """Versions of a history cut BY_VALIDITY that may be valid at ``moment`` or later."""
         version, first = self.version(), f"closed-{moment:%Y-%m}"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ordertide.operators.changes import change_feed, initial_load, merge_changes, net_changes
 from ordertide.operators.history import scd2_apply, state_at
 from ordertide.plans.models import stg_orders
-from ordertide.plans.refresh import orders_at
+from ordertide.plans.refresh import orders_at, refresh_cdc
 from ordertide.schema import RAW_ORDERS, feed_schema
 from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, Table
 from ordertide.streaming.cdc import follow_feed
@@ -200,8 +200,9 @@ def test_stream_merges_each_file_once(spark, tmp_path, states):
     run()
     assert as_set(target.read().select(*SIX)) == as_set(old)
     version = target.version()
+    (feed_name, last), = version.batches.items()
     again = change_feed(old, new, KEY)                           # the last batch handed over twice
-    assert target.merge(again, KEY, T2, feed=version.feed, batch=version.batch) == 0
+    assert target.merge(again, KEY, T2, feed=feed_name, batch=last) == 0
     assert target.version().number == version.number
     assert target.merge(again, KEY, T2, feed="another stream", batch=0) == 7
 
@@ -309,3 +310,81 @@ def test_null_values_are_compared_and_null_keys_left_out(spark):
     first = scd2_apply(None, source, KEY, TRACKED, T1)
     assert first.count() == 1
     assert scd2_apply(first, source, KEY, TRACKED, T2).count() == 1
+
+
+# -- copies, several feeds, unknown bases ---------------------------------------------
+
+
+def orders(spark, *rows):
+    """Orders from (id, amount); all else is equal."""
+    return raw_orders(spark, [(i, "C", "2025-01-01", a, "completed", "FR") for i, a in rows])
+
+
+def events(feed):
+    return sorted((r.order_id, r.amount, r._action, r._is_update) for r in feed.collect())
+
+
+def test_feed_counts_copies(spark):
+    one, two = orders(spark, (1, 5.0)), orders(spark, (1, 5.0), (1, 5.0))
+    assert events(change_feed(one, two, KEY)) == [(1, 5.0, "INSERT", False)]
+    assert events(change_feed(two, one, KEY)) == [(1, 5.0, "DELETE", True)]
+    new = orders(spark, (1, 5.0), (2, 7.0), (2, 7.0))
+    feed = change_feed(one, new, KEY)
+    assert events(feed) == [(2, 7.0, "INSERT", False)] * 2
+    target = initial_load(one, T1)
+    merged = merge_changes(target, net_changes(feed, KEY), KEY, T2)
+    assert sorted((r.order_id, r.amount) for r in merged.collect()) == [(1, 5.0), (2, 7.0), (2, 7.0)]
+
+
+def test_losing_one_of_several_rows_deletes_nothing(spark):
+    old, new = orders(spark, (1, 5.0), (1, 6.0), (2, 1.0)), orders(spark, (1, 5.0))
+    feed = change_feed(old, new, KEY)
+    assert events(feed) == [(1, 6.0, "DELETE", True), (2, 1.0, "DELETE", False)]
+    assert events(net_changes(feed, KEY)) == [(2, 1.0, "DELETE", False)]
+
+
+def test_net_effect_does_not_depend_on_numbering(spark):
+    a, b, c = (orders(spark, (1, x), (2, y)) for x, y in ((10.0, 1.0), (20.0, 2.0), (5.0, 1.0)))
+    feeds = [change_feed(a, b, KEY), change_feed(b, c, KEY)]
+    for pair in (feeds, feeds[::-1]):
+        net = net_changes(pair[0].unionByName(pair[1]), KEY)
+        assert events(net) == [(1, 5.0, "INSERT", True)]
+
+
+def test_two_feeds_waiting_for_one_stream_run(spark, tmp_path):
+    a, b, c = (orders(spark, (1, x), (2, 1.0)) for x in (10.0, 20.0, 5.0))
+    target = Table(spark, str(tmp_path / "t"), BY_MONTH)
+    target.replace(initial_load(a, T1))
+    for old, new in ((a, b), (b, c)):
+        change_feed(old, new, KEY).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    follow_feed(spark, str(tmp_path / "feed"), RAW_ORDERS, target, KEY, str(tmp_path / "o"), lambda n: T2)
+    assert as_set(target.read(), "order_id", "amount") == {(1, 5.0), (2, 1.0)}
+
+
+def test_daily_run_and_stream_take_turns(spark, tmp_path):
+    raw, merged = (Table(spark, str(tmp_path / n), BY_MONTH) for n in ("raw", "merged"))
+    raw.replace(orders(spark, (1, 1.0)))
+    refresh_cdc(raw, merged, T1)
+    extra = change_feed(orders(spark, (1, 1.0)), orders(spark, (1, 1.0), (3, 3.0)), KEY)
+    assert merged.merge(extra, KEY, T2, feed="stream", batch=2) > 0
+    raw.replace(orders(spark, (1, 1.0), (2, 2.0), (3, 3.0)))
+    refresh_cdc(raw, merged, T2)
+    assert as_set(merged.read(), "order_id", "amount") == {(1, 1.0), (2, 2.0), (3, 3.0)}
+    assert merged.merge(extra, KEY, T2, feed="stream", batch=2) == 0
+    assert refresh_cdc(raw, merged, T2) == 0
+
+
+def test_merged_table_of_unknown_origin_is_compared_with_raw(spark, tmp_path):
+    raw, merged = (Table(spark, str(tmp_path / n), BY_MONTH) for n in ("raw", "merged"))
+    raw.replace(orders(spark, (1, 1.0), (2, 2.0)))
+    merged.replace(initial_load(orders(spark, (1, 1.0), (9, 9.0)), T1))
+    refresh_cdc(raw, merged, T2)
+    assert as_set(merged.read(), "order_id", "amount", "_cdc_action") == {
+        (1, 1.0, "INITIAL_LOAD"), (2, 2.0, "INSERT")}
+
+
+def test_history_refuses_a_backdated_run(spark, tmp_path):
+    table = Table(spark, str(tmp_path), BY_VALIDITY)
+    table.remember(orders(spark, (1, 1.0)), KEY, TRACKED, T2)
+    with pytest.raises(ValueError, match="after"):
+        table.remember(orders(spark, (1, 2.0)), KEY, TRACKED, T1)

@@ -46,6 +46,9 @@ def test_quotes_and_empty_text(spark, tmp_path):
     "x,C,2025-01-01,1.0,completed,FR", "1.5,C,2025-01-01,1.0,completed,FR",
     ",C,2025-01-01,1.0,completed,FR", "1,C,2025-01-01,ten,completed,FR",
     "1,C,2025-01-01,,completed,FR", "1,C,someday,1.0,completed,FR",
+    "1,C,2024,1.0,completed,FR", "1,C,2024-01-05 xyz,1.0,completed,FR", "1,C,2024-01,1.0,completed,FR",
+    "1,C,2025-01-01,12d,completed,FR", "1,C,2025-01-01,0x1p3,completed,FR", "1,C,2025-02-30,1.0,completed,FR",
+    "9223372036854775808,C,2025-01-01,1.0,completed,FR",
 ])
 def test_bad_values_fail_the_load(spark, tmp_path, line):
     rows = load_csv(spark, csv(tmp_path, HEADER + line + "\n"))
@@ -53,6 +56,14 @@ def test_bad_values_fail_the_load(spark, tmp_path, line):
         rows.collect()
 
 
+def test_large_ids_special_amounts_and_line_breaks(spark, tmp_path):
+    text = HEADER + '3000000000,"a\nb",2025-1-05, +1.5e3 ,completed,FR\n-1,C,2025-01-01,NaN,,FR\n2,C,2025-01-01,-inf,,FR\n'
+    rows = load_csv(spark, csv(tmp_path, text), multiline=True).collect()
+    assert [(r.order_id, r.customer_id, str(r.order_date)) for r in rows] == [
+        (3_000_000_000, "a\nb", "2025-01-05"), (-1, "C", "2025-01-01"), (2, "C", "2025-01-01")]
+    assert rows[0].amount == 1500.0 and rows[1].amount != rows[1].amount and rows[2].amount == -float("inf")
+
+
 def test_files_with_another_header_fail_the_load(spark, tmp_path):
     (tmp_path / "a.csv").write_text(HEADER + "1,C,2025-01-01,1.0,completed,FR\n" * 50)
     (tmp_path / "b.csv").write_text("customer_id,order_id,order_date,amount,status,country\n9,2,2025-01-01,1,x,FR\n")

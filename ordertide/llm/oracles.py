@@ -48,4 +48,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN h ON f.source = h.source
 """
 
-ORACLES = {"op7_warc_archive": WARC, "op8_host_rules": HOST_RULES}
+JACCARD = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3
+ THEN [array_to_string(ws, ' ')] ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]
+  FOR i IN range(1, len(ws) - 1)] END)) AS g FROM w),
+classes AS (SELECT g, min(doc_id) AS c, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT c, n, unnest(g) AS x FROM classes),
+links AS (SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.x = b.x AND a.c < b.c
+ AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+ GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN both_ l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s.g)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM s LEFT JOIN classes ON s.g = classes.g LEFT JOIN least ON c = a
+"""
+
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, i, lines[i + 1] AS line, len(lines) AS n,
+ len(regexp_extract_all(lines[i + 1], '[^\x20\x09-\x0D]+')) AS w
+ FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l),
+need AS (SELECT a.doc_id, a.i, min(b.i) AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i
+ AND b.upto - a.upto + a.w >= 50 GROUP BY a.doc_id, a.i),
+runs AS (SELECT need.doc_id, need.i, need.j, list(line ORDER BY c.i) AS run
+ FROM need JOIN c ON c.doc_id = need.doc_id AND c.i BETWEEN need.i AND need.j GROUP BY ALL),
+later AS (SELECT doc_id, i, j FROM runs
+ QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later),
+stretches AS (SELECT doc_id, min(i) AS a, max(i) AS b FROM (SELECT doc_id, i,
+ i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM gone) GROUP BY doc_id, k),
+cuts AS (SELECT doc_id, sum(b - a + 1)::BIGINT AS n_removed,
+ string_agg(a || '-' || b, ',' ORDER BY a) AS removed FROM stretches GROUP BY doc_id),
+kept AS (SELECT doc_id, count(*) AS n_lines, coalesce(string_agg(line, chr(10) ORDER BY l.i)
+ FILTER (WHERE gone.i IS NULL), '') AS text FROM l LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+ coalesce(removed, '') AS removed, kept.text
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN cuts USING (doc_id)
+"""
+
+ORACLES = {
+    "op5_jaccard_components": JACCARD, "op6_line_dedup": LINE_DEDUP,
+    "op7_warc_archive": WARC, "op8_host_rules": HOST_RULES,
+}

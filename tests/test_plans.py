@@ -7,10 +7,10 @@ import re
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 import __spark_entry__ as entry
-from ordertide.operators import changes, history, upsert
+from ordertide.operators import changes, checks, history, upsert
 from ordertide.plans import models
 from ordertide.sources.scratch import settle
 from ordertide.sources.tables import BY_MONTH, Table
@@ -66,12 +66,25 @@ BIG = dict(spark__sql__autoBroadcastJoinThreshold="8k",
            spark__sql__shuffle__partitions="16")
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in (
-    "refresh_job", "check_report", "stg_orders_cdc_stream")])
-def test_no_pair_joins_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "MapPartitions"):
-        assert node not in text
+@pytest.fixture
+def written(monkeypatch):
+    """Plans of everything that is written: settled rows, slices of stored tables, feeds."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def record(writer, *args, **more):
+        plans.append(plan(writer._df))
+        return write(writer, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", record)
+    return plans
+
+
+@pytest.mark.parametrize("name", list(entry.order_queries()))
+def test_no_pair_joins_and_no_python(spark, name, written):
+    last = plan(entry.order_queries()[name](spark, FOLDER))
+    for text in [*written, last]:
+        for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "MapPartitions"):
+            assert node not in text
 
 
 def test_scans_read_only_what_they_need(spark, shop):
@@ -173,6 +186,23 @@ def test_hot_keys_are_split_and_stay_whole(spark, shop):
         assert history.state_at(second, T2).count() == old.count()
 
 
+def test_feed_splits_a_hot_key(spark, shop):
+    """A third of the rows, all different, belong to one key that changes as a whole."""
+    old = settle(hot(shop))
+    new = settle(old.withColumn("amount", F.coalesce("amount", F.lit(1.0)) + 1))
+    with settings(spark, **BIG):
+        feed = changes.change_feed(old, new, "order_id")
+        assert "skew=true" in final_plan(feed)
+        assert feed.count() == 2 * old.count()
+
+
+def test_types_are_checked_without_a_scan(spark, shop):
+    right = checks.column_types(shop, {"order_id": "bigint", "amount": "double"})
+    assert "FileScan" not in plan(right) and {r.failing_rows for r in right.collect()} == {0}
+    wrong = checks.column_types(shop, {"order_id": "int"})
+    assert [r.failing_rows for r in wrong.collect()] == [200_000]
+
+
 def test_date_bound_prunes_folders_and_reaches_the_scan(spark, shop, tmp_path):
     table = Table(spark, str(tmp_path), BY_MONTH)
     table.replace(shop)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from ordertide.llm.common import map_rows, pairs, type_of
 from ordertide.sources.scratch import settle
 
-CHUNK, OVERLAP, GROW = 1 << 15, 1 << 9, 8
+CHUNK, OVERLAP, GROW = 1 << 16, 1 << 9, 8
 MARKS = "array<struct<pos:long,cum:long>>"
 
 

@@ -52,6 +52,11 @@ def map_rows(df: DataFrame, make: Callable, schema: str, size: int = SLICE) -> D
     return df.mapInArrow(run, schema)
 
 
+def few_files(df: DataFrame, rows: int, per_file: int = 100_000) -> DataFrame:
+    """``df`` in no more partitions than its about ``rows`` rows need, for writing it."""
+    return df.coalesce(max(1, -(-rows // per_file)))
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ordertide.llm.common import map_rows, quoted, type_of
+from ordertide.llm.common import few_files, map_rows, quoted, type_of
 from ordertide.sources.scratch import settle
 
 MIN_WORDS = 50
@@ -109,10 +109,13 @@ def _running():
     return step
 
 
-def ranked(pairs: DataFrame) -> DataFrame:
-    """Columns a, b and rank: how many suffixes stand before the pair's first in global order."""
+def ranked(pairs: DataFrame, count: int) -> DataFrame:
+    """Columns a, b and rank: how many suffixes stand before the pair's first in global order.
+
+    ``count``: the number of suffixes, which bounds that of distinct pairs.
+    """
     spark = pairs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 100_000 + 1)
     classes = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     ordered = classes.repartitionByRange(parts, "a", "b").sortWithinPartitions("a", "b")
     summed = settle(map_rows(ordered, _running, f"a {type_of(pairs, 'a')}, b long, n long, "
@@ -134,13 +137,13 @@ def suffix_ranks(starts: DataFrame, rounds: int) -> DataFrame:
     suffixes that continue it.
     """
     stretch = Window.partitionBy("doc", "stretch").orderBy("i")
-    rows, column, gap = starts, F.col("line"), 0
+    rows, column, gap, count = starts, F.col("line"), 0, starts.count()
     for k in range(rounds + 1):
         then = F.coalesce(F.lead(f"r{k - 1}", gap).over(stretch), F.lit(-1)) if k else F.lit(0)
         paired = rows.withColumn("a", column).withColumn("b", then.cast("long"))
-        known = ranked(paired.select("a", "b"))
-        rows = settle(paired.join(known, ["a", "b"]).drop("a", "b", "line").withColumnRenamed(
-            "rank", f"r{k}"))
+        known = ranked(paired.select("a", "b"), count)
+        rows = paired.join(known, ["a", "b"]).drop("a", "b", "line").withColumnRenamed("rank", f"r{k}")
+        rows = settle(few_files(rows, count))
         column, gap = F.col(f"r{k}"), 1 << k
     return rows
 

@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ordertide.llm.common import WordHashes, map_rows, mix, quoted, type_of
+from ordertide.llm.common import WordHashes, few_files, map_rows, mix, quoted, type_of
 from ordertide.sources.scratch import settle
 
 SHINGLE, PERCENT = 3, 90
@@ -215,17 +215,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = settle(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .filter("a <> b").distinct())
-    seen = None
+    seen, count = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = settle(large.filter("a <> b").distinct())
+        large = settle(few_files(large.filter("a <> b").distinct(), count))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = settle(moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        near = moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+        edges = settle(few_files(near, count))
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        count = state[0]
         if state == seen:
             break
         seen = state

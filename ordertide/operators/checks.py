@@ -77,12 +77,14 @@ def column_types(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     )
 
 
-def value_mismatches(fact: DataFrame, customers: DataFrame,
+def expected_values(fact: DataFrame) -> DataFrame:
+    """One row per customer with orders, a NULL id included: the sum of their amounts."""
+    return fact.groupBy("customer_id").agg(money_sum(F.col("amount")).alias("expected_ltv"))
+
+
+def value_mismatches(expected: DataFrame, customers: DataFrame,
                      tolerance: float = VALUE_TOLERANCE) -> DataFrame:
-    """Customers whose lifetime value is not the sum of their orders."""
-    expected = fact.groupBy("customer_id").agg(
-        money_sum(F.col("amount")).alias("expected_ltv")
-    )
+    """Customers whose lifetime value is not the sum of their orders (``expected_values``)."""
     actual = customers.select("customer_id", F.col("lifetime_value").alias("actual_ltv"))
     gap = F.abs(F.col("expected_ltv") - F.col("actual_ltv"))
     return expected.join(actual, "customer_id").withColumn("delta", gap).filter(

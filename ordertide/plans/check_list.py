@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ordertide import fixed_values as V
 from ordertide.operators import checks as Q
+from ordertide.sources.scratch import settle
 
 # Columns of each table that must not be NULL.
 NOT_NULL = {
@@ -94,6 +95,8 @@ def row_checks(table: str) -> list[RowCheck]:
         found.append(RowCheck(column, "accepted_values", Q.is_unaccepted(column, values)))
     for column, (low, high) in BETWEEN.get(table, {}).items():
         found.append(RowCheck(column, "between", Q.is_outside(column, low, high)))
+    if table == "fact_sales":
+        found.append(RowCheck("amount", "not_negative", F.col("amount") < 0))
     return found
 
 
@@ -111,35 +114,48 @@ def _counted(table: str, column: str, check: str, failing: int, tables) -> DataF
     )
 
 
-def _row_results(table: str, df: DataFrame) -> DataFrame:
-    found = row_checks(table)
-    counts = df.agg(*[F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(found)])
+def _row_results(tables: list[str], df: DataFrame) -> DataFrame:
+    """The row checks of all tables that hold the rows of ``df``, in one pass."""
+    found = [(table, check) for table in tables for check in row_checks(table)]
+    counts = df.agg(*[F.count_if(c.fails).alias(f"n{i}") for i, (_, c) in enumerate(found)])
     entries = F.array(*[
         F.struct(F.lit(table).alias("table"), F.lit(c.column).alias("column"),
                  F.lit(c.name).alias("check"), F.col(f"n{i}").alias("failing_rows"))
-        for i, c in enumerate(found)
+        for i, (table, c) in enumerate(found)
     ])
     return counts.select(F.inline(entries))
 
 
 def run_checks(
-    tables: dict[str, DataFrame], repeats: dict[tuple[str, str], int] | None = None
+    tables: dict[str, DataFrame], repeats: dict[tuple[str, str], int] | None = None,
+    same_rows: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per check over built tables.
 
     ``repeats`` holds the repeated values of (table, column) already counted.
+    ``same_rows`` names, for a view, another table with the same rows and at
+    least its columns: one pass over that table and one count serve both.
 
-    The row checks of a table share one pass; uniqueness, foreign keys and the
-    cross-table rules each add one aggregate on their own key. Pass tables that
-    are stored (or settled), as each check reads its table again.
+    The row checks of a table share one pass, and uniqueness adds an aggregate
+    per key. Of the fact table all cross-table rules need only its customers
+    with their sums and its distinct dates, statuses and buckets; both are made
+    once and settled. Pass tables that are stored (or settled).
     """
-    results = [_row_results(name, df) for name, df in tables.items()]
-    repeats = repeats or {}
+    repeats, same_rows = repeats or {}, same_rows or {}
+    results = [
+        _row_results([name, *(v for v, t in same_rows.items() if t == name)], df)
+        for name, df in tables.items() if name not in same_rows
+    ]
     for name, columns in UNIQUE.items():
-        results += [
-            _result(name, c, "unique", Q.duplicates(tables[name], c))
-            for c in columns if name in tables and (name, c) not in repeats
-        ]
+        for c in columns:
+            if name not in tables or (name, c) in repeats or name in same_rows:
+                continue
+            found = Q.duplicates(tables[name], c)
+            views = [v for v, t in same_rows.items() if t == name and c in UNIQUE.get(v, [])]
+            count = F.count("*").alias("failing_rows")
+            entries = F.array(*[F.struct(F.lit(t).alias("table")) for t in [name, *views]])
+            results.append(found.agg(count).select("failing_rows", F.inline(entries)).select(
+                "table", F.lit(c).alias("column"), F.lit("unique").alias("check"), "failing_rows"))
     results += [_counted(*place, "unique", found, tables) for place, found in repeats.items()]
     for name, kinds in TYPES.items():
         results.append(Q.column_types(tables[name], kinds).select(
@@ -147,18 +163,20 @@ def run_checks(
             F.lit("type").alias("check"), "failing_rows",
         ))
     fact, mart, kpi = (tables[n] for n in ("fact_sales", "agg_customers", "sales_daily_kpi"))
+    spent = settle(Q.expected_values(fact))
+    members = settle(fact.select(*[c for c in PARENTS if c != "customer_id"]).distinct())
     for column, parent in PARENTS.items():
-        lost = Q.orphans(fact, column, tables[parent], column)
+        child = spent if column == "customer_id" else members
+        lost = Q.orphans(child, column, tables[parent], column)
         results.append(_result("fact_sales", column, "relationship", lost))
     results += [
         _result("agg_customers", "lifetime_value", "equals_sum_of_orders",
-                Q.value_mismatches(fact, mart)),
+                Q.value_mismatches(spent, mart)),
         _result("sales_daily_kpi", "revenue_running_total", "never_falls", Q.falling_totals(kpi)),
         _result("sales_daily_kpi", "order_date, country", "unique_grain",
                 Q.repeated_values(kpi, ["order_date", "country"])),
-        _result("fact_sales", "amount", "not_negative", Q.negative_amounts(fact)),
         _result("fact_sales", "customer_id", "has_customer_mart",
-                Q.customers_without_mart(fact, mart)),
+                Q.customers_without_mart(spent, mart)),
     ]
     return reduce(DataFrame.unionByName, results).select(
         "table", "column", "check",

@@ -16,7 +16,8 @@ from ordertide.plans import models
 from ordertide.plans.check_list import run_checks
 from ordertide.schema import RAW_ORDERS
 from ordertide.sources.scratch import settle
-from ordertide.sources.tables import BY_MONTH, BY_VALIDITY, WHOLE, Table, create_layers
+from ordertide.sources.tables import (
+    BY_LAST_MONTH, BY_MONTH, BY_VALIDITY, WHOLE, Table, create_layers)
 
 KEY = "order_id"
 TRACKED = ["status", "amount"]
@@ -31,7 +32,7 @@ STORED = {
     "dim_date": ("marts", WHOLE),
     "dim_amount_bucket": ("marts", WHOLE),
     "fact_sales": ("marts", BY_MONTH),
-    "agg_customers": ("marts", WHOLE),
+    "agg_customers": ("marts", BY_LAST_MONTH),
     "sales_daily_kpi": ("marts", BY_MONTH),
 }
 
@@ -53,34 +54,34 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, Table]:
     }
 
 
-def create_raw(spark: SparkSession, root: str) -> None:
+def create_raw(spark: SparkSession, root: str, prefix: str = "") -> None:
     """The layers and, if missing, an empty raw.orders with its declared columns."""
-    create_layers(spark, root)
+    create_layers(spark, root, prefix)
     raw = open_tables(spark, root)["orders"]
     if raw.version() is None:
         raw.replace(spark.createDataFrame([], RAW_ORDERS))
-    raw.publish("raw", "orders")
+    raw.publish(f"{prefix}raw", "orders")
 
 
-def attach(spark: SparkSession, root: str) -> dict[str, Table]:
+def attach(spark: SparkSession, root: str, prefix: str = "") -> dict[str, Table]:
     """Give a new session the views over the tables stored below ``root``."""
-    create_layers(spark, root)
+    create_layers(spark, root, prefix)
     tables = open_tables(spark, root)
     for name, table in tables.items():
         if table.version() is not None:
-            table.publish(STORED[name][0], name)
-    create_views(spark)
+            table.publish(prefix + STORED[name][0], name)
+    create_views(spark, prefix)
     return tables
 
 
-def create_views(spark: SparkSession) -> None:
+def create_views(spark: SparkSession, prefix: str = "") -> None:
     """The staging views; they hold no rows and follow raw.orders."""
     columns = ", ".join(V.ORDER_COLUMNS)
     derived = ", ".join(orders.named(orders.ENRICHMENT))
-    spark.sql(f"CREATE OR REPLACE VIEW staging.stg_orders AS "
-              f"SELECT {columns} FROM raw.orders WHERE order_id IS NOT NULL")
-    spark.sql(f"CREATE OR REPLACE VIEW staging.int_orders_enriched AS "
-              f"SELECT {columns}, {derived} FROM staging.stg_orders")
+    spark.sql(f"CREATE OR REPLACE VIEW {prefix}staging.stg_orders AS "
+              f"SELECT {columns} FROM {prefix}raw.orders WHERE order_id IS NOT NULL")
+    spark.sql(f"CREATE OR REPLACE VIEW {prefix}staging.int_orders_enriched AS "
+              f"SELECT {columns}, {derived} FROM {prefix}staging.stg_orders")
 
 
 def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
@@ -107,7 +108,7 @@ def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
 def lookback_day(target: Table, column: str) -> date | None:
     """First day an incremental run looks at; None for an empty table."""
     newest = F.date_sub(F.max(column), V.LOOKBACK_DAYS)
-    rows = target.read_newest() if target.slice_by == BY_MONTH else target.read()
+    rows = target.read_newest() if target.slice_by in (BY_MONTH, BY_LAST_MONTH) else target.read()
     return rows.agg(newest).first()[0]
 
 
@@ -169,20 +170,21 @@ def refresh_kpi(
 
 def refresh(
     spark: SparkSession, root: str, raw: DataFrame, as_of, loaded_at,
-    full_refresh: bool = False, replace_window: bool = False, threads: int = 4,
+    full_refresh: bool = False, replace_window: bool = False, threads: int = 4, prefix: str = "",
 ) -> Report:
     """One daily run over ``raw``; stops after the load if the newest order is too old.
 
     ``as_of`` is the run's moment (freshness, history, recency), ``loaded_at``
     the load stamp. Tables that do not need each other are built side by side,
-    ``threads`` at a time. A run that broke off can be run again.
+    ``threads`` at a time. A run that broke off can be run again. ``prefix`` goes
+    before the names of the layers, for several roots in one catalog.
     """
     report, tables = Report(), open_tables(spark, root)
-    create_raw(spark, root)
+    create_raw(spark, root, prefix)
 
     def store(name: str, write: Callable[[Table], int]) -> DataFrame:
         report.rows[name] = write(tables[name])
-        tables[name].publish(STORED[name][0], name)
+        tables[name].publish(prefix + STORED[name][0], name)
         return tables[name].read()
 
     def store_all(writes: dict[str, Callable[[Table], int]]) -> dict[str, DataFrame]:
@@ -195,17 +197,19 @@ def refresh(
     if report.freshness == "error":
         return report
 
-    create_views(spark)
-    staged = spark.table("staging.stg_orders")
-    enriched = spark.table("staging.int_orders_enriched")
+    create_views(spark, prefix)
+    staged = spark.table(f"{prefix}staging.stg_orders")
+    enriched = spark.table(f"{prefix}staging.int_orders_enriched")
+    # One pass over the orders serves the three small dimensions.
+    members = settle(enriched.select("status", "amount_bucket", "order_date").distinct())
     built = store_all({
         "orders_snapshot": lambda table: table.remember(source, KEY, TRACKED, as_of),
         "stg_orders_cdc": lambda table: refresh_cdc(tables["orders"], table, loaded_at),
         "fact_sales": lambda table: refresh_fact(tables["orders"], table, full_refresh),
         "dim_customer": lambda table: table.replace(models.dim_customer(staged)),
-        "dim_status": lambda table: table.replace(models.dim_status(staged)),
-        "dim_date": lambda table: table.replace(models.dim_date(enriched)),
-        "dim_amount_bucket": lambda table: table.replace(models.dim_amount_bucket(enriched)),
+        "dim_status": lambda table: table.replace(models.dim_status(members)),
+        "dim_date": lambda table: table.replace(models.dim_date(members)),
+        "dim_amount_bucket": lambda table: table.replace(models.dim_amount_bucket(members)),
     })
 
     # This check comes first: where it finds none, the marts need no distinct count.
@@ -221,6 +225,6 @@ def refresh(
     del built["orders_snapshot"]
     report.checks = settle(run_checks(
         {"stg_orders": staged, "int_orders_enriched": enriched, **built},
-        repeats={("fact_sales", KEY): repeated},
+        repeats={("fact_sales", KEY): repeated}, same_rows={"stg_orders": "int_orders_enriched"},
     ))
     return report

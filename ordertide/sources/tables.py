@@ -17,13 +17,17 @@ LAYERS = ["raw", "staging", "marts", "snapshots"]
 
 WHOLE = "'all'"
 BY_MONTH = "coalesce(date_format(order_date, 'yyyy-MM'), 'none')"
+BY_LAST_MONTH = "coalesce(date_format(last_order_date, 'yyyy-MM'), 'none')"
 BY_VALIDITY = f"coalesce('closed-' || date_format(valid_to, 'yyyy-MM'), 'open-' || {BY_MONTH})"
 
 
-def create_layers(spark: SparkSession, root: str) -> None:
-    """One database per layer, under exactly these names; they hold views only."""
+def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
+    """One database per layer, under exactly these names after ``prefix``; they hold views only.
+
+    Jobs of several roots that share a catalog each need a prefix of their own.
+    """
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{prefix}{layer}'")
 
 
 def _is_month(name: str) -> bool:
@@ -101,7 +105,7 @@ class Table:
         return self._read(version, [s for s in version.folders if not _is_month(s) or s >= first])
 
     def read_newest(self) -> DataFrame:
-        """Rows that include the newest day of a table cut BY_MONTH."""
+        """Rows that include the newest day of a table cut by months."""
         version = self.version()
         names = list(version.folders)
         if "none" in names:

@@ -1,5 +1,7 @@
 """Incremental runs: fixture C on top of A, and the traps around the lookback."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +220,49 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr("sys.argv", [*argv, "2025-03-01"])
     assert main() == 1
     assert "freshness: error" in capsys.readouterr().out
+
+
+def test_second_run_rewrites_only_touched_slices_of_the_mart(spark, tmp_path):
+    """Customers whose last order is months back keep their file."""
+    rows = [(i, f"C{i}", f"2025-0{1 + i % 6}-10", 10.0, "completed", "FR") for i in range(60)]
+    raw = raw_orders(spark, rows)
+    refresh(spark, str(tmp_path), raw, "2025-06-11 00:00:00", "2025-06-11 00:00:00")
+    mart = open_tables(spark, str(tmp_path))["agg_customers"]
+    before = mart.version().folders
+    assert len(before) == 6
+    more = raw_orders(spark, rows + [(100, "C5", "2025-06-11", 10.0, "completed", "FR"),
+                                     (101, "C0", "2025-06-11", 10.0, "completed", "FR")])
+    refresh(spark, str(tmp_path), more, "2025-06-12 00:00:00", "2025-06-12 00:00:00")
+    after = mart.version().folders
+    assert {s for s in after if after[s] != before.get(s)} == {"2025-01", "2025-06"}
+    assert mart.read().filter("customer_id = 'C0'").collect()[0]["total_orders"] == 2
+
+
+def test_check_run_reads_the_fact_table_a_few_times(spark, tmp_path, monkeypatch):
+    """Row checks, customer sums and foreign keys: one scan each; views share theirs."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, write = [], DataFrameWriter.parquet
+
+    def record(writer, *args, **more):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, *args, **more)
+
+    rows = [(i, f"C{i % 9}", f"2025-0{1 + i % 6}-10", 10.0, "completed", "FR") for i in range(60)]
+    monkeypatch.setattr(DataFrameWriter, "parquet", record)
+    report = refresh(spark, str(tmp_path), raw_orders(spark, rows), "2025-06-11 00:00:00", "2025-06-11 00:00:00")
+    assert {r.status for r in report.checks.collect()} == {"pass"} and report.checks.count() == 83
+    last = [p for p in plans if "Union" in p][-1]
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", last)
+    # Fact, enriched orders and merged table: one row pass each, and two uniqueness checks.
+    assert len(schemas) <= 30 and last.count("not_negative") >= 1
+
+
+def test_two_roots_in_one_session(spark, tmp_path):
+    """Each job's views stay its own under a prefix."""
+    for name, rows in (("one_", A), ("two_", A[2:])):
+        refresh(spark, str(tmp_path / name), raw_orders(spark, rows), "2025-01-06 00:00:00",
+                "2025-01-06 00:00:00", prefix=name)
+    assert spark.table("one_marts.fact_sales").count() == 5
+    assert spark.table("two_marts.fact_sales").count() == 3
+    assert spark.table("one_staging.stg_orders").count() == 5

@@ -115,7 +115,7 @@ def ranked(pairs: DataFrame, count: int) -> DataFrame:
     ``count``: the number of suffixes, which bounds that of distinct pairs.
     """
     spark = pairs.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 100_000 + 1)
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 250_000 + 1)
     classes = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     ordered = classes.repartitionByRange(parts, "a", "b").sortWithinPartitions("a", "b")
     summed = settle(map_rows(ordered, _running, f"a {type_of(pairs, 'a')}, b long, n long, "
@@ -143,7 +143,7 @@ def suffix_ranks(starts: DataFrame, rounds: int) -> DataFrame:
         paired = rows.withColumn("a", column).withColumn("b", then.cast("long"))
         known = ranked(paired.select("a", "b"), count)
         rows = paired.join(known, ["a", "b"]).drop("a", "b", "line").withColumnRenamed("rank", f"r{k}")
-        rows = settle(few_files(rows, count))
+        rows = settle(few_files(rows, count, 250_000))
         column, gap = F.col(f"r{k}"), 1 << k
     return rows
 
@@ -152,11 +152,12 @@ def copies(docs: DataFrame, min_words: int) -> DataFrame:
     """Columns doc and cuts: array of (first line, number of lines) of later copies."""
     kind = type_of(docs, "id")
     lines = map_rows(docs, _lines, f"doc binary, id {kind}, i long, line binary, words long")
-    lines = settle(lines.dropDuplicates(["doc", "i"]))
-    often = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
-    repeated = lines.join(often, "line", "left_semi")
-    per_doc = repeated.groupBy("doc", "id").agg(
-        F.sort_array(F.collect_list(F.struct("i", "line", "words"))).alias("rows"))
+    # A line at two places at least; copies of a row have the same places and count once.
+    place = F.xxhash64("doc", "i")
+    often = lines.groupBy("line").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    repeated = lines.join(often.filter("a <> b").select("line"), "line", "left_semi")
+    per_doc = repeated.groupBy("doc", "id").agg(F.sort_array(F.array_distinct(
+        F.collect_list(F.struct("i", "line", "words")))).alias("rows"))
     starts = settle(map_rows(
         per_doc, _stretches(min_words),
         f"doc binary, id {kind}, stretch long, i long, line binary, need long"))

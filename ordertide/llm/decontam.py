@@ -14,7 +14,10 @@ word edits. Finding the stretches takes three steps.
    distance. ``SAMPLES`` places of the walk are sampled as the key of a bucket; a
    window is a candidate for the items in its bucket. This is repeated with new
    coins and places until simulated edited copies of the items are found with
-   ``recall``: the number of repetitions comes from that simulation.
+   ``recall``: the number of repetitions comes from ``TRIALS`` simulated copies in
+   each class of lengths, as long items need more. A class that does not reach
+   ``recall`` in ``MOST_ROUNDS``, or has items over ``LONGEST`` words, is not walked:
+   all its windows of step 1 are candidates.
 3. Every candidate is verified by the exact edit distance of the item to the best
    stretch around the window (bit-parallel, any length).
 
@@ -37,6 +40,7 @@ from ordertide.llm.common import map_rows, mix, quoted, type_of
 
 SIMILARITY, RECALL, SAMPLES, MIN_WORDS = 0.8, 0.99, 2, 5
 MOST_ROUNDS, TRIALS, RATIO, BLOCK = 64, 400, 1.25, 4 << 20
+OFFSETS, LONGEST = 8, 1024  # simulated windows on either side of a copy's start; longest walk
 WORD = re.compile(r"\w+")
 
 
@@ -94,24 +98,24 @@ def best_stretch(item: list[int], text: list[int], most: int) -> tuple[int, int,
 class Walks:
     """Random walks and sampled places, the same in every process.
 
-    ``sizes`` has the shortest item of each class of lengths: places are sampled
-    among that many steps, within which no walk has left its item.
+    ``steps`` is the shortest item of a class of lengths: places are sampled among
+    that many steps, within which no walk has left its item.
     """
 
-    def __init__(self, symbols: int, sizes: list[int], rounds: int):
-        self.steps, self.rounds = max(sizes), rounds
-        blocks = range(0, self.steps, 64)  # 64 steps take their coins from one number
+    def __init__(self, symbols: int, steps: int, rounds: int):
+        self.steps, self.rounds = steps, rounds
+        blocks = range(0, steps, 64)  # 64 steps take their coins from one number
         known = np.arange(1, symbols + 1, dtype=np.uint64)
         self.coins = [np.stack([mix(mix(known + np.uint64(b)) + np.uint64(r + 1 << 32))
                                 for r in range(rounds)]) for b in blocks]
-        make = [np.random.default_rng([20240229, r]) for r in range(rounds)]
-        self.places = [[m.integers(0, n, SAMPLES) for m in make] for n in sizes]
+        self.places = [np.random.default_rng([20240229, r]).integers(0, steps, SAMPLES)
+                       for r in range(rounds)]
 
-    def keys(self, codes: np.ndarray, starts: np.ndarray, size: int = 2048) -> np.ndarray:
-        """Bucket of each start (rows) in each class and round: shape (starts, classes, rounds)."""
+    def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Bucket of each start (rows) in each round: shape (starts, rounds)."""
+        size = min(2048, max(16, (16 << 20) // (self.steps * self.rounds)))
         parts = [self._keys(codes, starts[a:a + size]) for a in range(0, len(starts), size)]
-        empty = np.zeros((0, len(self.places), self.rounds), np.uint64)
-        return np.concatenate(parts) if parts else empty
+        return np.concatenate(parts) if parts else np.zeros((0, self.rounds), np.uint64)
 
     def _keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         count, which = len(starts), np.arange(self.rounds)[:, None]
@@ -121,22 +125,24 @@ class Walks:
             symbol = path[step] = codes.take(at, mode="clip")
             coin = self.coins[step >> 6][which, symbol] >> np.uint64(step & 63)
             at += (coin & np.uint64(1)).astype(np.int64)
-        out = np.empty((count, len(self.places), self.rounds), np.uint64)
-        for c, places in enumerate(self.places):
-            for r in range(self.rounds):
-                key = np.full(count, (c << 8) + r + 1, np.uint64)
-                for place in places[r]:
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15)
-                              + path[place, r].astype(np.uint64))
-                out[:, c, r] = key
+        out = np.empty((count, self.rounds), np.uint64)
+        for r, places in enumerate(self.places):
+            key = np.full(count, r + 1, np.uint64)
+            for place in places:
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + path[place, r].astype(np.uint64))
+            out[:, r] = key
         return out
 
 
 class Index:
-    """A block of items, ready to search texts; ``rounds`` None: found by simulation."""
+    """A block of items, ready to search texts.
+
+    ``rounds`` has a number per class of lengths, 0 for one that is not walked; None:
+    found by simulation.
+    """
 
     def __init__(self, items, similarity: float = SIMILARITY, recall: float = RECALL,
-                 rounds: int | None = None):
+                 rounds: tuple[int, ...] | None = None):
         known = [(i, words_of(t)) for i, t in items]
         known = [(i, w) for i, w in known if len(w) >= MIN_WORDS]
         self.ids = [i for i, _ in known]
@@ -144,21 +150,23 @@ class Index:
         self.codes = Codes({w: n for n, w in enumerate(vocabulary, 1)})
         self.items = [self.codes.of(w) for _, w in known]
         self.most = [int((1 - similarity) * len(w) + 1e-9) for w in self.items]
-        self.rounds = rounds or 0
+        self.rounds = rounds or ()
         if not self.items:
             return
         self._rare_words(len(vocabulary) + 1)
         self._classes()
-        sizes = [len(self.items[c[0]]) for c in self.classes]
         if rounds is None:
-            self._calibrate(Walks(len(self.codes) + 1, sizes, MOST_ROUNDS), recall)
-        self.walks = Walks(len(self.codes) + 1, sizes, self.rounds)
-        own = self._item_keys(self.walks, range(len(self.items)))
-        self.buckets: dict[int, list[int]] = defaultdict(list)
-        for k in range(len(self.items)):
-            for key in set(own[k, self.class_of[k]].tolist()):
-                self.buckets[key].append(k)
-        self.known = np.array(sorted(self.buckets), np.uint64)
+            self.rounds = tuple(self._calibrate(c, recall) for c in range(len(self.classes)))
+        self.walks, self.buckets, self.known = [], [], []
+        for c, members in enumerate(self.classes):
+            walks = self._walks(c, self.rounds[c]) if self.rounds[c] else None
+            buckets: dict[int, list[int]] = defaultdict(list)
+            for k, own in zip(members, self._item_keys(walks, members) if walks else ()):
+                for key in set(own.tolist()):
+                    buckets[key].append(k)
+            self.walks.append(walks)
+            self.buckets.append(buckets)
+            self.known.append(np.array(sorted(buckets), np.uint64))
 
     def _rare_words(self, symbols: int) -> None:
         """Per item its rarest words: all that few items have, and enough to outlast the edits.
@@ -190,7 +198,12 @@ class Index:
                 last.append(k)
             else:
                 self.classes.append([k])
-        self.class_of = {k: c for c, members in enumerate(self.classes) for k in members}
+        self.class_of = np.zeros(len(self.items), np.int64)
+        for c, members in enumerate(self.classes):
+            self.class_of[members] = c
+
+    def _walks(self, c: int, rounds: int) -> Walks:
+        return Walks(len(self.codes) + 1, len(self.items[self.classes[c][0]]), rounds)
 
     def _item_keys(self, walks: Walks, which) -> np.ndarray:
         tail = np.zeros(walks.steps, np.int32)  # after an item stands a word no item has
@@ -201,19 +214,36 @@ class Index:
             at += len(self.items[k]) + len(tail)
         return walks.keys(np.concatenate(joined), np.array(starts))
 
-    def _calibrate(self, walks: Walks, recall: float) -> None:
-        """As many rounds as find ``recall`` of simulated copies with all edits allowed."""
-        pick, need = random.Random(7), []
-        trials = [pick.randrange(len(self.items)) for _ in range(TRIALS)]
-        own = self._item_keys(walks, trials)
-        for n, k in enumerate(trials):
-            item, most, c = self.items[k].tolist(), self.most[k], self.class_of[k]
-            copy = [0] * (most + 1) + self._edited(item, most, pick) + [0] * walks.steps
-            keys = walks.keys(np.array(copy, np.int32), np.arange(2 * most + 2))
-            hit = (keys[:, c] == own[n, c]).any(axis=0)
-            need.append(int(hit.argmax()) + 1 if hit.any() else MOST_ROUNDS + 1)
-        self.expected = [sum(n <= r for n in need) / TRIALS for r in range(MOST_ROUNDS + 1)]
-        self.rounds = next((r for r, x in enumerate(self.expected) if x >= recall), MOST_ROUNDS)
+    def _calibrate(self, c: int, recall: float) -> int:
+        """As many rounds as find ``recall`` of simulated copies with all edits allowed; 0: none do."""
+        members, pick = self.classes[c], random.Random(7)
+        if len(self.items[members[-1]]) > LONGEST:
+            return 0
+        which = [pick.randrange(len(members)) for _ in range(TRIALS)]
+        gap = [0] * (2 * int(self.reach[members].max()))
+        codes, true = list(gap), []
+        for m in which:
+            true.append(len(codes))
+            codes += self._edited(self.items[members[m]].tolist(), self.most[members[m]], pick) + gap
+        codes, true = np.array(codes, np.int32), np.array(true)
+        item, low, high = self.intervals(codes)
+        mine = self.class_of[item] == c
+        starts = self._starts(low[mine], high[mine], len(codes))
+        trial = np.searchsorted(true - len(gap) // 2, starts, side="right") - 1
+        near = (trial >= 0) & (np.abs(starts - true[trial]) <= OFFSETS)
+        starts, trial = starts[near], trial[near]
+        rounds = min(8, MOST_ROUNDS)
+        while True:
+            walks = self._walks(c, rounds)
+            own = self._item_keys(walks, members)[which]
+            hit = np.zeros((TRIALS, rounds), bool)
+            np.logical_or.at(hit, trial, walks.keys(codes, starts) == own[trial])
+            found = np.logical_or.accumulate(hit, axis=1).mean(axis=0)
+            if found[-1] >= recall:
+                return int((found >= recall).argmax()) + 1
+            if rounds == MOST_ROUNDS:
+                return 0
+            rounds = min(2 * rounds, MOST_ROUNDS)
 
     @staticmethod
     def _edited(item: list[int], edits: int, pick: random.Random) -> list[int]:
@@ -230,8 +260,8 @@ class Index:
 
     # -- search ------------------------------------------------------------
 
-    def windows(self, codes: np.ndarray) -> np.ndarray:
-        """Starts of all windows that may match an item."""
+    def intervals(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first, last): stretches that may match the item start there, no others."""
         first, count = self.list_start[codes], np.diff(self.list_start)[codes]
         place = np.repeat(np.arange(len(codes)), count)
         inner = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
@@ -243,20 +273,37 @@ class Index:
         last = last[inside]
         near = (item[last] == item[inside]) & (place[last] - place[inside] < self.reach[item[inside]])
         inside, last = inside[near], last[near]
-        change = np.zeros(len(codes) + 1, np.int64)
-        np.add.at(change, np.maximum(place[last] + 1 - self.reach[item[inside]], 0), 1)
-        np.add.at(change, place[inside] + 1, -1)
+        item = item[inside]
+        return item, np.maximum(place[last] + 1 - self.reach[item], 0), place[inside]
+
+    @staticmethod
+    def _starts(low: np.ndarray, high: np.ndarray, size: int) -> np.ndarray:
+        """All places in the intervals."""
+        change = np.zeros(size + 1, np.int64)
+        np.add.at(change, low, 1)
+        np.add.at(change, high + 1, -1)
         return np.flatnonzero(np.cumsum(change[:-1]) > 0)
 
-    def candidates(self, codes: np.ndarray, starts: np.ndarray) -> set:
-        """(start, item) pairs that share a bucket."""
-        padded, found = np.concatenate([codes, np.zeros(self.walks.steps, np.int32)]), set()
-        for a in range(0, len(starts), 2048):
-            part = starts[a:a + 2048]
-            keys = self.walks.keys(padded, part)
-            at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-            for s, c, r in zip(*np.nonzero(self.known[at] == keys)):
-                found.update((int(part[s]), k) for k in self.buckets[int(keys[s, c, r])])
+    def candidates(self, codes: np.ndarray, bounds: np.ndarray) -> set:
+        """(start, item) pairs that share a bucket, or may match where a class is not walked."""
+        item, low, high = self.intervals(codes)
+        class_of, found = self.class_of[item], set()
+        for c in np.unique(class_of).tolist():
+            mine, walks, known = class_of == c, self.walks[c], self.known[c]
+            if walks is None:
+                # The regions around an interval's ends cover it.
+                text = bounds[np.searchsorted(bounds, high[mine], side="right") - 1]
+                for starts in (np.maximum(low[mine], text), high[mine]):
+                    found.update(zip(starts.tolist(), item[mine].tolist()))
+                continue
+            padded = np.concatenate([codes, np.zeros(walks.steps, np.int32)])
+            starts = self._starts(low[mine], high[mine], len(codes))
+            for a in range(0, len(starts), 2048):
+                part = starts[a:a + 2048]
+                keys = walks.keys(padded, part)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                for s, r in zip(*np.nonzero(known[at] == keys)):
+                    found.update((int(part[s]), k) for k in self.buckets[c][int(keys[s, r])])
         return found
 
     def search(self, texts: list[str | None]):
@@ -268,8 +315,7 @@ class Index:
             flat.append(self.codes.of(words_of(text)))
             bounds.append(bounds[-1] + len(flat[-1]))
         codes = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        starts = self.windows(codes)
-        pairs = self.candidates(codes, starts)
+        pairs = self.candidates(codes, np.array(bounds))
         owner = np.searchsorted(bounds, [s for s, _ in pairs], side="right") - 1
         per_pair = defaultdict(list)
         for (start, k), n in zip(pairs, owner.tolist()):
@@ -321,7 +367,7 @@ def _spans(text: str, first: int, end: int) -> tuple[int, int]:
 
 
 @lru_cache(maxsize=2)
-def _index(items: tuple, similarity: float, rounds: int) -> Index:
+def _index(items: tuple, similarity: float, rounds: tuple[int, ...]) -> Index:
     return Index(items, similarity, rounds=rounds)
 
 

@@ -1,0 +1,43 @@
+"""Rounds per class of lengths, and classes that are verified without walks."""
+
+import random
+
+import pytest
+
+from ordertide.llm import decontam
+
+
+def bench_and_copies(seed, lengths, copies):
+    """Items of these lengths, and texts that each hold a copy with all edits allowed."""
+    pick = random.Random(seed)
+    words = [f"w{n}" for n in range(3000)]
+    make = lambda n: [pick.choice(words) for _ in range(n)]
+    bench = [(k, make(n)) for k, n in enumerate(lengths)]
+    rows = []
+    for k, item in copies(bench):
+        copy = list(item)
+        for _ in range(int(0.2 * len(item))):
+            place = pick.randrange(len(copy))
+            copy[place:place + 1] = pick.choice([[], ["xyz"], [copy[place], "xyz"]])
+        rows.append((k, " ".join(make(30) + copy + make(30))))
+    return [(k, " ".join(w)) for k, w in bench], rows
+
+
+def share_found(index, rows):
+    held = {(n, k) for n, k, *_ in index.search([t for _, t in rows])}
+    return sum((n, k) in held for n, (k, _) in enumerate(rows)) / len(rows)
+
+
+def test_few_long_items_among_short_ones():
+    bench, rows = bench_and_copies(1, [20] * 300 + [400], lambda b: [b[-1]] * 150)
+    index = decontam.Index(bench)
+    assert share_found(index, rows) >= 0.96
+    assert index.rounds[0] and (index.rounds[1] > index.rounds[0] or not index.rounds[1])
+
+
+@pytest.mark.parametrize("name, value", [("MOST_ROUNDS", 1), ("LONGEST", 10)])
+def test_class_without_enough_rounds_is_verified_exactly(monkeypatch, name, value):
+    monkeypatch.setattr(decontam, name, value)
+    bench, rows = bench_and_copies(2, [20, 60, 200], lambda b: b * 20)
+    index = decontam.Index(bench)
+    assert index.rounds == (0, 0, 0) and share_found(index, rows) == 1.0

@@ -1,8 +1,10 @@
 """Benchmark decontamination: edit distance by random walks and bit sampling.
 
-Texts and items become words (lower case, letters and digits); a text holds an item
-if some stretch of its words is within ``(1 - similarity)`` of the item's length in
-word edits. Finding the stretches takes three steps.
+Texts and items become words (lower case, letters and digits); in scripts written
+without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) every character is a
+word. A text holds an item if some stretch of its words is within ``(1 - similarity)``
+of the item's length in word edits; an item of fewer than ``MIN_WORDS`` words must be
+there without an edit. Finding the stretches takes three steps.
 
 1. Windows of the size of the items start at every word. An edit spoils at most one
    word of an item, so a stretch that matches keeps all but the allowed number of any
@@ -23,7 +25,8 @@ word edits. Finding the stretches takes three steps.
 
 Items are processed in blocks of ``BLOCK`` bytes of text, so that what is sent to
 the tasks is bounded however long the benchmark is; each block scans the texts once.
-Items of fewer than ``MIN_WORDS`` words match nothing; equal items are all reported.
+Items without words match nothing; equal items are all reported. An item whose id is
+null has no row in ``find_items``, but ``drop_contaminated`` drops what holds it.
 Null and empty texts hold no item. Repeated rows each get their rows.
 """
 
@@ -41,11 +44,20 @@ from ordertide.llm.common import map_rows, mix, quoted, type_of
 SIMILARITY, RECALL, SAMPLES, MIN_WORDS = 0.8, 0.99, 2, 5
 MOST_ROUNDS, TRIALS, RATIO, BLOCK = 64, 400, 1.25, 4 << 20
 OFFSETS, LONGEST = 8, 1024  # simulated windows on either side of a copy's start; longest walk
-WORD = re.compile(r"\w+")
+SPACELESS = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u3096\u309d-\u309f"
+             "\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uaa60-\uaa7f"
+             "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+WORD, WITHOUT_SPACES = re.compile(r"\w+"), re.compile(f"[{SPACELESS}]")
+MIXED = re.compile(f"[{SPACELESS}]|[^\\W{SPACELESS}]+")
+
+
+def pattern_of(text: str) -> re.Pattern:
+    return MIXED if not text.isascii() and WITHOUT_SPACES.search(text) else WORD
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    lowered = (text or "").lower()
+    return pattern_of(lowered).findall(lowered)
 
 
 class Codes(dict):
@@ -144,12 +156,13 @@ class Index:
     def __init__(self, items, similarity: float = SIMILARITY, recall: float = RECALL,
                  rounds: tuple[int, ...] | None = None):
         known = [(i, words_of(t)) for i, t in items]
-        known = [(i, w) for i, w in known if len(w) >= MIN_WORDS]
+        known = [(i, w) for i, w in known if w]
         self.ids = [i for i, _ in known]
         vocabulary = sorted({w for _, words in known for w in words})
         self.codes = Codes({w: n for n, w in enumerate(vocabulary, 1)})
         self.items = [self.codes.of(w) for _, w in known]
-        self.most = [int((1 - similarity) * len(w) + 1e-9) for w in self.items]
+        self.most = [int((1 - similarity) * len(w) + 1e-9) if len(w) >= MIN_WORDS else 0
+                     for w in self.items]
         self.rounds = rounds or ()
         if not self.items:
             return
@@ -346,22 +359,24 @@ class Index:
 # -- on tables --------------------------------------------------------------------
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[tuple]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = False) -> list[tuple]:
     """The items in parts of at most about ``BLOCK`` bytes."""
     rows = benchmark.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).filter(
-        "id IS NOT NULL AND text IS NOT NULL").distinct()
+        "text IS NOT NULL").distinct()
+    if not null_ids:
+        rows = rows.filter("id IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = total // BLOCK + 1
     part = F.pmod(F.xxhash64("id", "text"), F.lit(count))
-    return [tuple(sorted((r["id"], r["text"]) for r in rows.filter(part == k).toLocalIterator()))
+    return [tuple(sorted(((r["id"], r["text"]) for r in rows.filter(part == k).toLocalIterator()),
+                         key=lambda item: (item[0] is None, item)))
             for k in range(count)]
 
 
 def _spans(text: str, first: int, end: int) -> tuple[int, int]:
     """Code points of the stretch of words; lower case may be longer, so words are counted anew."""
-    found = [m.span() for m in WORD.finditer(text)]
-    lowered = [m for m in WORD.finditer(text.lower())]
-    if len(found) != len(lowered):
+    found = [m.span() for m in pattern_of(text).finditer(text)]
+    if len(found) != len(words_of(text)):
         return -1, -1
     return found[first][0], found[end - 1][1]
 
@@ -413,7 +428,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                       similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """All columns of the rows whose text holds no item."""
     at, schema = docs.columns.index(text_col), docs.schema.toDDL()
-    for items in blocks(benchmark, item_id, item_text):
+    for items in blocks(benchmark, item_id, item_text, null_ids=True):
         rounds = Index(items, similarity, recall).rounds
 
         def make(items=items, rounds=rounds):

@@ -90,7 +90,24 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN cuts USING (doc_id)
 """
 
+FILL_MIDDLE = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d,
+ regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+h AS (SELECT doc_id, text, u, len(u)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1,
+ ('0x' || substr(d, 9, 8))::BIGINT AS h2, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM t),
+c AS (SELECT doc_id, text, n, u, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+ CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+ WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+ array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+ CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM p
+"""
+
 ORACLES = {
     "op5_jaccard_components": JACCARD, "op6_line_dedup": LINE_DEDUP,
     "op7_warc_archive": WARC, "op8_host_rules": HOST_RULES,
+    "op13_fill_in_middle": FILL_MIDDLE,
 }

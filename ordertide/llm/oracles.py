@@ -90,6 +90,28 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN cuts USING (doc_id)
 """
 
+COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+ FROM s, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+x AS (SELECT lang, size, phrase, a, ws, unnest(range(1, size)) AS k FROM c),
+y AS (SELECT x.lang, x.size, x.phrase, a, x.k, l.f AS l, r.f AS r, n,
+ (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score FROM x
+ JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.ws[1:x.k], ' ')
+ JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.ws[x.k + 1:], ' ') JOIN n ON n.lang = x.lang),
+b AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.size > b.size
+ AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * c.a >= 100 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 FILL_MIDDLE = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d,
  regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
@@ -109,5 +131,5 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS
 ORACLES = {
     "op5_jaccard_components": JACCARD, "op6_line_dedup": LINE_DEDUP,
     "op7_warc_archive": WARC, "op8_host_rules": HOST_RULES,
-    "op13_fill_in_middle": FILL_MIDDLE,
+    "op12_collocations": COLLOCATIONS, "op13_fill_in_middle": FILL_MIDDLE,
 }

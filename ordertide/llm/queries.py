@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide.llm import (
-    decontam, fill_middle, host_rules, language_id, line_dedup, ngram_join, quality, secrets,
+    collocations, decontam, fill_middle, host_rules, language_id, licenses, line_dedup, ngram_join, quality, secrets,
     sentence_pieces, token_counts, warc)
 from ordertide.llm.common import held_out, read_table
 
@@ -74,6 +74,14 @@ def language_query(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan_licenses(read_table(spark, folder, "documents")))
+
+
+def collocations_query(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, folder, "documents"))
+
+
 def fill_middle_query(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(read_table(spark, folder, "documents")))
 
@@ -89,5 +97,7 @@ QUERIES = {
     "op8_host_rules": host_rules_query,
     "op9_sentence_pieces": sentence_pieces_query,
     "op10_language_id": language_query,
+    "op11_license_scans": licenses_query,
+    "op12_collocations": collocations_query,
     "op13_fill_in_middle": fill_middle_query,
 }

@@ -170,8 +170,10 @@ def _kpi_before(spark: SparkSession, folder: str):
 
 def _kpi_rows(fact, statuses, customers, stored):
     since = models.lookback_start(stored, "order_date")
-    daily = models.daily_sales(fact, statuses, customers, since)
-    return models.sales_daily_kpi(daily, stored, since), since
+    daily = settle(models.daily_sales(fact, statuses, customers, since))
+    months = models.kpi_months(stored.filter(F.col("order_date") < since))
+    before = models.seeds(months, daily.select("country").distinct())
+    return models.sales_daily_kpi(daily, before, since), since
 
 
 def _kpi_run(fact, statuses, customers, stored) -> DataFrame:

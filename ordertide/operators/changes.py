@@ -10,9 +10,14 @@ FEED = [f.name for f in FEED_COLUMNS]
 MARKS = ["_cdc_action", "_loaded_at"]
 
 
-def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0,
+                unchanged: DataFrame | None = None) -> DataFrame:
     """Inserts, deletes and update pairs that lead from ``old`` to ``new``.
 
+    Rows that both states are known to share may be left out of both; of them
+    ``unchanged`` must hold those with a key that ``old`` has here, as such a key
+    is still there when its row in ``old`` is gone.
+
     Rows are compared as a whole, null-safe, by one aggregate over both states
     that counts copies, so copies of a key never meet in pairs; as many events
     come out as there are copies more or less. A key that lost rows and gained
@@ -32,8 +37,9 @@ def change_feed(old: DataFrame, new: DataFrame, key: str, first_seq: int = 0) ->
     )
     # Keys that lost a row and have one now. The keys that lost rows are few.
     lost = changed.filter("was").select(F.col(key).alias("_key")).distinct()
+    present = new.select(key) if unchanged is None else new.select(key).unionByName(unchanged.select(key))
     updated = (
-        new.select(key).join(lost, F.col(key).eqNullSafe(F.col("_key")), "left_semi").distinct()
+        present.join(lost, F.col(key).eqNullSafe(F.col("_key")), "left_semi").distinct()
         .withColumn("paired", F.lit(True))
     )
     # Null-safe, so that no filter on the key tells the two uses of "changed"

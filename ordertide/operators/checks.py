@@ -6,17 +6,16 @@ from ordertide.fixed_values import ERROR_AFTER_HOURS, VALUE_TOLERANCE, WARN_AFTE
 from ordertide.functions.numbers import is_special, money_sum
 
 
-def is_unaccepted(column: str, accepted: list) -> Column:
+def is_unaccepted(value: Column, accepted: list) -> Column:
     """True for a value outside the list; NULL is not judged."""
-    return ~F.col(column).isin(*accepted)
+    return ~value.isin(*accepted)
 
 
-def is_outside(column: str, low=None, high=None) -> Column:
+def is_outside(value: Column, low=None, high=None) -> Column:
     """True below ``low`` or above ``high``, bounds allowed, and for NaN and infinite values.
 
     NULL is not judged.
     """
-    value = F.col(column)
     below = value < low if low is not None else F.lit(False)
     above = value > high if high is not None else F.lit(False)
     return below | above | is_special(value.cast("double"))
@@ -39,13 +38,13 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 def unaccepted_values(df: DataFrame, column: str, accepted: list) -> DataFrame:
     """Values outside the list with their row counts."""
-    bad = df.filter(is_unaccepted(column, accepted))
+    bad = df.filter(is_unaccepted(F.col(column), accepted))
     return bad.groupBy(column).agg(F.count("*").alias("row_count"))
 
 
 def rows_outside(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     """Rows whose value lies outside the bounds."""
-    return df.filter(is_outside(column, low, high))
+    return df.filter(is_outside(F.col(column), low, high))
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

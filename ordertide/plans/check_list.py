@@ -3,9 +3,10 @@
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ordertide import fixed_values as V
+from ordertide.functions.orders import ENRICHMENT
 from ordertide.operators import checks as Q
 from ordertide.sources.scratch import settle
 
@@ -88,18 +89,41 @@ class RowCheck:
     fails: Column
 
 
-def row_checks(table: str) -> list[RowCheck]:
-    """All checks of a table that one pass over it can answer."""
-    found = [RowCheck(c, "not_null", F.col(c).isNull()) for c in NOT_NULL.get(table, [])]
+def row_checks(table: str, derived: dict[str, str] | None = None) -> list[RowCheck]:
+    """All checks of a table that one pass over it can answer.
+
+    ``derived`` gives expressions for columns that the rows at hand do not have.
+    """
+    def value(column: str) -> Column:
+        return F.expr((derived or {}).get(column, f"`{column}`"))
+
+    found = [RowCheck(c, "not_null", value(c).isNull()) for c in NOT_NULL.get(table, [])]
     for column, values in ACCEPTED.get(table, {}).items():
-        found.append(RowCheck(column, "accepted_values", Q.is_unaccepted(column, values)))
+        found.append(RowCheck(column, "accepted_values", Q.is_unaccepted(value(column), values)))
     for column, (low, high) in BETWEEN.get(table, {}).items():
-        found.append(RowCheck(column, "between", Q.is_outside(column, low, high)))
+        found.append(RowCheck(column, "between", Q.is_outside(value(column), low, high)))
     if table == "fact_sales":
-        found.append(RowCheck("amount", "not_negative", F.col("amount") < 0))
+        found.append(RowCheck("amount", "not_negative", value("amount") < 0))
     return found
 
 
+def watched(table: str) -> dict[str, Column]:
+    """Row checks to count while a table is written, by ``place``.
+
+    Raw orders answer for the two views that show their rows with an id.
+    """
+    if table != "orders":
+        return {place(table, c): c.fails for c in row_checks(table)}
+    shown = F.col("order_id").isNotNull()
+    return {place(view, c): shown & c.fails
+            for view, derived in (("stg_orders", {}), ("int_orders_enriched", ENRICHMENT))
+            for c in row_checks(view, derived)}
+
+
+def place(table: str, check: RowCheck) -> str:
+    return f"{table}.{check.column}.{check.name}"
+
+
 def _result(table: str, column: str, check: str, failing: DataFrame) -> DataFrame:
     return failing.agg(F.count("*").alias("failing_rows")).select(
         F.lit(table).alias("table"), F.lit(column).alias("column"),
@@ -107,56 +131,58 @@ def _result(table: str, column: str, check: str, failing: DataFrame) -> DataFram
     )
 
 
-def _counted(table: str, column: str, check: str, failing: int, tables) -> DataFrame:
-    return tables[table].sparkSession.range(1).select(
-        F.lit(table).alias("table"), F.lit(column).alias("column"),
-        F.lit(check).alias("check"), F.lit(failing).cast("long").alias("failing_rows"),
-    )
+def _counted(spark: SparkSession, found: list[tuple[str, str, str, int]]) -> DataFrame:
+    """Results already known: table, column, check and failing rows."""
+    entries = F.array(*[
+        F.struct(F.lit(table).alias("table"), F.lit(column).alias("column"),
+                 F.lit(check).alias("check"), F.lit(failing).cast("long").alias("failing_rows"))
+        for table, column, check, failing in found
+    ])
+    return spark.range(1).select(F.inline(entries))
 
 
-def _row_results(tables: list[str], df: DataFrame) -> DataFrame:
-    """The row checks of all tables that hold the rows of ``df``, in one pass."""
-    found = [(table, check) for table in tables for check in row_checks(table)]
-    counts = df.agg(*[F.count_if(c.fails).alias(f"n{i}") for i, (_, c) in enumerate(found)])
+def _row_results(table: str, df: DataFrame) -> DataFrame:
+    """The row checks of a table in one pass over it."""
+    found = row_checks(table)
+    counts = df.agg(*[F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(found)])
     entries = F.array(*[
         F.struct(F.lit(table).alias("table"), F.lit(c.column).alias("column"),
                  F.lit(c.name).alias("check"), F.col(f"n{i}").alias("failing_rows"))
-        for i, (table, c) in enumerate(found)
+        for i, c in enumerate(found)
     ])
     return counts.select(F.inline(entries))
 
 
 def run_checks(
     tables: dict[str, DataFrame], repeats: dict[tuple[str, str], int] | None = None,
-    same_rows: dict[str, str] | None = None,
+    failing: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per check over built tables.
 
-    ``repeats`` holds the repeated values of (table, column) already counted.
-    ``same_rows`` names, for a view, another table with the same rows and at
-    least its columns: one pass over that table and one count serve both.
+    ``repeats`` holds the repeated values of (table, column) already counted, and
+    ``failing`` the rows that fail row checks (``watched``), counted while the
+    tables were written. Of a table that is in neither the row checks share one
+    pass, and uniqueness is an aggregate per key.
 
-    The row checks of a table share one pass, and uniqueness adds an aggregate
-    per key. Of the fact table all cross-table rules need only its customers
-    with their sums and its distinct dates, statuses and buckets; both are made
-    once and settled. Pass tables that are stored (or settled).
+    Of the fact table all cross-table rules need only its customers with their
+    sums and its distinct dates, statuses and buckets; both are made once and
+    settled. Pass tables that are stored (or settled).
     """
-    repeats, same_rows = repeats or {}, same_rows or {}
-    results = [
-        _row_results([name, *(v for v, t in same_rows.items() if t == name)], df)
-        for name, df in tables.items() if name not in same_rows
-    ]
+    repeats, failing = repeats or {}, failing or {}
+    known = [(*at, "unique", found) for at, found in repeats.items()]
+    results = []
+    for name, df in tables.items():
+        checks = row_checks(name)
+        if all(place(name, c) in failing for c in checks):
+            known += [(name, c.column, c.name, failing[place(name, c)]) for c in checks]
+        else:
+            results.append(_row_results(name, df))
+    if known:
+        results.append(_counted(tables["fact_sales"].sparkSession, known))
     for name, columns in UNIQUE.items():
         for c in columns:
-            if name not in tables or (name, c) in repeats or name in same_rows:
-                continue
-            found = Q.duplicates(tables[name], c)
-            views = [v for v, t in same_rows.items() if t == name and c in UNIQUE.get(v, [])]
-            count = F.count("*").alias("failing_rows")
-            entries = F.array(*[F.struct(F.lit(t).alias("table")) for t in [name, *views]])
-            results.append(found.agg(count).select("failing_rows", F.inline(entries)).select(
-                "table", F.lit(c).alias("column"), F.lit("unique").alias("check"), "failing_rows"))
-    results += [_counted(*place, "unique", found, tables) for place, found in repeats.items()]
+            if name in tables and (name, c) not in repeats:
+                results.append(_result(name, c, "unique", Q.duplicates(tables[name], c)))
     for name, kinds in TYPES.items():
         results.append(Q.column_types(tables[name], kinds).select(
             F.lit(name).alias("table"), F.col("column_name").alias("column"),

@@ -86,7 +86,6 @@ def agg_customers(
     shuffle of its own; with ``unique_orders`` orders are summed up before the
     only shuffle.
     """
-    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     amount, done = F.col("amount"), F.sum("is_completed")
     per_customer = (
         fact.filter(F.col("customer_id").isNotNull())
@@ -103,6 +102,12 @@ def agg_customers(
     )
     if only is not None:
         per_customer = per_customer.join(only, "customer_id", "left_semi")
+    return _customer_rows(per_customer, customers, as_of)
+
+
+def _customer_rows(per_customer: DataFrame, customers: DataFrame, as_of) -> DataFrame:
+    """The rows of the customer mart from each customer's totals."""
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     first, last = F.col("first_order_date"), F.col("last_order_date")
     total, completed = F.col("total_orders"), F.col("completed_orders")
     return per_customer.join(customers, "customer_id").select(
@@ -117,6 +122,42 @@ def agg_customers(
     )
 
 
+def customer_months(fact: DataFrame) -> DataFrame:
+    """What a customer's orders of a month and status add up to, for merging with other months.
+
+    Orders are counted, not told apart: only for a fact whose order ids are unique.
+    Status stays a key, as its completed flag may change without the orders.
+    """
+    return fact.filter(F.col("customer_id").isNotNull()).groupBy(
+        "customer_id", order_month("order_date").alias("order_month"), "status").agg(
+        F.count(F.lit(1)).alias("orders"), *numbers.money_parts(F.col("amount")),
+        F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
+
+
+def order_month(day: str) -> Column:
+    """Name of the month that a day is in, as slices of stored tables are named."""
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+
+
+def merged_customers(
+    months: DataFrame, statuses: DataFrame, customers: DataFrame,
+    as_of=None, only: DataFrame | None = None,
+) -> DataFrame:
+    """The customer mart from ``customer_months``: the same rows as ``agg_customers``.
+
+    A customer brings a row per month and status at most, whatever the number of
+    orders, so ``only`` is joined first.
+    """
+    if only is not None:
+        months = months.join(only, "customer_id", "left_semi")
+    per_customer = months.join(statuses, "status").groupBy("customer_id").agg(
+        F.sum("orders").alias("total_orders"), *numbers.merged_parts(),
+        F.min("first_day").alias("first_order_date"), F.max("last_day").alias("last_order_date"),
+        F.sum(F.col("is_completed") * F.col("orders")).alias("completed_orders"),
+    ).withColumns({"lifetime_value": numbers.parts_sum(), "avg_order_value": numbers.parts_avg()})
+    return _customer_rows(per_customer, customers, as_of)
+
+
 DAILY = ["order_date", "country", "total_orders", "revenue", "avg_order_value", "completed_orders"]
 
 
@@ -126,21 +167,32 @@ def daily_sales(
 ) -> DataFrame:
     """Orders, revenue and completions per day and country, from ``since`` on if given.
 
-    Status is a few rows and is broadcast once its size is known. Customers are
-    joined by shuffle; a customer with very many orders is split by Spark's
-    skew join, since the aggregate above shuffles anew: on (day, country, order)
-    for the distinct count, or with ``unique_orders`` one row per task, day and
-    country.
+    Status is a few rows and is broadcast once its size is known. With
+    ``unique_orders`` the orders of a customer and day are summed up, map-side
+    first, before they are joined with the customers: the join meets one row per
+    customer and day, so a customer with a third of all orders brings it as many
+    rows as there are days. Distinct orders cannot be summed up like that; they
+    are joined by shuffle, where Spark splits a hot customer, and counted in a
+    shuffle on (day, country, order).
     """
     if since is not None:
         fact = fact.filter(F.col("order_date") >= since)
-    amount = F.col("amount")
+    amount, sold = F.col("amount"), fact.join(statuses, "status")
+    if unique_orders:
+        days = sold.filter(F.col("customer_id").isNotNull()).groupBy("order_date", "customer_id").agg(
+            F.count("order_id").alias("orders"), F.sum("is_completed").alias("completed"),
+            *numbers.money_parts(amount))
+        totals = days.join(customers, "customer_id").groupBy("order_date", "country").agg(
+            F.sum("orders").alias("total_orders"), F.sum("completed").alias("completed_orders"),
+            *numbers.merged_parts())
+        return totals.select(
+            "order_date", "country", "total_orders", numbers.parts_sum().alias("revenue"),
+            numbers.parts_avg().alias("avg_order_value"), "completed_orders")
     return (
-        fact.join(statuses, "status")
-        .join(customers, "customer_id")
+        sold.join(customers, "customer_id")
         .groupBy("order_date", "country")
         .agg(
-            order_count(unique_orders).alias("total_orders"),
+            F.count_distinct("order_id").alias("total_orders"),
             numbers.money_sum(amount).alias("revenue"),
             numbers.money_avg(amount).alias("avg_order_value"),
             F.sum("is_completed").alias("completed_orders"),
@@ -148,33 +200,54 @@ def daily_sales(
     )
 
 
+def kpi_months(stored: DataFrame) -> DataFrame:
+    """What the stored days of a country and month add up to, and the last of them."""
+    return stored.groupBy("country", order_month("order_date").alias("order_month")).agg(
+        *numbers.money_parts(F.col("revenue"), numbers.MONEY_TOTAL), _last_day())
+
+
+def _last_day() -> Column:
+    return F.max_by(F.struct(*DAILY), "order_date").alias("last_day")
+
+
+def seeds(months: DataFrame, countries: DataFrame) -> DataFrame:
+    """One row per country from its ``kpi_months``: its last day, and the total of all its days."""
+    wanted = months.alias("m").join(
+        countries.alias("c"), F.col("m.country").eqNullSafe(F.col("c.country")), "left_semi")
+    merged = wanted.groupBy("country").agg(
+        F.max_by("last_day", "last_day.order_date").alias("last_day"), *numbers.merged_parts())
+    return merged.select("last_day.*", "exact", "marks")
+
+
 def sales_daily_kpi(
-    daily: DataFrame, stored: DataFrame | None = None, since: Column | None = None
+    daily: DataFrame, before: DataFrame | None = None, since: Column | None = None
 ) -> DataFrame:
     """Running total, previous day, rank and growth per day and country.
 
-    With ``stored`` and ``since`` the windows run over the stored days before
-    ``since`` and the fresh days after it, and only the fresh days come out.
-    Windows see one row per day and country, never orders: a country's window
-    holds at most as many rows as there are days.
+    With ``before`` (``seeds`` of the stored days before ``since``) the windows run
+    over one row for all of a country's earlier days and over the fresh days
+    after it, and only the fresh days come out. Windows see one row per day and
+    country, never orders.
     """
-    if stored is not None:
-        kept = stored.filter(F.col("order_date") < since).select(*DAILY)
-        daily = kept.unionByName(daily.select(*DAILY))
     days = W.partitionBy("country").orderBy("order_date")
     so_far = days.rowsBetween(W.unboundedPreceding, W.currentRow)
     ranking = W.partitionBy("order_date").orderBy(F.desc_nulls_last("revenue"))
     revenue, total = F.col("revenue"), F.col("total_orders")
-    before, total_before = F.col("revenue_prev_day"), F.col("orders_prev_day")
-    out = daily.select(
+    rows = daily.select(*DAILY, numbers.exact(revenue, numbers.MONEY_TOTAL).alias("exact"),
+                        numbers.marks(revenue).alias("marks"))
+    if before is not None:
+        rows = before.select(*rows.columns).unionByName(rows)
+    earlier, total_before = F.col("revenue_prev_day"), F.col("orders_prev_day")
+    out = rows.select(
         *DAILY,
-        numbers.money_total(revenue, so_far).alias("revenue_running_total"),
+        numbers.resolved(F.sum("exact").over(so_far), F.bit_or("marks").over(so_far)).alias(
+            "revenue_running_total"),
         F.lag("revenue").over(days).alias("revenue_prev_day"),
         F.lag("total_orders").over(days).alias("orders_prev_day"),
         F.rank().over(ranking).alias("country_revenue_rank"),
     ).select(
         "*",
-        numbers.growth_percent(revenue, before).alias("revenue_growth_pct"),
+        numbers.growth_percent(revenue, earlier).alias("revenue_growth_pct"),
         numbers.growth_percent(total, total_before).alias("orders_growth_pct"),
     )
     return out if since is None else out.filter(F.col("order_date") >= since)

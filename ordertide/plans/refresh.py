@@ -4,20 +4,21 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordertide import fixed_values as V
 from ordertide.functions import orders
 from ordertide.operators.changes import change_feed, initial_load
-from ordertide.operators.checks import duplicates, freshness
+from ordertide.operators.checks import freshness
 from ordertide.operators.history import state_at
 from ordertide.plans import models
-from ordertide.plans.check_list import run_checks
+from ordertide.plans.check_list import run_checks, watched
 from ordertide.schema import RAW_ORDERS
 from ordertide.sources.scratch import settle
 from ordertide.sources.tables import (
-    BY_LAST_MONTH, BY_MONTH, BY_VALIDITY, WHOLE, Table, create_layers)
+    BY_LAST_MONTH, BY_MONTH, BY_ORDER_MONTH, BY_VALIDITY, WHOLE, Table, create_layers)
 
 KEY = "order_id"
 TRACKED = ["status", "amount"]
@@ -36,6 +37,13 @@ STORED = {
     "sales_daily_kpi": ("marts", BY_MONTH),
 }
 
+# Stored tables that hold each order once, and the one whose versions are compared by fingerprint.
+KEYED = ["orders", "stg_orders_cdc", "fact_sales"]
+COMPARED = "orders"
+
+# What months of a stored table add up to, kept beside the marts and not published.
+STATES = {"customer_months": "fact_sales", "kpi_months": "sales_daily_kpi"}
+
 
 @dataclass
 class Report:
@@ -46,14 +54,21 @@ class Report:
     checks: DataFrame | None = None
 
 
-def open_tables(spark: SparkSession, root: str) -> dict[str, Table]:
-    """The stored tables below ``root``."""
+def open_tables(spark: SparkSession, root: str, held: bool = False) -> dict[str, Table]:
+    """The stored tables below ``root``; ``held`` by a run that is their only writer."""
     return {
-        name: Table(spark, f"{root}/{layer}/{name}", slices)
+        name: Table(
+            spark, f"{root}/{layer}/{name}", slices, key=KEY if name in KEYED else None,
+            prints=name == COMPARED, watch=partial(watched, name), held=held)
         for name, (layer, slices) in STORED.items()
     }
 
 
+def open_states(spark: SparkSession, root: str, held: bool = False) -> dict[str, Table]:
+    """The states of months below ``root``."""
+    return {name: Table(spark, f"{root}/states/{name}", BY_ORDER_MONTH, held=held) for name in STATES}
+
+
 def create_raw(spark: SparkSession, root: str, prefix: str = "") -> None:
     """The layers and, if missing, an empty raw.orders with its declared columns."""
     create_layers(spark, root, prefix)
@@ -87,6 +102,10 @@ def create_views(spark: SparkSession, prefix: str = "") -> None:
 def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
     """Load the merged table once, then bring it from the raw version it knows to the newest.
 
+    Only months of raw whose fingerprint differs between the two versions are
+    compared; a row in any other month is in both. Of the others the keys are read
+    where they may be those of a lost row.
+
     A merged table whose newest version did not come from raw (loaded by hand, or
     merged from another feed) is no raw version any more; it is compared itself.
     """
@@ -97,14 +116,22 @@ def refresh_cdc(raw: Table, merged: Table, loaded_at) -> int:
     base = known.batches.get("raw") if known.feed == "raw" else None
     if base == current.number:
         return 0
+    first = 2 * current.number
     if base is None:
         old, new = merged.read().select(*V.ORDER_COLUMNS), models.stg_orders(raw.read())
+        feed = change_feed(old, new, KEY, first)
     else:
-        old, new = raw.read(number=base), raw.read()
-    feed = change_feed(old, new, KEY, first_seq=2 * current.number)
+        feed = raw_changes(raw, base, first)
     return merged.merge(feed, KEY, loaded_at, feed="raw", batch=current.number)
 
 
+def raw_changes(raw: Table, base: int, first_seq: int = 0) -> DataFrame:
+    """The change feed from version ``base`` of raw orders to the newest; reads changed months only."""
+    changed = raw.changed_slices(base)
+    old, new = raw.read(changed, number=base), raw.read(changed)
+    return change_feed(old, new, KEY, first_seq, unchanged=raw.read_near(changed, base))
+
+
 def lookback_day(target: Table, column: str) -> date | None:
     """First day an incremental run looks at; None for an empty table."""
     newest = F.date_sub(F.max(column), V.LOOKBACK_DAYS)
@@ -130,24 +157,58 @@ def refresh_fact(raw: Table, fact: Table, full_refresh: bool = False) -> int:
     return fact.upsert(models.fact_sales(enriched, F.lit(day)), [KEY])
 
 
+def roll_up(source: Table, state: Table, build: Callable[[DataFrame], DataFrame]) -> None:
+    """Bring the states of months up to the newest version of ``source``.
+
+    Only months that some write has replaced since the version the states know are
+    read and built anew, whatever the reason of the write.
+    """
+    version, known = source.version(), state.version()
+    base = None if known is None else known.batches["source"]
+    if base == version.number:
+        return
+    months = set(version.folders) if base is None else source.changed_slices(base)
+    state.replace_slices(build(source.read(months)), months, "source", version.number)
+
+
 def refresh_customers(
-    fact: Table, statuses: DataFrame, customers: DataFrame, mart: Table,
+    fact: Table, statuses: DataFrame, customers: DataFrame, mart: Table, months: Table,
     as_of=None, full_refresh: bool = False, unique_orders: bool = False,
 ) -> int:
-    """Rebuild the customer mart, or upsert the customers active inside the lookback."""
+    """Rebuild the customer mart, or upsert the customers active inside the lookback.
+
+    Where order ids are unique the states of touched months are rebuilt and those
+    of the customers merged; the fact's other months are not read. Else orders
+    must be told apart over all months.
+    """
     day = None if full_refresh or mart.version() is None else lookback_day(mart, "last_order_date")
-    if day is None:
-        only = None
-    else:
+    only = None
+    if day is not None:
         only = settle(models.active_customers(fact.read_from(day), F.lit(day)))
-    rows = models.agg_customers(fact.read(), statuses, customers, as_of, only, unique_orders)
+    if unique_orders:
+        roll_up(fact, months, models.customer_months)
+        rows = models.merged_customers(months.read(), statuses, customers, as_of, only)
+    else:
+        rows = models.agg_customers(fact.read(), statuses, customers, as_of, only)
     if day is None:
         return mart.replace(rows)
     return mart.upsert(rows, ["customer_id"])
 
 
+def kpi_seeds(kpi: Table, months: Table, countries: DataFrame, day: date) -> DataFrame:
+    """One row per country for its stored days before ``day``.
+
+    Of whole months before it the states are merged; of its own month the days.
+    """
+    roll_up(kpi, months, models.kpi_months)
+    own = f"{day:%Y-%m}".zfill(7)
+    begun = kpi.read([own]).filter(F.col("order_date") < F.lit(day))
+    earlier = months.read([m for m in months.version().folders if m < own])
+    return models.seeds(earlier.unionByName(models.kpi_months(begun)), countries)
+
+
 def refresh_kpi(
-    fact: Table, statuses: DataFrame, customers: DataFrame, kpi: Table,
+    fact: Table, statuses: DataFrame, customers: DataFrame, kpi: Table, months: Table,
     full_refresh: bool = False, replace_window: bool = False, unique_orders: bool = False,
 ) -> int:
     """Rebuild the daily figures, or compute and store those inside the lookback.
@@ -161,8 +222,9 @@ def refresh_kpi(
             fact.read(), statuses, customers, unique_orders=unique_orders)
         return kpi.replace(models.sales_daily_kpi(daily))
     since = F.lit(day)
-    daily = models.daily_sales(fact.read_from(day), statuses, customers, since, unique_orders)
-    rows = models.sales_daily_kpi(daily, kpi.read(), since)
+    daily = settle(models.daily_sales(fact.read_from(day), statuses, customers, since, unique_orders))
+    before = kpi_seeds(kpi, months, daily.select("country").distinct(), day)
+    rows = models.sales_daily_kpi(daily, before, since)
     if replace_window:
         return kpi.replace_since(rows, "order_date", since)
     return kpi.upsert(rows, ["order_date", "country"])
@@ -179,7 +241,8 @@ def refresh(
     ``threads`` at a time. A run that broke off can be run again. ``prefix`` goes
     before the names of the layers, for several roots in one catalog.
     """
-    report, tables = Report(), open_tables(spark, root)
+    report, tables = Report(), open_tables(spark, root, held=True)
+    states = open_states(spark, root, held=True)
     create_raw(spark, root, prefix)
 
     def store(name: str, write: Callable[[Table], int]) -> DataFrame:
@@ -212,19 +275,23 @@ def refresh(
         "dim_amount_bucket": lambda table: table.replace(models.dim_amount_bucket(members)),
     })
 
-    # This check comes first: where it finds none, the marts need no distinct count.
-    repeated = duplicates(built["fact_sales"], KEY).count()
-    unique = repeated == 0
+    # Known since the fact was written: where ids are unique, the marts need no distinct count.
+    unique = tables["fact_sales"].version().repeats == 0
     star = tables["fact_sales"], built["dim_status"], built["dim_customer"]
     built |= store_all({
         "agg_customers": lambda table: refresh_customers(
-            *star, table, as_of, full_refresh, unique),
+            *star, table, states["customer_months"], as_of, full_refresh, unique),
         "sales_daily_kpi": lambda table: refresh_kpi(
-            *star, table, full_refresh, replace_window, unique),
+            *star, table, states["kpi_months"], full_refresh, replace_window, unique),
     })
     del built["orders_snapshot"]
+    failing = reduce(dict.__or__, [tables[name].failing() for name in ("orders", *built)])
+    repeats = {name: tables[name].version().repeats for name in KEYED}
+    views = {"stg_orders": staged, "int_orders_enriched": enriched}
     report.checks = settle(run_checks(
-        {"stg_orders": staged, "int_orders_enriched": enriched, **built},
-        repeats={("fact_sales", KEY): repeated}, same_rows={"stg_orders": "int_orders_enriched"},
+        {**views, **built}, repeats={
+            (name, KEY): repeats[name if name in built else "orders"]
+            for name in (*views, "stg_orders_cdc", "fact_sales")},
+        failing=failing,
     ))
     return report

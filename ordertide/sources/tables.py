@@ -1,17 +1,24 @@
 """Stored tables: immutable Parquet folders and an append-only log of versions."""
 
 import json
-from dataclasses import dataclass
-from datetime import date, datetime
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
+from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ordertide.operators.changes import merge_changes, net_changes
+from ordertide.operators.checks import duplicates
 from ordertide.operators.history import changed_groups, in_groups, scd2_apply
 from ordertide.operators.upsert import replace_window, same_key, upsert
 from ordertide.sources.scratch import settle
 
-LOG = "version long, feed string, batches map<string,long>, columns string, folders map<string,string>"
+LOG = """version long, feed string, batches map<string,long>, columns string, folders map<string,string>,
+lacks map<string,array<string>>,
+stats map<string,struct<rows:long,low:long,high:long,print:string>>, repeats long,
+watched map<string,struct<slices:int,failing:map<string,long>>>"""
 
 LAYERS = ["raw", "staging", "marts", "snapshots"]
 
@@ -19,6 +26,7 @@ WHOLE = "'all'"
 BY_MONTH = "coalesce(date_format(order_date, 'yyyy-MM'), 'none')"
 BY_LAST_MONTH = "coalesce(date_format(last_order_date, 'yyyy-MM'), 'none')"
 BY_VALIDITY = f"coalesce('closed-' || date_format(valid_to, 'yyyy-MM'), 'open-' || {BY_MONTH})"
+BY_ORDER_MONTH = "order_month"
 
 
 def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
@@ -30,20 +38,58 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{prefix}{layer}'")
 
 
+HISTORY = "history"  # the feed of a history; its batches are moments
+
+
+def _micros(moment) -> int:
+    """Microseconds of a moment without a zone, given as text or datetime."""
+    when = moment if isinstance(moment, datetime) else datetime.fromisoformat(str(moment))
+    return int((when.replace(tzinfo=None) - datetime(1970, 1, 1)) // timedelta(microseconds=1))
+
+
 def _is_month(name: str) -> bool:
     return len(name) == 7 and name[:4].isdigit()
 
 
+def row_prints(columns: list[str]) -> list[Column]:
+    """Two 64-bit hashes of a row; NULL counts as a value of its own.
+
+    Added up over rows in any order they tell two sets of rows apart, copies
+    included, up to an accident of 128 bits.
+    """
+    values = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(F.lit(salt), *values, *map(F.isnull, values)) for salt in (1, 2)]
+
+
 @dataclass(frozen=True)
 class Version:
-    """A committed version: which folder holds each slice, the feed it came from, and the
-    last batch of every feed in it."""
+    """A committed version.
+
+    number, feed and batches: its place in the log, the feed it came from, and the last batch
+    of every feed in it. folders: where each slice is; lacks: the columns a slice was written
+    without. Of tables with a key, stats: rows, range of keys and maybe the fingerprint of each
+    slice, and repeats: how many keys are there more than once. watched: of each write with
+    slices in use, how many slices it wrote and how many rows failed each watched test.
+    """
 
     number: int
     feed: str | None
     batches: dict[str, int]
     schema: T.StructType
     folders: dict[str, str]
+    lacks: dict[str, list[str]] = field(default_factory=dict)
+    stats: dict[str, dict] = field(default_factory=dict)
+    repeats: int | None = None
+    watched: dict[str, dict] = field(default_factory=dict)
+
+    def write_of(self, name: str) -> str:
+        """Number of the version that wrote a slice."""
+        return self.folders[name].split("/")[1].removeprefix("v=")
+
+    def entry(self) -> str:
+        """Its line in the log."""
+        return json.dumps(asdict(self) | {
+            "version": self.number, "schema": None, "columns": self.schema.json()})
 
 
 class Table:
@@ -57,29 +103,51 @@ class Table:
     a large slice over many files and keeps a small one in a single file. Files
     of months are sorted by day, so a bound on the day skips most of a file.
     One writer at a time, as in a daily job.
+
+    ``key``: a whole-numbered column that should hold each value once. Repeats are
+    counted while versions follow each other: slices that stayed have none among
+    themselves if the version before had none, so only new slices are looked
+    through, and those old ones whose range of keys meets theirs.
+    ``prints``: slices also get a fingerprint, so that two versions can be compared
+    slice by slice without reading them.
+    ``watch``: gives named tests that rows fail; failing rows are counted while a
+    version is written, not by reading it again.
+    ``held``: the newest version is kept in memory, for a run that is the only writer.
     """
 
-    def __init__(self, spark: SparkSession, root: str, slice_by: str = WHOLE):
+    def __init__(self, spark: SparkSession, root: str, slice_by: str = WHOLE, key: str | None = None,
+                 prints: bool = False, watch: Callable[[], dict[str, Column]] = dict, held: bool = False):
         self.spark, self.root, self.slice_by = spark, root.rstrip("/"), slice_by
+        self.key, self.prints, self.watch, self.held = key, prints, watch, held
         self.sort_by = ["slice", "order_date"] if slice_by == BY_MONTH else ["slice"]
+        self._newest: Version | None = None
 
     # -- reading -----------------------------------------------------------
 
     def version(self, number: int | None = None) -> Version | None:
-        """The newest version, or the one asked for; None if there is none.
-
-        A table not written yet gets an empty log, which is a no-op afterwards.
-        """
-        empty = self.spark.range(0).select(F.lit("").alias("value"))
-        empty.write.mode("ignore").text(f"{self.root}/log")
-        log = self.spark.read.schema(LOG).json(f"{self.root}/log")
+        """The newest version, or the one asked for; None if there is none."""
+        known = self._newest
+        if self.held and known is not None and number in (None, known.number):
+            return known
+        try:
+            log = self.spark.read.schema(LOG).json(f"{self.root}/log")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
         if number is not None:
             log = log.filter(F.col("version") == number)
         row = log.orderBy(F.desc("version")).first()
         if row is None:
             return None
-        schema = T.StructType.fromJson(json.loads(row["columns"]))
-        return Version(row["version"], row["feed"], row["batches"] or {}, schema, row["folders"])
+        found = Version(
+            row["version"], row["feed"], row["batches"] or {},
+            T.StructType.fromJson(json.loads(row["columns"])), row["folders"], row["lacks"] or {},
+            {s: stat.asDict() for s, stat in (row["stats"] or {}).items()}, row["repeats"],
+            {w: seen.asDict() for w, seen in (row["watched"] or {}).items()})
+        if number is None:
+            self._newest = found
+        return found
 
     def read(self, slices=None, number: int | None = None) -> DataFrame:
         """The rows of the newest (or given) version, of all or some slices."""
@@ -88,12 +156,29 @@ class Table:
             raise LookupError(f"no table at {self.root}")
         return self._read(version, slices)
 
+    @staticmethod
+    def _by_columns(version: Version, slices) -> list[tuple[list[str], list[str]]]:
+        """Folders of the slices, together where they lack the same columns."""
+        groups: dict[tuple, list[str]] = {}
+        for name in sorted(slices):
+            groups.setdefault(tuple(version.lacks.get(name, [])), []).append(version.folders[name])
+        return [(list(lacking), folders) for lacking, folders in sorted(groups.items())]
+
     def _read(self, version: Version, slices=None) -> DataFrame:
-        wanted = version.folders if slices is None else version.folders.keys() & set(slices)
-        paths = [f"{self.root}/{version.folders[s]}" for s in sorted(wanted)]
-        if not paths:
+        """Rows in the version's columns; NULL where a slice was written without one."""
+        wanted = version.folders.keys() if slices is None else version.folders.keys() & set(slices)
+        parts = []
+        for lacking, folders in self._by_columns(version, wanted):
+            stored = T.StructType([f for f in version.schema.fields if f.name not in lacking])
+            rows = self.spark.read.schema(stored).parquet(*[f"{self.root}/{f}" for f in folders])
+            if lacking:
+                rows = rows.select(*[
+                    (F.lit(None).cast(f.dataType) if f.name in lacking else F.col(f"`{f.name}`")).alias(f.name)
+                    for f in version.schema.fields])
+            parts.append(rows)
+        if not parts:
             return self.spark.createDataFrame([], version.schema)
-        return self.spark.read.schema(version.schema).parquet(*paths)
+        return reduce(DataFrame.unionByName, parts)
 
     def read_from(self, day: date) -> DataFrame:
         """The rows of all months that can hold ``day`` or a later one.
@@ -115,17 +200,56 @@ class Table:
     def publish(self, layer: str, name: str) -> None:
         """Point the view ``layer.name`` at the newest version."""
         version = self.version()
-        if version.folders:
-            columns = ", ".join(f"`{c}`" for c in version.schema.names)
-            folders = ",".join(sorted(version.folders.values()))
-            rows = f"SELECT {columns} FROM parquet.`{self.root}/{{{folders}}}`"
-        else:
-            columns = ", ".join(
-                f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                for f in version.schema.fields
-            )
-            rows = f"SELECT {columns} WHERE false"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {rows}")
+
+        def column(f: T.StructField, absent: bool) -> str:
+            return f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" if absent else f"`{f.name}`"
+
+        rows = []
+        for lacking, folders in self._by_columns(version, version.folders):
+            columns = ", ".join(column(f, f.name in lacking) for f in version.schema.fields)
+            rows.append(f"SELECT {columns} FROM parquet.`{self.root}/{{{','.join(folders)}}}`")
+        if not rows:
+            rows = [f"SELECT {', '.join(column(f, True) for f in version.schema.fields)} WHERE false"]
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {' UNION ALL '.join(rows)}")
+
+    # -- comparing versions ------------------------------------------------
+
+    def _same(self, a: Version, b: Version, name: str) -> bool:
+        """Whether a slice holds the same rows in both versions, as far as the log can tell."""
+        if name not in a.folders or name not in b.folders:
+            return False
+        if a.folders[name] == b.folders[name]:
+            return True
+        old, new = a.stats.get(name), b.stats.get(name)
+        return self.prints and old is not None and old == new and old["print"] is not None and (
+            a.schema.names == b.schema.names)
+
+    def changed_slices(self, since: int) -> set[str]:
+        """Names of slices whose rows may differ between version ``since`` and the newest."""
+        old, new = self.version(since), self.version()
+        if old is None:
+            return set(new.folders)
+        return {s for s in old.folders.keys() | new.folders.keys() if not self._same(old, new, s)}
+
+    def read_near(self, slices: set[str], since: int) -> DataFrame:
+        """Rows of the other slices in whose range keys lie that ``slices`` had at version ``since``."""
+        old, version = self.version(since), self.version()
+        ends = [old.stats[s] for s in slices if s in old.stats]
+        return self._read(version, self._in_range(version, version.folders.keys() - slices, ends))
+
+    @staticmethod
+    def _in_range(version: Version, slices, ends: list[dict]) -> list[str]:
+        """Those of the slices whose range of keys meets the range over ``ends``."""
+        lows = [e["low"] for e in ends if e["low"] is not None]
+        highs = [e["high"] for e in ends if e["high"] is not None]
+        if not lows:
+            return []
+        low, high = min(lows), max(highs)
+
+        def meets(stat: dict | None) -> bool:
+            return stat is None or stat["low"] is not None and stat["low"] <= high and stat["high"] >= low
+
+        return [s for s in slices if meets(version.stats.get(s))]
 
     # -- writing -----------------------------------------------------------
 
@@ -138,6 +262,13 @@ class Table:
         """
         return self._commit(rows, self.version(), {}, feed, batch, clustered)
 
+    def replace_slices(self, rows: DataFrame, slices: set[str], feed: str, batch: int) -> int:
+        """Rows take the place of whole slices, those that have none any more included."""
+        version = self.version()
+        if version is None:
+            return self.replace(rows, feed, batch)
+        return self._rewrite(version, slices, rows, feed, batch)
+
     def _rewrite(self, version: Version, touched, rows: DataFrame,
                  feed: str | None = None, batch: int | None = None) -> int:
         kept = {s: f for s, f in version.folders.items() if s not in touched}
@@ -152,22 +283,100 @@ class Table:
             placed = placed.hint("rebalance")
         elif not clustered:
             placed = placed.hint("rebalance", "slice")
+        # Observed after the last shuffle, where a task that runs again is not counted twice.
+        seen, watch = Observation(), self.watch()
+        placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("slice").alias("slices"), *[
+            F.count_if(fails).alias(f"n{i}") for i, fails in enumerate(watch.values())])
         placed.sortWithinPartitions(*self.sort_by).write.mode("overwrite").partitionBy(
             "slice"
         ).parquet(f"{self.root}/{folder}")
-        # Names and row counts come from folder names and file footers.
-        written = self.spark.read.schema("slice string").parquet(f"{self.root}/{folder}")
-        counts = {r["slice"]: r["count"] for r in written.groupBy("slice").count().collect()}
+        found = seen.get
+        fresh = {name: f"{folder}/slice={name}" for name in found["slices"]}
         batches = {} if before is None else dict(before.batches)
         if feed is not None:
             batches[feed] = batch
-        entry = json.dumps({
-            "version": number, "feed": feed, "batches": batches, "columns": rows.schema.json(),
-            "folders": {**kept, **{name: f"{folder}/slice={name}" for name in counts}},
-        })
-        line = self.spark.range(1).coalesce(1).select(F.lit(entry).alias("value"))
+        failing = {name: found[f"n{i}"] for i, name in enumerate(watch)}
+        watched = {str(number): {"slices": len(fresh), "failing": failing}}
+        lacks, stats = {}, {}
+        if before is not None:
+            used = {before.write_of(s) for s in kept}
+            watched |= {w: seen for w, seen in before.watched.items() if w in used}
+            names = set(rows.columns)
+            added = names - set(before.schema.names)
+            lacks = {s: sorted((names & set(before.lacks.get(s, []))) | added) for s in kept}
+            stats = {s: before.stats[s] for s in kept if s in before.stats}
+        version = Version(number, feed, batches, rows.schema, {**kept, **fresh},
+                          {s: c for s, c in lacks.items() if c}, stats, None, watched)
+        if self.key is not None:
+            stats |= self._stats_of(version, fresh)
+            version = Version(**{**vars(version), "repeats": self._repeats_of(version, before)})
+        line = self.spark.range(1).coalesce(1).select(F.lit(version.entry()).alias("value"))
         line.write.mode("append").text(f"{self.root}/log")
-        return sum(counts.values())
+        self._newest = version
+        return found["rows"]
+
+    def _stats_of(self, version: Version, fresh: dict[str, str]) -> dict[str, dict]:
+        """Rows, range of keys and fingerprint of the slices just written, in one pass without a shuffle
+        of rows. It reads the key alone, or all columns for fingerprints."""
+        if not fresh:
+            return {}
+        stored = T.StructType([*version.schema.fields, T.StructField("slice", T.StringType())])
+        folder = f"{self.root}/data/v={version.number}"
+        key, wide = F.col(self.key), "decimal(20,0)"
+        prints = [F.sum(h.cast(wide)).cast("string") for h in row_prints(version.schema.names)]
+        print_ = F.concat_ws(":", *prints) if self.prints else F.lit(None).cast("string")
+        rows = self.spark.read.schema(stored).parquet(folder).groupBy("slice").agg(
+            F.count(F.lit(1)).alias("rows"), F.min(key).cast("long").alias("low"),
+            F.max(key).cast("long").alias("high"), print_.alias("print"))
+        return {r["slice"]: {k: r[k] for k in ("rows", "low", "high", "print")} for r in rows.collect()}
+
+    def _repeats_of(self, version: Version, before: Version | None) -> int:
+        """How many keys of the version are there more than once."""
+        key = F.col(self.key)
+        if before is None or before.repeats != 0:
+            return duplicates(self._read(version).select(key), self.key).count()
+        same = {s for s in version.folders if self._same(before, version, s)}
+        fresh = version.folders.keys() - same
+        if not fresh:
+            return 0
+        ends = [version.stats[s] for s in fresh]
+        ids = self._read(version, fresh).select(key).filter(key.isNotNull())
+        near = self._in_range(version, same, ends)
+        if near:
+            low, high = (f(e[k] for e in ends if e[k] is not None) for f, k in ((min, "low"), (max, "high")))
+            others = self._read(version, near).select(key).filter(key.between(low, high))
+            ids = ids.unionByName(others.join(ids.distinct(), self.key, "left_semi"))
+        return duplicates(ids, self.key).count()
+
+    # -- watched tests -------------------------------------------------------
+
+    def failing(self) -> dict[str, int]:
+        """Rows that fail each watched test, from what was counted when they were written.
+
+        Counts are kept per write. Where rows failed and some of the write's slices
+        were replaced since, those that are left are read and counted again.
+        """
+        version, watch = self.version(), self.watch()
+        live: dict[str, list[str]] = {}
+        for name in version.folders:
+            live.setdefault(version.write_of(name), []).append(name)
+        counts, again = dict.fromkeys(watch, 0), {}
+        for write, slices in live.items():
+            seen = version.watched.get(write, {"slices": -1, "failing": {}})
+            for name in watch:
+                n = seen["failing"].get(name)
+                if n is not None and (n == 0 or len(slices) == seen["slices"]):
+                    counts[name] += n
+                else:
+                    again.setdefault(name, []).extend(slices)
+        if again:
+            place = F.expr(self.slice_by)
+            rows = self._read(version, {s for several in again.values() for s in several})
+            row = rows.agg(*[F.count_if(place.isin(*slices) & watch[name]).alias(f"n{i}")
+                             for i, (name, slices) in enumerate(again.items())]).first()
+            for i, name in enumerate(again):
+                counts[name] += row[f"n{i}"]
+        return counts
 
     # -- slices ------------------------------------------------------------
 
@@ -200,7 +409,7 @@ class Table:
         if version is None:
             return self.replace(updates)
         updates = settle(updates)
-        if self._reshaped(version, updates):
+        if self._retyped(version, updates):
             touched = set(version.folders)
         else:
             touched = self._slices_with(version, updates.select(*keys))
@@ -209,11 +418,13 @@ class Table:
         return self._rewrite(version, touched, rows)
 
     @staticmethod
-    def _reshaped(version: Version, rows: DataFrame) -> bool:
-        """Whether columns or types differ from the stored ones, so all slices change."""
-        return sorted(version.schema.names) != sorted(rows.columns) or any(
-            version.schema[f.name].dataType != f.dataType for f in rows.schema.fields
-        )
+    def _retyped(version: Version, rows: DataFrame) -> bool:
+        """Whether a stored column has another type now, so that all slices must be written anew.
+
+        Columns that came or went need no rewriting: slices are read without them.
+        """
+        kinds = {f.name: f.dataType for f in version.schema.fields}
+        return any(kinds.get(f.name, f.dataType) != f.dataType for f in rows.schema.fields)
 
     def replace_since(self, updates: DataFrame, day: str, since: Column) -> int:
         """Replace all rows from the day ``since`` on."""
@@ -221,7 +432,7 @@ class Table:
         if version is None:
             return self.replace(updates)
         updates = settle(updates)
-        if self._reshaped(version, updates):
+        if self._retyped(version, updates):
             touched = set(version.folders)
         else:
             touched = self._slices_of(self._read(version).filter(F.col(day) >= since))
@@ -252,10 +463,11 @@ class Table:
         Open versions are compared with the source on key and tracked values;
         only the months with a version to close or open are then rewritten.
         """
-        version = self.version()
+        version, stamp = self.version(), _micros(as_of)
         if version is None:
-            return self.replace(scd2_apply(None, source, key, tracked, as_of))
-        self._refuse_backdated(version, as_of)
+            return self.replace(scd2_apply(None, source, key, tracked, as_of), HISTORY, stamp)
+        if version.batches.get(HISTORY, stamp) > stamp:
+            raise ValueError(f"history at {self.root} has versions made after {as_of}")
         standing = self._read(version, [s for s in version.folders if s.startswith("open-")])
         changed = changed_groups(standing, source, key, tracked)
         now = F.lit(as_of).cast("timestamp_ntz")
@@ -267,15 +479,7 @@ class Table:
         if not touched:
             return 0
         rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of, changed)
-        return self._rewrite(version, touched, rows)
-
-    def _refuse_backdated(self, version: Version, as_of) -> None:
-        """A version may not end before it began: ``as_of`` must not lie before the newest one."""
-        now = F.lit(as_of).cast("timestamp_ntz")
-        newest = self._read(version).agg(F.max("valid_from").alias("at")).select(
-            "at", (F.col("at") > now).alias("later")).first()
-        if newest["later"]:
-            raise ValueError(f"history at {self.root} has versions of {newest['at']}, after {as_of}")
+        return self._rewrite(version, touched, rows, HISTORY, stamp)
 
     def read_valid(self, moment: datetime) -> DataFrame:
         """Versions of a history cut BY_VALIDITY that may be valid at ``moment`` or later."""

@@ -15,21 +15,24 @@ A null text, one without letters, or any text when nothing was learned gets
 0.5 for a tie, near 1 for a clear win, 1 for the only language. Rows with a null
 language teach nothing. Repeated rows each get their row.
 
-The sample: per language the ``SAMPLE_ROWS`` rows with the smallest hash of their
-id, of each the first ``SAMPLE_CHARS`` characters, ``MODEL_CHARS`` symbols in all.
-Only learning is bounded; every text is parsed whole.
+The sample: per language the ``SAMPLE_ROWS`` ids with the smallest hash, one row of each
+(that with the smallest sample, if rows share an id). A text of up to ``SAMPLE_CHARS``
+characters is taken whole; of a longer one ``PIECES`` pieces are taken, one from a hashed
+place in each equal part, so that nothing at its start or end counts more than the rest.
+Samples are joined until they have ``MODEL_CHARS`` symbols. Only learning is bounded;
+every text is parsed whole.
 """
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ordertide.llm.common import held_out, map_rows, quoted, type_of
 
-SAMPLE_ROWS, SAMPLE_CHARS, MODEL_CHARS, SEGMENT = 64, 2000, 20_000, 2048
+SAMPLE_ROWS, SAMPLE_CHARS, PIECES, MODEL_CHARS, SEGMENT = 64, 2000, 8, 20_000, 2048
 UNKNOWN = "und"
 SPACE = 0
 
@@ -189,31 +192,44 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
 # -- on tables --------------------------------------------------------------------
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> dict[str, str]:
-    """The sample text of each language, from rows that are not held out.
+def sampled(text: Column, rank: Column) -> Column:
+    """A short text, or pieces of a long one from hashed places all over it."""
+    size, each = F.length(text), SAMPLE_CHARS // PIECES
+    room = (size / PIECES).cast("long")  # of each part
+    pieces = [
+        F.substring(text, (k * room + F.pmod(F.xxhash64(rank, F.lit(k)), room - each + 1) + 1).cast("int"),
+                    F.lit(each)) for k in range(PIECES)]
+    return F.when(size <= SAMPLE_CHARS, text).otherwise(F.concat_ws(" ", *pieces))
+
+
+def sample_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                lang_col: str = "lang") -> DataFrame | None:
+    """Columns lang, rank and part: SAMPLE_ROWS rows of each language at most; None if there is none.
 
-    The smallest hashes are found on ids alone; Spark cuts each task's rows to
-    the first of each language before it shuffles them. Then only those rows'
-    texts are read.
+    The smallest hashes are found on ids alone; Spark cuts each task's rows to the
+    first of each language before it shuffles them. Then only the rows below the
+    largest of them are sampled; rows of one id become one before they meet.
     """
     lang, rank = quoted(lang_col).cast("string"), F.xxhash64(quoted(id_col).cast("string"))
     rows = docs.filter(lang.isNotNull() & quoted(text_col).isNotNull() & ~held_out(id_col))
-    keys = rows.select(lang.alias("lang"), rank.alias("rank"))
+    keys = rows.select(lang.alias("lang"), rank.alias("rank")).distinct()
     best = Window.partitionBy("lang").orderBy("rank")
     least = keys.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= SAMPLE_ROWS)
     bounds = least.groupBy("lang").agg(F.max("rank").alias("rank")).collect()
     if not bounds:
-        return {}
-    chosen = None
-    for b in bounds:
-        test = (lang == b["lang"]) & (rank <= b["rank"])
-        chosen = test if chosen is None else chosen | test
-    parts = rows.filter(chosen).select(
-        lang.alias("lang"), rank.alias("rank"),
-        F.substring(quoted(text_col), 1, SAMPLE_CHARS).alias("part")).collect()
+        return None
+    chosen = reduce(Column.__or__, [(lang == b["lang"]) & (rank <= b["rank"]) for b in bounds])
+    found = rows.filter(chosen).select(
+        lang.alias("lang"), rank.alias("rank"), sampled(quoted(text_col), rank).alias("part"))
+    return found.groupBy("lang", "rank").agg(F.min("part").alias("part"))
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> dict[str, str]:
+    """The sample text of each language, from rows that are not held out."""
+    rows = sample_rows(docs, id_col, text_col, lang_col)
     samples: dict[str, str] = {}
-    for row in sorted(parts, key=lambda r: (r["lang"], r["rank"], r["part"])):
+    for row in sorted(rows.collect() if rows else [], key=lambda r: (r["lang"], r["rank"])):
         if len(samples.get(row["lang"], "")) < 2 * MODEL_CHARS:
             samples[row["lang"]] = samples.get(row["lang"], "") + " " + row["part"]
     return {name: text for name, text in samples.items() if normalized(text)}

@@ -78,3 +78,39 @@ def test_edge_cases(spark):
     bare = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.identify(bare, L.learn(bare)).collect()} == {"und"}
     assert L.identify(df.limit(0), L.learn(df)).collect() == []
+
+
+def test_text_behind_a_foreign_header_teaches(spark):
+    header = "this header is the same in every document and tells nothing about it. " * 35
+    pick = random.Random(7)
+    french, english = ["le chat", "la maison", "dans", "et le chien", "sont", "avec"], [
+        "the cat", "the house", "in", "and the dog", "are", "with"]
+    rows = [(i, header + " ".join(pick.choices(french, k=40)), "fr", "") for i in range(30)] + [
+        (100 + i, header + " ".join(pick.choices(english, k=40)), "en", "") for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    samples = L.learn(df)
+    asked = spark.createDataFrame([(1, "le chat et le chien sont dans la maison"), (2, "the cat and the dog are in the house")],
+                                  "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in L.identify(asked, samples).collect()}
+    assert "chien" in samples["fr"] and got == {1: "fr", 2: "en"}
+
+
+def test_samples_come_from_all_over_a_text(spark):
+    text = " ".join(f"w{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(600)) * 10
+    rows = spark.createDataFrame([(i, text) for i in range(40)], "i long, text string")
+    parts = [r[0] for r in rows.select(L.sampled(F.col("text"), F.col("i"))).collect()]
+    each, room = L.SAMPLE_CHARS // L.PIECES, len(text) // L.PIECES
+    for part in parts:
+        assert len(part) == L.SAMPLE_CHARS + L.PIECES - 1
+        for k in range(L.PIECES):
+            assert part[k * (each + 1):][:each] in text[k * room:(k + 1) * room]
+    assert len(set(parts)) == 40
+
+
+def test_copies_of_an_id_stay_out_of_the_driver(spark):
+    copies = spark.range(30_000).select(
+        F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("the cat "), F.col("id") % 7).alias("text"),
+        F.lit("en").alias("lang"), F.lit("x").alias("score"))
+    rest = spark.range(2, 300).select("id", F.lit("the dog"), F.lit("en"), F.lit("x"))
+    rows = L.sample_rows(copies.union(rest))
+    assert rows.count() <= L.SAMPLE_ROWS and L.sample_rows(copies).collect()[0].part == "the cat 0"

@@ -10,8 +10,12 @@ text cost one row. A class is then
   the sizes), so of more than D groups of shingles (by hash) one is equal in both. A
   key is a group's number and content; classes that share no key cannot link. Sizes
   are cut into overlapping levels with a fixed D, so both sides use the same groups.
+  Keys go from the texts straight into one shuffle that sorts them; each task then
+  streams past equal keys and links their classes to the first. Nothing of their size
+  is stored.
 * joined in blocks: classes that share keys, directly or by others, are sent to one
-  block. There the shingles are hashed into ``GROUPS`` groups once more, the counts
+  block, as texts, which are half as large as their sets. There the shingles are hashed
+  into ``GROUPS`` groups once more, the counts
   per group are the class's point, and the points go into an R-tree. The summed
   minima of two points' coordinates bound the overlap of their sets from above, and
   those of a point and a node's upper corner the overlap with all sets below it.
@@ -33,6 +37,7 @@ repeated rows and ids are rows of their own.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ordertide.llm.common import WordHashes, few_files, map_rows, mix, quoted, type_of
@@ -42,7 +47,8 @@ SHINGLE, PERCENT = 3, 90
 RATIO = 1.4  # upper end of a level of sizes over its lower end
 GROUPS, LEAF, FANOUT = 32, 8, 8
 BLOCK = 2_000_000  # shingles in a block, each class counting OVERHEAD more
-OVERHEAD, DEALS, SMALL = 200, 3, 1_000_000
+OVERHEAD, DEALS = 200, 3
+SMALL, FEW = 1_000_000, 250_000  # rows of 16 and of 64 bytes that are broadcast at most
 
 
 # -- sets and keys ---------------------------------------------------------------
@@ -110,6 +116,11 @@ def node_of(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
+def short_of(node: bytes) -> int:
+    """Eight bytes of a class's name. Two classes that share them meet in a block, no more."""
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
 # -- joining a block -----------------------------------------------------------------
 
 
@@ -192,11 +203,13 @@ def join_block(sets: list[np.ndarray], known: list, percent: int) -> np.ndarray:
     return label
 
 
-def _join(percent: int):
+def _join(n: int, percent: int):
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node").sort_values("node").reset_index(drop=True)
-        sets = [np.frombuffer(s, np.uint64) for s in frame["set"]]
-        label = join_block(sets, [bytes(c).hex() for c in frame["component"]], percent)
+        hashes = WordHashes()
+        sets = [shingles(t, hashes, n) for t in frame["text"]]
+        known = [bytes(own if c is None else c).hex() for own, c in zip(frame["node"], frame["component"])]
+        label = join_block(sets, known, percent)
         links = pd.DataFrame({"a": frame["node"], "b": frame.groupby(label)["node"].transform("first")})
         return links[links["a"] != links["b"]]
 
@@ -238,44 +251,74 @@ def components(links: DataFrame) -> DataFrame:
 # -- on tables ---------------------------------------------------------------------------
 
 
-def _classes_of(n: int, percent: int):
+def _nodes_of(n: int):
     def make():
         hashes = WordHashes()
 
         def step(batch):
-            sizes, nodes, keyed = [], [], []
+            sizes, nodes, shorts = [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingles(text, hashes, n)
+                node = node_of(found) if len(found) else None
                 sizes.append(len(found))
-                nodes.append(node_of(found) if len(found) else None)
-                keyed.append(keys(found, percent).view(np.int64))
-            return [batch.column(0), batch.column(1), sizes, nodes, keyed]
+                nodes.append(node)
+                shorts.append(short_of(node) if node else None)
+            return [batch.column(0), batch.column(1), sizes, nodes, shorts]
 
         return step
 
     return make
 
 
-def _sets_of(n: int):
+def _keys_of(n: int, percent: int):
+    """Rows (key, short); a class that a task meets more than once gives its keys once."""
     def make():
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
 
         def step(batch):
-            found = [shingles(t, hashes, n) for t in batch.column(0).to_pylist()]
-            return [[node_of(f) for f in found], [len(f) for f in found],
-                    [f.tobytes() for f in found]]
+            keyed, shorts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for text in batch.column(0).to_pylist():
+                found = shingles(text, hashes, n)
+                node = node_of(found)
+                if len(found) and node not in seen:
+                    seen.add(node)
+                    keyed.append(keys(found, percent))
+                    shorts.append(np.full(len(keyed[-1]), short_of(node), np.int64))
+            return [pa.array(np.concatenate(keyed).view(np.int64)), pa.array(np.concatenate(shorts))]
 
         return step
 
     return make
 
 
-def _buckets(short: DataFrame, component: DataFrame | None) -> DataFrame:
-    """Rows (short, key) of the keys whose classes are not all in one component."""
-    rows, name = short, F.col("short")
-    if component is not None:
-        rows = short.join(component, "short", "left")
-        name = F.coalesce(F.col("component"), F.unhex(F.hex("short")))
+def _hubs():
+    """From rows sorted by key and short: each class with the first class of its keys."""
+    last_key = last_hub = None
+
+    def step(batch):
+        nonlocal last_key, last_hub
+        key, short = (c.to_numpy() for c in batch.columns)
+        new = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
+        begin = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+        hub = np.where(begin < 0, short[0] if last_hub is None else last_hub, short[begin])
+        last_key, last_hub = key[-1], hub[-1]
+        found = np.unique(np.stack([short, hub])[:, short != hub], axis=1)
+        return [pa.array(found[0]), pa.array(found[1])]
+
+    return step
+
+
+def _first_buckets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Rows (short, hub): classes that share a key hang on the same hub, or on hubs that do."""
+    keyed = map_rows(docs.select("text"), _keys_of(n, percent), "key long, short long")
+    ordered = keyed.repartition("key").sortWithinPartitions("key", "short")
+    return map_rows(ordered, _hubs, "short long, hub long", 65_536).distinct()
+
+
+def _buckets(short: DataFrame, component: DataFrame) -> DataFrame:
+    """The same of the keys whose classes are not all in one component."""
+    rows = short.join(component, "short", "left")
+    name = F.coalesce(F.col("component"), F.unhex(F.hex("short")))
     rows = rows.select("short", "key", name.alias("name"))
     mixed = rows.groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"),
                                     F.min("short").alias("hub"))
@@ -306,15 +349,28 @@ def _pairs_of_blocks(placed: DataFrame) -> DataFrame:
     return placed.filter("parts = 1").unionByName(many.withColumn("bin", pair).withColumn("part", F.lit(-1)).drop("mate"))
 
 
-def _members(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
-    """Columns node, size and set of the chosen classes, from one text of each."""
+def _with_texts(docs: DataFrame, chosen: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the chosen classes with the text of each, from its first row.
+
+    A row that is there many times gives its text once per task, and only those rows
+    are looked up by a shuffle of their own.
+    """
     same = F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.hash") == F.col("c.hash"))
-    chosen = settle(chosen.select("id", "hash").distinct())
-    if chosen.count() <= SMALL:  # 16 bytes a row; beyond that the join shuffles
-        chosen = F.broadcast(chosen)
-    texts = docs.alias("d").join(chosen.alias("c"), same, "left_semi").select("text")
-    found = map_rows(texts, _sets_of(n), "node binary, size long, set binary")
-    return settle(found.dropDuplicates(["node"]))
+    chosen = settle(chosen.select("id", "hash", "copied", *columns))
+    total, copied = chosen.agg(F.count(F.lit(1)), F.count_if("copied")).first()
+
+    def looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        wanted = F.broadcast(wanted) if total <= FEW else wanted  # beyond that the join shuffles
+        return rows.alias("d").join(wanted.alias("c"), same).select(
+            *[F.col(f"c.{c}") for c in columns], F.col("d.text"))
+
+    if not copied:
+        return looked_up(docs, chosen)
+    several = chosen.filter("copied")
+    ids = several.select("id", "hash").distinct().alias("c")
+    once = docs.alias("d").join(F.broadcast(ids) if total <= FEW else ids, same, "left_semi").select(
+        "id", "hash", "text").dropDuplicates(["id", "hash"])
+    return looked_up(docs, chosen.filter("NOT copied")).unionByName(looked_up(once, several))
 
 
 def linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
@@ -326,47 +382,43 @@ def linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
                        quoted(text_col).alias("text"))
     kind = type_of(rows, "id")
     every = settle(map_rows(
-        rows, _classes_of(n, percent),
-        f"id {kind}, hash long, size long, node binary, keys array<long>"))
-    place = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")
-    classes = settle(every.filter("node IS NOT NULL").groupBy("node").agg(
-        place, F.first("size").alias("size"), F.min("id").alias("least"),
-        F.first("keys").alias("keys")))
-    classes = classes.withColumn("short", F.xxhash64("node"))
-    short = classes.select("short", F.explode("keys").alias("key"))
-    known = classes.select("short", "node", "size", "first.id", "first.hash")
-
-    component, links, sets = None, None, None
+        rows, _nodes_of(n), f"id {kind}, hash long, size long, node binary, short long"))
+    distinct = every.filter("node IS NOT NULL").groupBy("node", "short", "size", "id", "hash").agg(
+        F.count(F.lit(1)).alias("n"))
+    place = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "n")).alias("first")
+    classes = settle(distinct.groupBy("node", "short", "size").agg(place, F.min("id").alias("least")))
+    known = classes.select("short", "node", "size", "first.id", "first.hash",
+                           (F.col("first.n") > 1).alias("copied"))
+
+    component = links = short = None
     for deal in range(DEALS + 1):
-        named = None if component is None else component.join(
-            known.select("short", "node"), "node").select("short", "component")
-        hubs = settle(_buckets(short, named))
+        if deal == 0:
+            hubs = settle(_first_buckets(rows, n, percent))
+        else:
+            named = component.join(known.select("short", "node"), "node").select("short", "component")
+            hubs = settle(_buckets(short, named))
         if hubs.isEmpty():
             break
         group = components(hubs.select(F.col("short").alias("a"), F.col("hub").alias("b")))
-        grouped = settle(known.join(group.select(
-            F.col("node").alias("short"), F.col("component").alias("group")), "short"))
-        if sets is None:
-            sets = _members(rows, grouped, n)
+        grouped = known.join(group.select(
+            F.col("node").alias("short"), F.col("component").alias("group")), "short")
         if component is not None:
             grouped = grouped.join(component, "node", "left")
         else:
             grouped = grouped.withColumn("component", F.lit(None).cast("binary"))
-        members = settle(grouped.select(
-            "node", "size", "group", F.coalesce("component", "node").alias("component")))
-        placed, split = _placed(members, deal)
+        placed, split = _placed(settle(grouped), deal)
         blocks = _pairs_of_blocks(placed) if split and deal == DEALS else placed
-        full = blocks.select("node", "bin", "part", "component").join(
-            sets.select("node", "set"), "node")
-        new = full.groupBy("bin", "part").applyInPandas(_join(percent), "a binary, b binary")
+        full = _with_texts(rows, blocks, ["bin", "part", "node", "component"])
+        new = full.groupBy("bin", "part").applyInPandas(_join(n, percent), "a binary, b binary")
         links = settle(new if links is None else new.unionByName(links))
         component = settle(components(links))
         if not split:
             break
         # Groups in one block are done; only keys of the others are looked at again.
-        again = placed.filter("parts > 1").select(F.xxhash64("node").alias("short")).distinct()
-        short = settle(short.join(again, "short", "left_semi"))
-    first = classes.select("node", "first", "least")
+        again = placed.filter("parts > 1").select("short", "id", "hash", "copied").distinct()
+        texts = _with_texts(rows, again, ["short"])
+        short = settle(map_rows(texts.select("text"), _keys_of(n, percent), "key long, short long").distinct())
+    first = classes.select("node", F.struct("first.none", "first.id", "first.hash").alias("first"), "least")
     if component is not None:
         of = first.join(component, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
@@ -397,6 +449,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = settle(found.filter((F.col("size") > 0) & ~same).select("id", "hash").distinct())
     if gone.count() <= SMALL:  # 16 bytes a row; beyond that the join shuffles
         gone = F.broadcast(gone)
-    # A condition on expressions of the left side leaves its columns, however named, alone.
-    match = quoted(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(quoted(text_col)) == F.col("__hash"))
-    return docs.join(gone.toDF("__id", "__hash"), match, "left_anti")
+    # All columns, however named, travel in one.
+    row = F.struct(*[quoted(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    packed = docs.select(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("hash"), row.alias("row"))
+    match = F.col("d.id").eqNullSafe(F.col("g.id")) & (F.col("d.hash") == F.col("g.hash"))
+    left = packed.alias("d").join(gone.alias("g"), match, "left_anti")
+    return left.select("row.*").toDF(*docs.columns)

@@ -17,20 +17,29 @@ def _same(left: str, right: str, key: str, tracked: list[str]):
 def changed_groups(
     history: DataFrame, source: DataFrame, key: str, tracked: list[str]
 ) -> DataFrame:
-    """Key and tracked values that only open versions have (``was``) or only the source (``is``).
+    """Key and tracked values that only open versions have (``was``) or only the source (``is``)."""
+    return settle(differing(history.filter(F.col("valid_to").isNull()), source, key, tracked))
+
+
+def differing(old: DataFrame, new: DataFrame, key: str, tracked: list[str],
+              shared: DataFrame | None = None) -> DataFrame:
+    """Key and tracked values that only ``old`` (``was``) or only ``new`` (``is``) has.
 
     One aggregate over the union of both sides; it combines copies before its
-    shuffle, which carries nothing but these columns. Settled, as the groups are
-    few in a daily run and Spark should know.
+    shuffle, which carries nothing but these columns. Rows known to be on both
+    sides may be left out of both; what is found in ``shared``, those of them whose
+    keys may be among these, is no difference.
     """
     values = [key, *tracked]
-    standing = history.filter(F.col("valid_to").isNull()).select(
-        *values, F.lit(True).alias("was"), F.lit(False).alias("is"))
-    current = source.filter(F.col(key).isNotNull()).select(
-        *values, F.lit(False).alias("was"), F.lit(True).alias("is"))
-    groups = standing.unionByName(current).groupBy(*values).agg(
-        F.max("was").alias("was"), F.max("is").alias("is"))
-    return settle(groups.filter(F.col("was") != F.col("is")))
+    sides = [rows.filter(F.col(key).isNotNull()).select(*values, F.lit(was).alias("was"), F.lit(not was).alias("is"))
+             for rows, was in ((old, True), (new, False))]
+    groups = sides[0].unionByName(sides[1]).groupBy(*values).agg(
+        F.max("was").alias("was"), F.max("is").alias("is")).filter(F.col("was") != F.col("is"))
+    if shared is None:
+        return groups
+    groups = settle(groups)
+    still = in_groups(shared, groups, key, tracked).select(*values).distinct()
+    return groups.alias("r").join(still.alias("g"), _same("r", "g", key, tracked), "left_anti")
 
 
 def in_groups(rows: DataFrame, groups: DataFrame, key: str, tracked: list[str]) -> DataFrame:

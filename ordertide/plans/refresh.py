@@ -12,7 +12,7 @@ from ordertide import fixed_values as V
 from ordertide.functions import orders
 from ordertide.operators.changes import change_feed, initial_load
 from ordertide.operators.checks import freshness
-from ordertide.operators.history import state_at
+from ordertide.operators.history import differing, state_at
 from ordertide.plans import models
 from ordertide.plans.check_list import run_checks, watched
 from ordertide.schema import RAW_ORDERS
@@ -37,8 +37,10 @@ STORED = {
     "sales_daily_kpi": ("marts", BY_MONTH),
 }
 
-# Stored tables that hold each order once, and the one whose versions are compared by fingerprint.
-KEYED = ["orders", "stg_orders_cdc", "fact_sales"]
+# Stored tables that should hold each order once, those that are looked up by order, and
+# the one whose versions are compared by fingerprint.
+UNIQUE = ["orders", "stg_orders_cdc", "fact_sales"]
+KEYED = [*UNIQUE, "orders_snapshot"]
 COMPARED = "orders"
 
 # What months of a stored table add up to, kept beside the marts and not published.
@@ -59,7 +61,7 @@ def open_tables(spark: SparkSession, root: str, held: bool = False) -> dict[str,
     return {
         name: Table(
             spark, f"{root}/{layer}/{name}", slices, key=KEY if name in KEYED else None,
-            prints=name == COMPARED, watch=partial(watched, name), held=held)
+            unique=name in UNIQUE, prints=name == COMPARED, watch=partial(watched, name), held=held)
         for name, (layer, slices) in STORED.items()
     }
 
@@ -132,6 +134,21 @@ def raw_changes(raw: Table, base: int, first_seq: int = 0) -> DataFrame:
     return change_feed(old, new, KEY, first_seq, unchanged=raw.read_near(changed, base))
 
 
+def refresh_history(raw: Table, history: Table, as_of) -> int:
+    """Bring the history from the raw version it has seen to the newest.
+
+    Its open versions stand for that version, so what changed since is found
+    between the two raw versions, in months whose fingerprint differs.
+    """
+    base, number = history.source_seen(), raw.version().number
+    if base is None or raw.version(base) is None:
+        return history.remember(raw.read(), KEY, TRACKED, as_of, seen=number)
+    months = raw.changed_slices(base)
+    old, new = raw.read(months, number=base), raw.read(months)
+    changed = settle(differing(old, new, KEY, TRACKED, raw.read_near(months, base)))
+    return history.remember(new, KEY, TRACKED, as_of, changed, number)
+
+
 def lookback_day(target: Table, column: str) -> date | None:
     """First day an incremental run looks at; None for an empty table."""
     newest = F.date_sub(F.max(column), V.LOOKBACK_DAYS)
@@ -254,7 +271,7 @@ def refresh(
         with ThreadPoolExecutor(threads) as pool:
             return dict(zip(writes, pool.map(store, writes, writes.values())))
 
-    source = store("orders", lambda table: table.replace(raw))
+    store("orders", lambda table: table.replace(raw))
     newest = tables["orders"].read_newest()
     report.freshness = freshness(newest, "order_date", as_of).first()["status"]
     if report.freshness == "error":
@@ -266,7 +283,7 @@ def refresh(
     # One pass over the orders serves the three small dimensions.
     members = settle(enriched.select("status", "amount_bucket", "order_date").distinct())
     built = store_all({
-        "orders_snapshot": lambda table: table.remember(source, KEY, TRACKED, as_of),
+        "orders_snapshot": lambda table: refresh_history(tables["orders"], table, as_of),
         "stg_orders_cdc": lambda table: refresh_cdc(tables["orders"], table, loaded_at),
         "fact_sales": lambda table: refresh_fact(tables["orders"], table, full_refresh),
         "dim_customer": lambda table: table.replace(models.dim_customer(staged)),
@@ -286,7 +303,7 @@ def refresh(
     })
     del built["orders_snapshot"]
     failing = reduce(dict.__or__, [tables[name].failing() for name in ("orders", *built)])
-    repeats = {name: tables[name].version().repeats for name in KEYED}
+    repeats = {name: tables[name].version().repeats for name in UNIQUE}
     views = {"stg_orders": staged, "int_orders_enriched": enriched}
     report.checks = settle(run_checks(
         {**views, **built}, repeats={

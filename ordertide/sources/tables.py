@@ -2,7 +2,7 @@
 
 import json
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace as altered
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -38,7 +38,8 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{prefix}{layer}'")
 
 
-HISTORY = "history"  # the feed of a history; its batches are moments
+# In the log of a history: the moment of its newest versions, and what they were compared with.
+HISTORY, SEEN = "history", "seen"
 
 
 def _micros(moment) -> int:
@@ -104,10 +105,12 @@ class Table:
     of months are sorted by day, so a bound on the day skips most of a file.
     One writer at a time, as in a daily job.
 
-    ``key``: a whole-numbered column that should hold each value once. Repeats are
-    counted while versions follow each other: slices that stayed have none among
-    themselves if the version before had none, so only new slices are looked
-    through, and those old ones whose range of keys meets theirs.
+    ``key``: a whole-numbered column whose range is kept for each slice, so that slices
+    which cannot hold a key are not opened.
+    ``unique``: the key should hold each value once. Repeats are counted while
+    versions follow each other: slices that stayed have none among themselves if the
+    version before had none, so only new slices are looked through, and those old
+    ones whose range of keys meets theirs.
     ``prints``: slices also get a fingerprint, so that two versions can be compared
     slice by slice without reading them.
     ``watch``: gives named tests that rows fail; failing rows are counted while a
@@ -116,9 +119,10 @@ class Table:
     """
 
     def __init__(self, spark: SparkSession, root: str, slice_by: str = WHOLE, key: str | None = None,
-                 prints: bool = False, watch: Callable[[], dict[str, Column]] = dict, held: bool = False):
+                 unique: bool = False, prints: bool = False,
+                 watch: Callable[[], dict[str, Column]] = dict, held: bool = False):
         self.spark, self.root, self.slice_by = spark, root.rstrip("/"), slice_by
-        self.key, self.prints, self.watch, self.held = key, prints, watch, held
+        self.key, self.unique, self.prints, self.watch, self.held = key, unique, prints, watch, held
         self.sort_by = ["slice", "order_date"] if slice_by == BY_MONTH else ["slice"]
         self._newest: Version | None = None
 
@@ -232,9 +236,9 @@ class Table:
         return {s for s in old.folders.keys() | new.folders.keys() if not self._same(old, new, s)}
 
     def read_near(self, slices: set[str], since: int) -> DataFrame:
-        """Rows of the other slices in whose range keys lie that ``slices`` had at version ``since``."""
+        """Rows of the other slices in whose range keys lie that ``slices`` have, or had at ``since``."""
         old, version = self.version(since), self.version()
-        ends = [old.stats[s] for s in slices if s in old.stats]
+        ends = [v.stats[s] for s in slices for v in (old, version) if s in v.stats]
         return self._read(version, self._in_range(version, version.folders.keys() - slices, ends))
 
     @staticmethod
@@ -275,7 +279,7 @@ class Table:
         return self._commit(rows, version, kept, feed, batch)
 
     def _commit(self, rows: DataFrame, before: Version | None, kept: dict[str, str],
-                feed: str | None, batch: int | None, clustered: bool = False) -> int:
+                feed: str | None, batch: int | None, clustered: bool = False, seen: int | None = None) -> int:
         number = 1 if before is None else before.number + 1
         folder = f"data/v={number}"
         placed = rows.withColumn("slice", F.expr(self.slice_by))
@@ -284,23 +288,22 @@ class Table:
         elif not clustered:
             placed = placed.hint("rebalance", "slice")
         # Observed after the last shuffle, where a task that runs again is not counted twice.
-        seen, watch = Observation(), self.watch()
-        placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("slice").alias("slices"), *[
+        observed, watch = Observation(), self.watch()
+        placed = placed.observe(observed, F.count(F.lit(1)).alias("rows"), F.collect_set("slice").alias("slices"), *[
             F.count_if(fails).alias(f"n{i}") for i, fails in enumerate(watch.values())])
         placed.sortWithinPartitions(*self.sort_by).write.mode("overwrite").partitionBy(
             "slice"
         ).parquet(f"{self.root}/{folder}")
-        found = seen.get
+        found = observed.get
         fresh = {name: f"{folder}/slice={name}" for name in found["slices"]}
-        batches = {} if before is None else dict(before.batches)
-        if feed is not None:
-            batches[feed] = batch
+        batches = {} if before is None else {f: n for f, n in before.batches.items() if f != SEEN}
+        batches |= {f: n for f, n in ((feed, batch), (SEEN, seen)) if f is not None and n is not None}
         failing = {name: found[f"n{i}"] for i, name in enumerate(watch)}
         watched = {str(number): {"slices": len(fresh), "failing": failing}}
         lacks, stats = {}, {}
         if before is not None:
             used = {before.write_of(s) for s in kept}
-            watched |= {w: seen for w, seen in before.watched.items() if w in used}
+            watched |= {w: tests for w, tests in before.watched.items() if w in used}
             names = set(rows.columns)
             added = names - set(before.schema.names)
             lacks = {s: sorted((names & set(before.lacks.get(s, []))) | added) for s in kept}
@@ -309,11 +312,15 @@ class Table:
                           {s: c for s, c in lacks.items() if c}, stats, None, watched)
         if self.key is not None:
             stats |= self._stats_of(version, fresh)
-            version = Version(**{**vars(version), "repeats": self._repeats_of(version, before)})
+        if self.unique:
+            version = altered(version, repeats=self._repeats_of(version, before))
+        self._log(version)
+        return found["rows"]
+
+    def _log(self, version: Version) -> None:
         line = self.spark.range(1).coalesce(1).select(F.lit(version.entry()).alias("value"))
         line.write.mode("append").text(f"{self.root}/log")
         self._newest = version
-        return found["rows"]
 
     def _stats_of(self, version: Version, fresh: dict[str, str]) -> dict[str, dict]:
         """Rows, range of keys and fingerprint of the slices just written, in one pass without a shuffle
@@ -331,7 +338,7 @@ class Table:
         return {r["slice"]: {k: r[k] for k in ("rows", "low", "high", "print")} for r in rows.collect()}
 
     def _repeats_of(self, version: Version, before: Version | None) -> int:
-        """How many keys of the version are there more than once."""
+        """How many keys of the version are there more than once; NULL is no key."""
         key = F.col(self.key)
         if before is None or before.repeats != 0:
             return duplicates(self._read(version).select(key), self.key).count()
@@ -457,29 +464,48 @@ class Table:
         rows = merge_changes(self._read(version, touched), changes, key, loaded_at)
         return self._rewrite(version, touched, rows, feed, batch)
 
-    def remember(self, source: DataFrame, key: str, tracked: list[str], as_of) -> int:
+    def remember(self, source: DataFrame, key: str, tracked: list[str], as_of,
+                 changed: DataFrame | None = None, seen: int | None = None) -> int:
         """Bring a history cut BY_VALIDITY up to ``as_of``.
 
         Open versions are compared with the source on key and tracked values;
         only the months with a version to close or open are then rewritten.
+
+        ``changed`` (settled): what the comparison would find, where it is known
+        already; ``source`` then needs only the rows of changed groups, and of the
+        open versions those months are read that may hold a changed key. ``seen``
+        is the source's version, to be found in the log (``source_seen``).
         """
         version, stamp = self.version(), _micros(as_of)
         if version is None:
-            return self.replace(scd2_apply(None, source, key, tracked, as_of), HISTORY, stamp)
+            first = scd2_apply(None, source, key, tracked, as_of)
+            return self._commit(first, None, {}, HISTORY, stamp, seen=seen)
         if version.batches.get(HISTORY, stamp) > stamp:
             raise ValueError(f"history at {self.root} has versions made after {as_of}")
-        standing = self._read(version, [s for s in version.folders if s.startswith("open-")])
-        changed = changed_groups(standing, source, key, tracked)
-        now = F.lit(as_of).cast("timestamp_ntz")
+        months = [s for s in version.folders if s.startswith("open-")]
+        if changed is None:
+            changed = changed_groups(self._read(version, months), source, key, tracked)
+        elif self.key == key:
+            ends = changed.agg(F.min(key).alias("low"), F.max(key).alias("high")).first().asDict()
+            months = self._in_range(version, months, [ends])
+        standing, now = self._read(version, months), F.lit(as_of).cast("timestamp_ntz")
         ended = in_groups(standing, changed.filter("was"), key, tracked)
         opened = in_groups(source, changed.filter("is"), key, tracked).withColumn(
             "valid_to", F.lit(None).cast("timestamp_ntz"))
         touched = self._slices_of(ended) | self._slices_of(opened)
         touched |= self._slices_of(ended.withColumn("valid_to", now))
         if not touched:
+            if seen is not None:  # nothing to write, but the source is newer
+                self._log(altered(version, number=version.number + 1, batches={**version.batches, SEEN: seen}))
             return 0
         rows = scd2_apply(self._read(version, touched), source, key, tracked, as_of, changed)
-        return self._rewrite(version, touched, rows, HISTORY, stamp)
+        kept = {s: f for s, f in version.folders.items() if s not in touched}
+        return self._commit(rows, version, kept, HISTORY, stamp, seen=seen)
+
+    def source_seen(self) -> int | None:
+        """The version of the source that a history's open versions stand for."""
+        version = self.version()
+        return None if version is None else version.batches.get(SEEN)
 
     def read_valid(self, moment: datetime) -> DataFrame:
         """Versions of a history cut BY_VALIDITY that may be valid at ``moment`` or later."""

@@ -307,7 +307,7 @@ def months_read(df):
 
 
 def test_change_feed_reads_changed_months_only(spark, tmp_path):
-    raw = Table(spark, f"{tmp_path}/raw", BY_MONTH, key="order_id", prints=True)
+    raw = Table(spark, f"{tmp_path}/raw", BY_MONTH, key="order_id", unique=True, prints=True)
     rows = [(100 * m + i, "C", f"2025-0{m}-1{i}", 1.0, "x", None) for m in (1, 2, 3, 4) for i in range(5)]
     raw.replace(raw_orders(spark, rows))
     changed = [(*r[:3], 2.0, *r[4:]) if r[0] == 202 else r for r in rows if r[0] != 203][::-1]
@@ -326,7 +326,7 @@ def test_change_feed_reads_changed_months_only(spark, tmp_path):
 
 
 def test_a_lost_row_whose_key_lives_on_in_another_month_is_an_update(spark, tmp_path):
-    raw = Table(spark, f"{tmp_path}/raw", BY_MONTH, key="order_id", prints=True)
+    raw = Table(spark, f"{tmp_path}/raw", BY_MONTH, key="order_id", unique=True, prints=True)
     rows = [(1, "C", "2025-01-10", 1.0, "x", "FR"), (1, "C", "2025-02-10", 2.0, "x", "FR"),
             (2, "C", "2025-01-10", 1.0, "x", "FR"), (9, "C", "2025-03-10", 1.0, "x", "FR")]
     raw.replace(raw_orders(spark, rows))
@@ -343,7 +343,7 @@ def test_null_and_value_in_other_columns_have_other_fingerprints(spark):
 
 
 def test_repeats_are_found_across_months(spark, tmp_path):
-    fact = Table(spark, str(tmp_path), BY_MONTH, key="order_id")
+    fact = Table(spark, str(tmp_path), BY_MONTH, key="order_id", unique=True)
     def rows(*spec):
         return raw_orders(spark, [(i, "C", f"2025-0{m}-10", 1.0, "x", "FR") for i, m in spec])
     fact.replace(rows((1, 1), (2, 1), (5, 2), (9, 3)))
@@ -361,7 +361,7 @@ def test_repeats_are_found_across_months(spark, tmp_path):
 
 
 def test_uniqueness_reads_only_slices_in_range(spark, tmp_path, monkeypatch):
-    fact = Table(spark, str(tmp_path), BY_MONTH, key="order_id")
+    fact = Table(spark, str(tmp_path), BY_MONTH, key="order_id", unique=True)
     def rows(*spec):
         return raw_orders(spark, [(i, "C", f"2025-0{m}-10", 1.0, "x", "FR") for i, m in spec])
     fact.replace(rows(*[(100 * m + i, m) for m in range(1, 7) for i in range(3)]))

@@ -4,6 +4,7 @@ import datetime as dt
 
 from ordertide.schema import RAW_ORDERS
 
+# The five orders that the blueprint's checked results start from.
 A = [
     (1, "C001", "2025-01-01", 120.50, "completed", "FR"),
     (2, "C002", "2025-01-02", 80.00, "completed", "FR"),

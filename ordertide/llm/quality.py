@@ -12,8 +12,8 @@ function of the sparse dot product plus a bias.
 The sample: at most ``SAMPLE_ROWS`` labelled rows that are not held out, those
 with the smallest hash of their id. Every text is scored whole. Empty and null
 texts have no features: the bias alone scores them. Without any usable label all
-scores are 0.5. Of several labels of one id the smallest counts. Repeated rows
-each get their row.
+scores are 0.5. Of several labels of one id the smallest counts, of several texts the
+smallest teaches. Repeated rows each get their row.
 """
 
 import re
@@ -122,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shards = max(1, round(sample.count() / SHARD_ROWS))
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     # SAMPLE_ROWS bounds the broadcast; the texts of other rows are not shuffled.
-    rows = texts.join(F.broadcast(sample), "id").select(
+    rows = texts.join(F.broadcast(sample), "id").groupBy("id", "rank", "label").agg(
+        F.min("text").alias("text")).select(  # copies are folded before they meet in a shard
         (F.pmod("rank", F.lit(shards))).cast("int").alias("shard"), "rank", "label", "text")
     coded = map_rows(rows, _features_of, "shard int, rank long, label int, "
                      "index array<long>, value array<double>", 128)

@@ -23,8 +23,9 @@ there without an edit. Finding the stretches takes three steps.
 3. Every candidate is verified by the exact edit distance of the item to the best
    stretch around the window (bit-parallel, any length).
 
-Items are processed in blocks of ``BLOCK`` bytes of text, so that what is sent to
-the tasks is bounded however long the benchmark is; each block scans the texts once.
+Items are processed in blocks of ``BLOCK`` bytes of text, one after the other, so that what
+the driver holds and the tasks get is bounded however long the benchmark is; each block
+scans the texts once, and with several blocks what each finds or leaves is stored.
 Items without words match nothing; equal items are all reported. An item whose id is
 null has no row in ``find_items``, but ``drop_contaminated`` drops what holds it.
 Null and empty texts hold no item. Repeated rows each get their rows.
@@ -33,6 +34,7 @@ Null and empty texts hold no item. Repeated rows each get their rows.
 import random
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ordertide.llm.common import map_rows, mix, quoted, type_of
+from ordertide.sources.scratch import settle
 
 SIMILARITY, RECALL, SAMPLES, MIN_WORDS = 0.8, 0.99, 2, 5
 MOST_ROUNDS, TRIALS, RATIO, BLOCK = 64, 400, 1.25, 4 << 20
@@ -359,8 +362,8 @@ class Index:
 # -- on tables --------------------------------------------------------------------
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = False) -> list[tuple]:
-    """The items in parts of at most about ``BLOCK`` bytes."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = False) -> Iterator[tuple[tuple, bool]]:
+    """The items in parts of at most about ``BLOCK`` bytes, one at a time, and whether there are several."""
     rows = benchmark.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).filter(
         "text IS NOT NULL").distinct()
     if not null_ids:
@@ -368,9 +371,9 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, null_ids: bool = Fa
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = total // BLOCK + 1
     part = F.pmod(F.xxhash64("id", "text"), F.lit(count))
-    return [tuple(sorted(((r["id"], r["text"]) for r in rows.filter(part == k).toLocalIterator()),
-                         key=lambda item: (item[0] is None, item)))
-            for k in range(count)]
+    for k in range(count):
+        items = ((r["id"], r["text"]) for r in rows.filter(part == k).toLocalIterator())
+        yield tuple(sorted(items, key=lambda item: (item[0] is None, item))), count > 1
 
 
 def _spans(text: str, first: int, end: int) -> tuple[int, int]:
@@ -417,8 +420,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = (f"id {type_of(rows, 'id')}, item {item_kind}, edits long, n_words long, "
               "start long, end long")
     found = None
-    for items in blocks(benchmark, item_id, item_text):
+    for items, several in blocks(benchmark, item_id, item_text):
         part = map_rows(rows, _find(items, similarity, recall), schema)
+        part = settle(part) if several else part  # the driver holds one block at a time
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col).withColumnRenamed("item", item_id)
 
@@ -428,7 +432,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                       similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """All columns of the rows whose text holds no item."""
     at, schema = docs.columns.index(text_col), docs.schema.toDDL()
-    for items in blocks(benchmark, item_id, item_text, null_ids=True):
+    for items, several in blocks(benchmark, item_id, item_text, null_ids=True):
         rounds = Index(items, similarity, recall).rounds
 
         def make(items=items, rounds=rounds):
@@ -442,4 +446,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             return step
 
         docs = map_rows(docs, make, schema)
+        docs = settle(docs) if several else docs
     return docs

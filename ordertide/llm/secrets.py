@@ -3,8 +3,9 @@
 Every text is scanned for three kinds of base matches (assign, access, hex) and
 for other long tokens that look random. The hash of every value found is then
 aggregated over the whole corpus: in how many repositories and under how many
-owners does it occur? A value under more than ``max_owners`` owners is a widely
-copied example; one that is specific to few owners and looks live is a credential.
+owners does it occur? A value under more than ``max_owners`` owners, or in more than
+``max_repos`` repositories (an owner may copy a sample into all of its own), is a widely
+copied example; one that is specific to few and looks live is a credential.
 Live tokens outside the base matches become further spans, kind ``owned``.
 
 Null texts count as empty. Owners and repositories may be null (one value of its
@@ -110,11 +111,11 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  owner_col: str = "source", repo_col: str = "doc_id",
-                 max_owners: int = 2) -> DataFrame:
+                 max_owners: int = 2, max_repos: int = 50) -> DataFrame:
     """Columns ``id_col`` and spans: array of kind, start, end, owners, repos, verdict.
 
-    ``verdict`` is "live" (looks random, at most ``max_owners`` owners), "example"
-    (more owners) or "plain" (few owners, does not look random). Base matches keep
+    ``verdict`` is "live" (looks random, at most ``max_owners`` owners and ``max_repos``
+    repositories), "example" (more of either) or "plain" (few, does not look random). Base matches keep
     their kind whatever the verdict; other tokens are listed only when live. Spans
     are sorted by start, then base kinds as listed, then ``owned``.
     """
@@ -122,7 +123,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scanned = settle(scan(docs, id_col, text_col, owner_col, repo_col).withColumn("row", row_key))
     known = ownership(scanned)
     spans = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    wide = F.col("owners") > max_owners
+    wide = (F.col("owners") > max_owners) | (F.col("repos") > max_repos)
     judged = spans.join(known, "hash").withColumn(
         "verdict", F.when(wide, "example").when(F.col("live"), "live").otherwise("plain"))
     kept = judged.filter((F.col("kind") != OWNED) | (F.col("verdict") == "live"))

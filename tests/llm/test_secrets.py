@@ -61,6 +61,17 @@ def test_owners_tell_examples_from_live_credentials(spark):
     assert {r.spans for r in run(spark, rows) if r.doc_id in (0, 20)} == {"assign:29:67,hex:35:67", ""}
 
 
+def test_one_hot_owner_copies_an_example(spark):
+    """A value in very many repositories is an example, though they have one owner."""
+    rows = [(i, f"see {LIVE}", "hot", "") for i in range(60)] + [(100 + i, f"see {LIVE}zz", "hot", "") for i in range(50)]
+    got = run(spark, rows)
+    assert {(r.doc_id < 100, r.n_live, r.n_example, r.spans) for r in got} == {
+        (True, 0, 0, ""), (False, 1, 0, f"owned:4:{6 + len(LIVE)}")}
+    rows = [(i, f"token={HEX}", "hot", "") for i in range(51)]
+    assert {(r.n_live, r.n_example) for r in run(spark, rows)} == {(0, 2)}
+    assert {(r.n_live, r.n_example) for r in run(spark, rows, max_repos=51)} == {(2, 0)}
+
+
 def test_ownership_counts(spark):
     rows = [(1, f"a {LIVE}", "o1", ""), (1, f"a {LIVE}", "o1", ""), (2, f"{LIVE}", "o1", ""),
             (3, f"{LIVE}", None, ""), (None, f"{LIVE}", None, "")]

@@ -6,12 +6,18 @@ _BASE32 = " || ".join(
     _DIGIT.format(at=1 + 10 * k, shift=shift) for k in range(4) for shift in range(35, -1, -5))
 
 WARC = f"""
-WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
- min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
-SELECT page_id, payload_bytes, payload_digest,
- CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
- CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, url, payload, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+ min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+r AS (SELECT *, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+ CASE WHEN page_id = first_id THEN payload ELSE ''::BLOB END AS block, chr(13) || chr(10) AS nl FROM d)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, sha256(encode(
+ 'WARC/1.1' || nl || 'WARC-Type: ' || record_type || nl || 'WARC-Record-ID: <urn:record:' || page_id || '>' || nl
+ || coalesce('WARC-Target-URI: ' || regexp_replace(url, '[\r\n]', ' ', 'g') || nl, '')
+ || 'WARC-Date: 1970-01-01T00:00:00Z' || nl || 'WARC-Payload-Digest: sha1:' || payload_digest || nl
+ || coalesce('WARC-Refers-To: <urn:record:' || refers_to || '>' || nl, '')
+ || 'Content-Length: ' || octet_length(block) || nl || nl) || block || encode(nl || nl)) AS record_sha256 FROM r
 """
 
 HOST_RULES = r"""

@@ -7,8 +7,8 @@ with the smallest id is the response, the others are revisits that refer to it.
 payload, and gives the original records back, byte for byte.
 
 Payloads below ``min_payload`` bytes are never shared: each of their records is a
-response. Null payloads are empty, null URLs leave their header line out. Record
-ids are expected to be unique; copies of one id are records of their own, and rows
+response. Null payloads are empty, null URLs leave their header line out. In headers
+ids are URL-encoded, so that any text can be one. Record ids are expected to be unique; copies of one id are records of their own, and rows
 with a null id are kept and sort after all others as candidates for the response.
 """
 
@@ -36,7 +36,7 @@ def _header(date: str) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
     def record(of: Column) -> Column:
-        return F.concat(F.lit("<urn:record:"), of.cast("string"), F.lit(">"))
+        return F.concat(F.lit("<urn:record:"), F.url_encode(of.cast("string")), F.lit(">"))
 
     missing = F.lit("")
     return F.concat(
@@ -114,10 +114,11 @@ def new_archive(spark: SparkSession) -> str:
 
 
 def describe(records: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """What the headers and payloads read back say of each record."""
-    refers = F.regexp_extract(_field("WARC-Refers-To"), "<urn:record:(.*)>", 1)
+    """What the headers and payloads read back say of each record, and a digest of the whole record."""
+    refers = F.url_decode(F.regexp_extract(_field("WARC-Refers-To"), "<urn:record:(.*)>", 1))
     kind = records.schema["id"].dataType
     return records.select(
         F.col("id").alias(id_col), F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
-        _field("WARC-Type").alias("record_type"), refers.cast(kind).alias("refers_to"))
+        _field("WARC-Type").alias("record_type"), refers.cast(kind).alias("refers_to"),
+        F.sha2("record", 256).alias("record_sha256"))

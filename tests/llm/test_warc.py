@@ -43,6 +43,16 @@ def test_round_trip(spark):
         (5, "revisit", 2), (4, "response", None), (7, "response", None), (7, "response", None)], key=str)
 
 
+def test_ids_of_any_text(spark):
+    ids = ["a>\r\nWARC-Type: x", "ü %41+ b", "b"]
+    pages = spark.createDataFrame([(i, "u", "same") for i in ids], "page_id string, url string, html string")
+    folder = warc.new_archive(spark)
+    warc.write_archive(pages, folder)
+    got = {r.page_id: r for r in warc.describe(warc.read_archive(spark, folder)).collect()}
+    assert set(got) == set(ids) and [got[i].refers_to for i in ids] == [None, ids[0], ids[0]]
+    assert got[ids[0]].record_type == "response" and len({r.record_sha256 for r in got.values()}) == 3
+
+
 def test_small_payloads_and_empty_table(spark):
     rows = [(1, "u", "abc", ""), (2, "u", "abc", ""), (3, "u", "abcdef", ""), (4, "u", "abcdef", "")]
     found = warc.describe(warc.read_archive(spark, archive(spark, rows, min_payload=5))).collect()

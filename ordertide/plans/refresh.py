@@ -185,6 +185,8 @@ def roll_up(source: Table, state: Table, build: Callable[[DataFrame], DataFrame]
     if base == version.number:
         return
     months = set(version.folders) if base is None else source.changed_slices(base)
+    if known is not None:
+        months |= known.folders.keys() - version.folders.keys()
     state.replace_slices(build(source.read(months)), months, "source", version.number)
 
 

@@ -111,6 +111,36 @@ def test_daily_sales_broadcast_status_and_split_the_hot_customer(spark, shop):
     assert "SortMergeJoin(skew=true)" in text
 
 
+def test_customers_meet_one_row_per_customer_and_day(spark, shop):
+    """With unique ids orders are summed up before the join, map-side first."""
+    fact, statuses, customers = star(shop)
+    expected = {tuple(r) for r in models.daily_sales(fact, statuses, customers).collect()}
+    with settings(spark, **BIG):
+        daily = models.daily_sales(fact, statuses, customers, unique_orders=True)
+        text = final_plan(daily)
+        assert {tuple(r) for r in daily.collect()} == expected
+    join = text.index("SortMergeJoin")
+    below = text[join:]
+    summed = below.index("HashAggregate(keys=[order_date")
+    assert "partial_sum" in below[summed:] and "customer_id" in below[summed:].split("\n")[0]
+    rows = fact.filter("customer_id = 'hot'").groupBy("order_date").count()
+    assert rows.count() == 300 and rows.agg(F.sum("count")).first()[0] > 60_000
+
+
+def test_customers_without_id_and_of_two_countries(spark):
+    day = "date_add(DATE'2025-01-01', int(id % 2))"
+    fact = spark.range(12).selectExpr(
+        "id AS order_id", "IF(id % 4 = 3, NULL, 'C' || id % 3) AS customer_id", f"{day} AS order_date",
+        "IF(id = 5, NULL, IF(id = 6, double('NaN'), id + 0.125)) AS amount", "IF(id % 5 = 4, NULL, 'x') AS status")
+    statuses = spark.createDataFrame([("x", 1)], "status string, is_completed int")
+    customers = spark.createDataFrame([("C0", "FR"), ("C0", "DE"), ("C1", "FR"), (None, "ES"), ("C2", None)],
+                                      "customer_id string, country string")
+    eager, plain = (models.daily_sales(fact, statuses, customers, unique_orders=u) for u in (True, False))
+    assert eager.dtypes == plain.dtypes
+    rows = sorted(map(str, eager.collect()))
+    assert rows == sorted(map(str, plain.collect())) and len(rows) > 4 and "nan" in str(rows)
+
+
 def test_customer_mart_spreads_a_customer_over_orders(spark, shop):
     fact, statuses, customers = star(shop)
     with settings(spark, **BIG):

@@ -262,7 +262,10 @@ def refresh(
     """
     report, tables = Report(), open_tables(spark, root, held=True)
     states = open_states(spark, root, held=True)
-    create_raw(spark, root, prefix)
+    if tables["orders"].version() is None:
+        create_raw(spark, root, prefix)
+    else:
+        create_layers(spark, root, prefix)
 
     def store(name: str, write: Callable[[Table], int]) -> DataFrame:
         report.rows[name] = write(tables[name])

@@ -9,7 +9,8 @@ text cost one row. A class is then
 * spread by pigeonhole keys: linked sets differ in at most D shingles (D follows from
   the sizes), so of more than D groups of shingles (by hash) one is equal in both. A
   key is a group's number and content; classes that share no key cannot link. Sizes
-  are cut into overlapping levels with a fixed D, so both sides use the same groups.
+  are cut into overlapping levels with a fixed number of groups, so both sides use the
+  same ones; of its groups a set uses the D + 1 with most shingles (``keys`` says why).
   Keys go from the texts straight into one shuffle that sorts them; each task then
   streams past equal keys and links their classes to the first. Nothing of their size
   is stored.
@@ -25,7 +26,7 @@ text cost one row. A class is then
 
 A group too large for one block is dealt over several at random, joined there, and
 its components are merged; keys whose classes are all in one component then drop
-out, and the rest is dealt anew. What still spans blocks after ``DEALS`` rounds meets
+out, and the rest is grouped by other keys and dealt anew. What still spans blocks after ``DEALS`` rounds meets
 in every pair of blocks. Nothing is dropped at any size.
 
 Words are separated by ASCII white space, compared after lower-casing A-Z. A text
@@ -88,25 +89,38 @@ def levels(size: int, percent: int) -> list[tuple[int, int]]:
     return found
 
 
-def keys(found: np.ndarray, percent: int) -> np.ndarray:
-    """Pigeonhole keys; linked sets that are not equal share one."""
-    out = []
-    spread = mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    for low, top in levels(len(found), percent):
-        most = most_different(2 * top, percent)
-        if most == 0:
+def keys(found: np.ndarray, percent: int, family: int = 0) -> np.ndarray:
+    """Pigeonhole keys; linked sets that are not equal share one.
+
+    Linked sets of a level differ in ``most`` groups at most, so all but ``most`` of the
+    filled groups of either are filled equally in the other. Of all groups that are, the
+    first by (most shingles, then by hash) has at most ``most`` others before it on
+    either side: the first ``most + 1`` groups are enough, and those with few shingles,
+    which unrelated texts share most easily, are left out. Only a set with no more
+    filled groups than that may share an empty one, whose number is a key then.
+    ``family`` numbers other ways to form groups.
+    """
+    out, size = [], len(found)
+    spread = mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5 + family))
+    place = mix(found + np.uint64(family)) if family else found
+    for low, top in levels(size, percent):
+        if most_different(2 * top, percent) == 0:
             continue
-        groups = most + 4 + most // 50  # more than ``most``, so that some may be empty
-        group = (found % np.uint64(groups)).astype(np.int64)
+        most = most_different(size + min(top, 100 * size // percent), percent)
+        groups = most_different(2 * top, percent) * 26 // 25 + 4  # more than any ``most``, as some may be empty
+        group = (place % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         first = np.flatnonzero(np.diff(group[order], prepend=-1))
-        content = np.add.reduceat(spread[order], first)
         number = group[order][first].astype(np.uint64)
         salt = np.uint64(low) << np.uint64(32)
-        out.append(mix(content + mix(number + salt)))
-        if len(first) <= most:  # the equal group may be one that both lack
+        filled = mix(np.add.reduceat(spread[order], first) + mix(number + salt))
+        if len(first) > most:
+            strong = np.lexsort([filled, -np.diff(np.append(first, size))])
+            filled = filled[strong[:most + 1]]
+        else:
             lacking = np.setdiff1d(np.arange(groups), group).astype(np.uint64)
             out.append(mix(mix(lacking + salt) + np.uint64(1)))
+        out.append(filled)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -270,7 +284,7 @@ def _nodes_of(n: int):
     return make
 
 
-def _keys_of(n: int, percent: int):
+def _keys_of(n: int, percent: int, family: int = 0):
     """Rows (key, short); a class that a task meets more than once gives its keys once."""
     def make():
         hashes, seen = WordHashes(), set()
@@ -282,7 +296,7 @@ def _keys_of(n: int, percent: int):
                 node = node_of(found)
                 if len(found) and node not in seen:
                     seen.add(node)
-                    keyed.append(keys(found, percent))
+                    keyed.append(keys(found, percent, family))
                     shorts.append(np.full(len(keyed[-1]), short_of(node), np.int64))
             return [pa.array(np.concatenate(keyed).view(np.int64)), pa.array(np.concatenate(shorts))]
 
@@ -414,10 +428,11 @@ def linked_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
         component = settle(components(links))
         if not split:
             break
-        # Groups in one block are done; only keys of the others are looked at again.
+        # Groups in one block are done; the others are grouped again by another family of keys.
         again = placed.filter("parts > 1").select("short", "id", "hash", "copied").distinct()
         texts = _with_texts(rows, again, ["short"])
-        short = settle(map_rows(texts.select("text"), _keys_of(n, percent), "key long, short long").distinct())
+        again = map_rows(texts.select("text"), _keys_of(n, percent, deal + 1), "key long, short long")
+        short = settle(again.distinct())
     first = classes.select("node", F.struct("first.none", "first.id", "first.hash").alias("first"), "least")
     if component is not None:
         of = first.join(component, "node", "left").withColumn(

@@ -115,7 +115,32 @@ def test_keys_meet_whenever_sets_link():
         b = np.unique(np.concatenate([kept, make.integers(0, 1 << 62, make.integers(
             0, size // 10 + 1)).astype(np.uint64)]))
         if ngram_join.linked(a, b, 90) and not np.array_equal(a, b):
-            assert np.intersect1d(ngram_join.keys(a, 90), ngram_join.keys(b, 90)).size
+            for family in (0, 1, 2):
+                assert np.intersect1d(ngram_join.keys(a, 90, family), ngram_join.keys(b, 90, family)).size
+
+
+def test_keys_meet_at_the_very_edge():
+    """Sets that differ in as many shingles as linked sets can, of all small sizes and some large ones."""
+    make = np.random.default_rng(11)
+    for percent in (60, 80, 90):
+        for size in [*range(2, 40), *make.integers(40, 2000, 20).tolist()]:
+            a = np.unique(make.integers(0, 1 << 62, size).astype(np.uint64))
+            for share in (0.0, 0.3, 0.5, 1.0):
+                for drop in range(len(a), -1, -max(1, len(a) // 100)):
+                    gone, new = int(drop * share), drop - int(drop * share)
+                    fresh = make.integers(0, 1 << 62, new).astype(np.uint64)
+                    b = np.unique(np.concatenate([make.permutation(a)[gone:], fresh]))
+                    if len(b) and drop and ngram_join.linked(a, b, percent):
+                        assert np.intersect1d(ngram_join.keys(a, percent), ngram_join.keys(b, percent)).size
+                        break
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c d", "x", 7, 1.0, 2, "r", 3), (2, "a b c d", "y", 8, 2.0, 3, "s", 4), (3, None, "z", 9, 3.0, 4, "t", 5)]
+    schema = "doc_id long, text string, __id string, __hash int, `a.b c` double, id int, row string, c0 int"
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, schema))
+    assert kept.columns == ["doc_id", "text", "__id", "__hash", "a.b c", "id", "row", "c0"]
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
 
 
 def test_tree_finds_all_pairs_that_the_bound_allows():

@@ -31,6 +31,7 @@ from ordertide.llm.common import few_files, map_rows, quoted, type_of
 from ordertide.sources.scratch import settle
 
 MIN_WORDS = 50
+SHARES, SPREAD = 1000, 64  # a line with that share of all repeated ones is dealt to so many tasks
 
 
 def _lines():
@@ -148,16 +149,31 @@ def suffix_ranks(starts: DataFrame, rounds: int) -> DataFrame:
     return rows
 
 
+def _found_in(lines: DataFrame, often: DataFrame) -> DataFrame:
+    """The lines that ``often`` has; those with a large share of all go to many tasks each.
+
+    At most ``SHARES`` lines can have a share of one in ``SHARES``, so they can be broadcast.
+    """
+    total = often.agg(F.sum("n")).first()[0] or 0
+    hot = often.filter(F.col("n") * SHARES >= total).select("line", F.lit(True).alias("hot"))
+    spread = F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SPREAD))).otherwise(0)
+    marked = lines.join(F.broadcast(hot), "line", "left").withColumn("salt", spread.cast("int")).drop("hot")
+    salts = F.when(F.col("n") * SHARES >= total, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(often.select("line", F.explode(salts).alias("salt")), ["line", "salt"], "left_semi").drop("salt")
+
+
 def copies(docs: DataFrame, min_words: int) -> DataFrame:
     """Columns doc and cuts: array of (first line, number of lines) of later copies."""
     kind = type_of(docs, "id")
     lines = map_rows(docs, _lines, f"doc binary, id {kind}, i long, line binary, words long")
     # A line at two places at least; copies of a row have the same places and count once.
     place = F.xxhash64("doc", "i")
-    often = lines.groupBy("line").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-    repeated = lines.join(often.filter("a <> b").select("line"), "line", "left_semi")
-    per_doc = repeated.groupBy("doc", "id").agg(F.sort_array(F.array_distinct(
-        F.collect_list(F.struct("i", "line", "words")))).alias("rows"))
+    often = settle(lines.groupBy("line").agg(
+        F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b"))
+    repeated = _found_in(lines, often)
+    # A set: of a row that is there many times, each task gives its lines once.
+    per_doc = repeated.groupBy("doc", "id").agg(F.sort_array(
+        F.collect_set(F.struct("i", "line", "words"))).alias("rows"))
     starts = settle(map_rows(
         per_doc, _stretches(min_words),
         f"doc binary, id {kind}, stretch long, i long, line binary, need long"))

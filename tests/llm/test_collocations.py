@@ -4,10 +4,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ordertide.llm import collocations as C
-from ordertide.llm.common import WordHashes, read_table
+from ordertide.llm.common import read_table
 from ordertide.llm.queries import QUERIES
 from tests.comparing import TESTDATA
 
@@ -64,25 +66,59 @@ def test_equals_plain_count(spark, monkeypatch, longest, least, top, covered):
     assert got == plain(rows, longest, least, top, covered) and got
 
 
-def test_every_place_in_one_chunk(monkeypatch):
+def plain_tokens(text):
+    out = []
+    for piece in re.split(rb"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER).encode()):
+        words = re.findall(rb"[^\x20\x09]+", piece)
+        out += words + [b"\n"] * bool(words)
+    return out
+
+
+@pytest.mark.parametrize("trigger", [1, 2, 5, 1000])
+@pytest.mark.parametrize("part", [40, 1 << 20])
+def test_every_place_in_one_chunk(monkeypatch, trigger, part):
     pick = random.Random(2)
-    for trigger in (1, 2, 5, 1000):
-        monkeypatch.setattr(C, "TRIGGER", trigger)
-        for size in (0, 1, 2, 3, 4, 5, 9, 200):
-            tokens = C.tokens_of(text_of(pick, size))
-            parsed = [c.split(b" ") for c in C.chunks(tokens, WordHashes(), 4)]
-            assert [t for c in parsed for t in c[:-4]] == tokens
-            assert all(a[-4:] == b[:4] for a, b in zip(parsed, parsed[1:]) if len(b) >= 8)
-            assert not parsed or parsed[-1][-4:] == [C.BREAK] * 4
+    monkeypatch.setattr(C, "TRIGGER", trigger)
+    monkeypatch.setattr(C, "PART", part)
+    texts = [text_of(pick, size) for size in (0, 1, 2, 3, 0, 4, 5, 9, 200)] + [None, " . ", "x", "x y", "\n\nz."]
+    parts = [(t, data) for t, text in enumerate(texts) for data in C.parts_of(text)]
+    found, of = C.chunks([data for _, data in parts], 4)
+    for t, text in enumerate(texts):
+        own = [c.split(b" ") for c, p in zip(found, of) if parts[p][0] == t]
+        assert [w for c in own for w in c[:-4]] == plain_tokens(text)
+    for p in range(len(parts)):
+        own = [c.split(b" ") for c, q in zip(found, of) if q == p]
+        # The window of a chunk's end begins the next chunk, as far as that has words of its own.
+        assert all((a[-4:] + [b"\n"] * 4)[:len(b) - 4][:4] == b[:len(b) - 4][:4] for a, b in zip(own, own[1:]))
+        assert not own or own[-1][-4:] == [b"\n"] * 4
+
+
+@pytest.mark.parametrize("texts", [[], [None], ["", " . "], ["x y z. " * 30], ["a", "x y z. " * 30], ["x y. " * 30, "a", None]])
+def test_batches_that_end_with_a_full_part(monkeypatch, texts):
+    monkeypatch.setattr(C, "PART", 40)
+    batch = pa.record_batch([pa.array(["en"] * len(texts), pa.string()), pa.array(texts, pa.string())], names=["lang", "text"])
+    langs, found, own = C._parse(4)()(batch)
+    assert len(langs) == len(found) == len(own)
+    assert [w for c, n in zip(found.to_pylist(), own) for w in c.encode().split(b" ")[:n]] == [
+        w for t in texts for w in plain_tokens(t)]
 
 
 def test_copies_make_no_new_chunks():
     """A passage of many documents is in the dictionary once, but for chunks with words around it."""
     pick = random.Random(4)
     passage = " ".join(f"w{pick.randint(0, 999)}" for _ in range(2000))
-    rows = [C.chunks(C.tokens_of(f"start{i} {passage} end{i}"), WordHashes(), 4) for i in range(50)]
-    inner = {c for r in rows for c in r if b"start" not in c and b"end" not in c}
-    assert len(inner) < len(rows[0]) and sum(map(len, rows)) > 50 * len(inner)
+    rows, _ = C.chunks([f"start{i} {passage} end{i}".encode() for i in range(50)], 4)
+    inner = {c for c in rows if b"start" not in c and b"end" not in c}
+    assert 20 < len(inner) and len(rows) > 49 * len(inner)
+
+
+def test_hashes_depend_on_bytes_alone():
+    data = np.frombuffer(b"abc ab abc b\x00 b c abca", np.uint8)
+    words = data.tobytes().split(b" ")
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    start = end - [len(w) for w in words]
+    found = C.hashes_of(data, start, end).tolist()
+    assert all((a == b) == (x == y) for a, x in zip(words, found) for b, y in zip(words, found))
 
 
 def test_full_bitmap_changes_nothing(spark, monkeypatch):

@@ -170,9 +170,8 @@ def _kpi_before(spark: SparkSession, folder: str):
 
 def _kpi_rows(fact, statuses, customers, stored):
     since = models.lookback_start(stored, "order_date")
-    daily = settle(models.daily_sales(fact, statuses, customers, since))
-    months = models.kpi_months(stored.filter(F.col("order_date") < since))
-    before = models.seeds(months, daily.select("country").distinct())
+    daily = models.daily_sales(fact, statuses, customers, since)
+    before = models.seeds(models.kpi_months(stored.filter(F.col("order_date") < since)))
     return models.sales_daily_kpi(daily, before, since), since
 
 

@@ -210,11 +210,9 @@ def _last_day() -> Column:
     return F.max_by(F.struct(*DAILY), "order_date").alias("last_day")
 
 
-def seeds(months: DataFrame, countries: DataFrame) -> DataFrame:
+def seeds(months: DataFrame) -> DataFrame:
     """One row per country from its ``kpi_months``: its last day, and the total of all its days."""
-    wanted = months.alias("m").join(
-        countries.alias("c"), F.col("m.country").eqNullSafe(F.col("c.country")), "left_semi")
-    merged = wanted.groupBy("country").agg(
+    merged = months.groupBy("country").agg(
         F.max_by("last_day", "last_day.order_date").alias("last_day"), *numbers.merged_parts())
     return merged.select("last_day.*", "exact", "marks")
 

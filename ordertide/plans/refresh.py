@@ -214,7 +214,7 @@ def refresh_customers(
     return mart.upsert(rows, ["customer_id"])
 
 
-def kpi_seeds(kpi: Table, months: Table, countries: DataFrame, day: date) -> DataFrame:
+def kpi_seeds(kpi: Table, months: Table, day: date) -> DataFrame:
     """One row per country for its stored days before ``day``.
 
     Of whole months before it the states are merged; of its own month the days.
@@ -223,7 +223,7 @@ def kpi_seeds(kpi: Table, months: Table, countries: DataFrame, day: date) -> Dat
     own = f"{day:%Y-%m}".zfill(7)
     begun = kpi.read([own]).filter(F.col("order_date") < F.lit(day))
     earlier = months.read([m for m in months.version().folders if m < own])
-    return models.seeds(earlier.unionByName(models.kpi_months(begun)), countries)
+    return models.seeds(earlier.unionByName(models.kpi_months(begun)))
 
 
 def refresh_kpi(
@@ -241,9 +241,8 @@ def refresh_kpi(
             fact.read(), statuses, customers, unique_orders=unique_orders)
         return kpi.replace(models.sales_daily_kpi(daily))
     since = F.lit(day)
-    daily = settle(models.daily_sales(fact.read_from(day), statuses, customers, since, unique_orders))
-    before = kpi_seeds(kpi, months, daily.select("country").distinct(), day)
-    rows = models.sales_daily_kpi(daily, before, since)
+    daily = models.daily_sales(fact.read_from(day), statuses, customers, since, unique_orders)
+    rows = models.sales_daily_kpi(daily, kpi_seeds(kpi, months, day), since)
     if replace_window:
         return kpi.replace_since(rows, "order_date", since)
     return kpi.upsert(rows, ["order_date", "country"])

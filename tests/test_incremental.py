@@ -408,7 +408,7 @@ def test_seeded_windows_equal_windows_over_all_days(spark, tmp_path):
     since = day("2025-02-10")
     kpi, months = Table(spark, f"{tmp_path}/kpi", BY_MONTH), Table(spark, f"{tmp_path}/months", BY_ORDER_MONTH)
     kpi.replace(stored)
-    before = kpi_seeds(kpi, months, fresh.select("country").distinct(), since)
+    before = kpi_seeds(kpi, months, since)
     assert before.count() == 4
     got = models.sales_daily_kpi(fresh, before, F.lit(since))
     whole = models.sales_daily_kpi(stored.filter("order_date < '2025-02-10'").unionByName(fresh))

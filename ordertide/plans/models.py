@@ -110,7 +110,8 @@ def _customer_rows(per_customer: DataFrame, customers: DataFrame, as_of) -> Data
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     first, last = F.col("first_order_date"), F.col("last_order_date")
     total, completed = F.col("total_orders"), F.col("completed_orders")
-    return per_customer.join(customers, "customer_id").select(
+    # Customers grow with the orders: never collected for a broadcast, whatever their files' size.
+    return per_customer.join(customers.hint("merge"), "customer_id").select(
         "customer_id", "country", "total_orders", "lifetime_value", "avg_order_value",
         "first_order_date", "last_order_date",
         F.date_diff(last, first).alias("customer_lifespan_days"),
@@ -167,7 +168,8 @@ def daily_sales(
 ) -> DataFrame:
     """Orders, revenue and completions per day and country, from ``since`` on if given.
 
-    Status is a few rows and is broadcast once its size is known. With
+    Status is a few rows and is broadcast once its size is known; customers, who
+    grow with the orders, are joined by shuffle. With
     ``unique_orders`` the orders of a customer and day are summed up, map-side
     first, before they are joined with the customers: the join meets one row per
     customer and day, so a customer with a third of all orders brings it as many
@@ -182,14 +184,14 @@ def daily_sales(
         days = sold.filter(F.col("customer_id").isNotNull()).groupBy("order_date", "customer_id").agg(
             F.count("order_id").alias("orders"), F.sum("is_completed").alias("completed"),
             *numbers.money_parts(amount))
-        totals = days.join(customers, "customer_id").groupBy("order_date", "country").agg(
+        totals = days.join(customers.hint("merge"), "customer_id").groupBy("order_date", "country").agg(
             F.sum("orders").alias("total_orders"), F.sum("completed").alias("completed_orders"),
             *numbers.merged_parts())
         return totals.select(
             "order_date", "country", "total_orders", numbers.parts_sum().alias("revenue"),
             numbers.parts_avg().alias("avg_order_value"), "completed_orders")
     return (
-        sold.join(customers, "customer_id")
+        sold.join(customers.hint("merge"), "customer_id")
         .groupBy("order_date", "country")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),

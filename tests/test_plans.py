@@ -226,6 +226,25 @@ def test_feed_splits_a_hot_key(spark, shop):
         assert feed.count() == 2 * old.count()
 
 
+def test_customers_are_never_broadcast(spark, shop):
+    """A table of customers grows with the orders; a broadcast would bring it to the driver."""
+    staged, since = models.stg_orders(shop), F.lit("2024-03-01").cast("date")
+    fact = models.fact_sales(models.int_orders_enriched(staged))
+    statuses, people = settle(models.dim_status(staged)), settle(models.dim_customer(staged))
+    months, active = settle(models.customer_months(fact)), models.active_customers(fact, since)
+    mart, spent = settle(models.merged_customers(months, statuses, people)), settle(checks.expected_values(fact))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="100m"):
+        for df, small in ((models.daily_sales(fact, statuses, people, unique_orders=True), 1),
+                          (models.daily_sales(fact, statuses, people), 1),
+                          (models.merged_customers(months, statuses, people), 1),
+                          (models.merged_customers(months, statuses, people, only=settle(active)), 2),
+                          (models.agg_customers(fact, statuses, people), 1),
+                          (checks.orphans(spent, "customer_id", people, "customer_id"), 0),
+                          (checks.value_mismatches(spent, mart), 0),
+                          (checks.customers_without_mart(spent, mart), 0)):
+            assert final_plan(df).count("BroadcastHashJoin") == small
+
+
 def test_types_are_checked_without_a_scan(spark, shop):
     right = checks.column_types(shop, {"order_id": "bigint", "amount": "double"})
     assert "FileScan" not in plan(right) and {r.failing_rows for r in right.collect()} == {0}

@@ -1,6 +1,9 @@
 """Helpers shared by the operators: input columns, Arrow batches, hashing."""
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,35 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, size)
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(build: Callable) -> Callable:
+    """``build`` with its result kept for the next task that asks for the same.
+
+    Python workers outlive their stages, so they keep a single result among all
+    functions: what one stage has loaded goes before the next one builds its own.
+    """
+    @wraps(build)
+    def found(*given):
+        key = build.__module__, build.__qualname__, given
+        if key not in _kept:
+            _kept.clear()
+            _kept[key] = build(*given)
+        return _kept[key]
+
+    return found
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker would hold it for as long as it lives."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable, schema: str, size: int = SLICE) -> DataFrame:
     """``make()`` runs once per task and gives a function from batch to arrays.
 
@@ -42,12 +74,15 @@ def map_rows(df: DataFrame, make: Callable, schema: str, size: int = SLICE) -> D
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
+        give_back()  # what other kinds of tasks left in the worker
         step = make()
         for batch in slices(batches, size):
             columns = step(batch)
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
                  for c, f in zip(columns, fields)], schema=fields)
+        step = batch = columns = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 

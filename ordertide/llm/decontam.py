@@ -35,13 +35,12 @@ import random
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordertide.llm.common import map_rows, mix, quoted, type_of
+from ordertide.llm.common import kept, map_rows, mix, quoted, type_of
 from ordertide.sources.scratch import settle
 
 SIMILARITY, RECALL, SAMPLES, MIN_WORDS = 0.8, 0.99, 2, 5
@@ -384,7 +383,7 @@ def _spans(text: str, first: int, end: int) -> tuple[int, int]:
     return found[first][0], found[end - 1][1]
 
 
-@lru_cache(maxsize=2)
+@kept
 def _index(items: tuple, similarity: float, rounds: tuple[int, ...]) -> Index:
     return Index(items, similarity, rounds=rounds)
 

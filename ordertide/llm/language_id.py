@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ordertide.llm.common import held_out, map_rows, quoted, type_of
+from ordertide.llm.common import held_out, kept, map_rows, quoted, type_of
 
 SAMPLE_ROWS, SAMPLE_CHARS, PIECES, MODEL_CHARS, SEGMENT = 64, 2000, 8, 20_000, 2048
 UNKNOWN = "und"
@@ -184,7 +184,7 @@ class Parser:
         return names, scores
 
 
-@lru_cache(maxsize=2)
+@kept
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(samples))
 

@@ -21,14 +21,13 @@ get the same pieces; texts with a null key are seeded alike.
 """
 
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordertide.llm.common import map_rows, mix, quoted, type_of
+from ordertide.llm.common import kept, map_rows, mix, quoted, type_of
 
 THETA = 1.0
 MARK, RAW_MARK = "▁", "\udc00"  # the space mark; stands for one found in a text
@@ -116,15 +115,19 @@ def _hash(codes: np.ndarray) -> np.ndarray:
 
 
 class Growing:
-    """An array that is appended to, with room for twice as much."""
+    """An array that is appended to, with room for half as much again.
+
+    Room is left as it comes and not written to, so it takes no memory until it is used.
+    """
 
     def __init__(self, kind):
-        self.data, self.size = np.zeros(1 << 16, kind), 0
+        self.data, self.size = np.empty(1 << 16, kind), 0
 
     def add(self, values: np.ndarray) -> None:
         size = self.size + len(values)
         if size > len(self.data):
-            self.data = np.concatenate([self.data[:self.size], np.zeros(2 * size, self.data.dtype)])
+            kept, self.data = self.data[:self.size], np.empty(size + size // 2, self.data.dtype)
+            self.data[:self.size] = kept
         self.data[self.size:size] = values
         self.size = size
 
@@ -137,7 +140,7 @@ class Lattices(dict):
     the last. Beyond ``bound`` nodes a new batch starts afresh, so memory is bounded.
     """
 
-    def __init__(self, vocabulary: Vocabulary, bound: int = 1_500_000):
+    def __init__(self, vocabulary: Vocabulary, bound: int = 600_000):
         super().__init__()
         self.vocabulary, self.bound = vocabulary, bound
         self.restart()
@@ -288,7 +291,7 @@ def decode(vocabulary: Vocabulary, ids: list[list[int]]) -> list[str]:
     return vocabulary.model.decode(ids) if ids else []
 
 
-@lru_cache(maxsize=2)
+@kept
 def vocabulary_of(path: str, theta: float) -> Vocabulary:
     return Vocabulary(path, theta)
 

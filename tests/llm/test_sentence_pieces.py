@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from ordertide.llm import sentence_pieces as S
+from ordertide.llm import common, language_id, sentence_pieces as S
 from ordertide.llm.common import read_table
 from ordertide.llm.queries import tokenizer
 from tests.comparing import TESTDATA
@@ -70,6 +70,21 @@ def test_bounded_store_gives_the_same(vocabulary):
     assert sum(parts, []) == whole
 
 
+def test_a_store_takes_little_more_than_its_entries():
+    grown, values = S.Growing(int), list(range(200_000))
+    for k in range(0, len(values), 5_000):
+        grown.add(values[k:k + 5_000])
+        assert len(grown.data) <= max(1 << 16, 1.5 * grown.size)
+    assert grown.data[:grown.size].tolist() == values
+
+
+def test_a_worker_keeps_one_model_at_a_time(vocabulary):
+    language_id._parser((("en", "some words"),))
+    assert len(common._kept) == 1 and vocabulary not in common._kept.values()
+    again = S.vocabulary_of(PATH, S.THETA)
+    assert list(common._kept.values()) == [again] and S.vocabulary_of(PATH, S.THETA) is again
+
+
 def test_high_theta_gets_near_the_usual_segmentation(vocabulary):
     sharp = S.Vocabulary(PATH, 30.0)
     text = "the quick brown fox jumps over the lazy dog"

@@ -63,11 +63,12 @@ def net_changes(feed: DataFrame, key: str) -> DataFrame:
     a key gained in the end is one INSERT per copy, an update if it also lost
     rows. A key that only lost rows is a DELETE, unless every such event says
     that the key is still there. Counts are combined before each shuffle, so a
-    key with very many events is no hot spot.
+    key with very many events is no hot spot. Events are folded once and settled:
+    the uses below need different columns, and each would fold them anew.
     """
     values = [c for c in feed.columns if c not in FEED]
     came = F.col("_action") == INSERT
-    rows = (
+    rows = settle(
         feed.filter(F.col(key).isNotNull() & F.col("_action").isin(INSERT, DELETE))
         .groupBy(*values)
         .agg(F.sum(F.when(came, 1).otherwise(-1)).alias("more"), F.max("_seq").alias("last"),

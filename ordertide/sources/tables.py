@@ -451,14 +451,17 @@ class Table:
               feed: str | None = None, batch: int | None = None) -> int:
         """Merge the net effect of a feed batch; one not after the feed's last is skipped.
 
-        Each feed has its own count of batches, so several may take turns.
+        Each feed has its own count of batches, so several may take turns. The feed
+        is settled before it is folded: folding reads events twice and drops NULL
+        keys, and such a filter, pushed into one of the feed's two uses of the states
+        it compares, would have Spark read and shuffle both states a second time.
         """
         version = self.version()
         if version is None:
             raise LookupError(f"load {self.root} before merging changes into it")
         if feed is not None and version.batches.get(feed, batch - 1) >= batch:
             return 0
-        changes = settle(net_changes(feed_rows, key))
+        changes = settle(net_changes(settle(feed_rows), key))
         touched = self._slices_of(changes.filter("_action = 'INSERT'"))
         touched |= self._slices_with(version, changes.select(key))
         rows = merge_changes(self._read(version, touched), changes, key, loaded_at)

@@ -174,6 +174,21 @@ def test_feed_shuffles_both_states_once(spark, shop):
     assert "ReusedExchange" in text
 
 
+def test_events_are_read_and_folded_once(spark, shop, monkeypatch):
+    group = F.col("order_id") % 1000
+    feed = settle(changes.change_feed(shop.filter(group != 0), shop.filter(group != 2), "order_id"))
+    plans, write = [], DataFrameWriter.parquet
+
+    def record(writer, *args, **more):
+        plans.append(final_plan(writer._df))
+        return write(writer, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", record)
+    net = settle(changes.net_changes(feed, "order_id"))
+    assert sum(len(re.findall(r"FileScan parquet \[[^]]*_action#", p)) for p in plans) == 1
+    assert net.groupBy("_action").count().orderBy("_action").collect() == [("DELETE", 200), ("INSERT", 200)]
+
+
 def test_small_changes_leave_the_target_unshuffled(spark, shop):
     target = changes.initial_load(shop, T1)
     net = settle(changes.net_changes(changes.change_feed(

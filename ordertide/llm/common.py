@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 # Words are separated by the six ASCII white-space characters only.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE = 512
+#: Rows that Spark hands to a Python worker at once, and the setting for it.
+BATCH, BATCH_SETTING = 1024, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def quoted(name: str) -> Column:
@@ -66,11 +68,22 @@ def give_back() -> None:
         trim(0)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Hand rows to Python by BATCH, unless the session has a size of its own.
+
+    A batch is whole in the executor and once more in the worker, outside the heap; with
+    whole texts, Spark's default of 10,000 rows takes tens of MB of each for every task.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH)
+
+
 def map_rows(df: DataFrame, make: Callable, schema: str, size: int = SLICE) -> DataFrame:
     """``make()`` runs once per task and gives a function from batch to arrays.
 
     The function returns one array (or list) per column of ``schema``.
     """
+    short_batches(df.sparkSession)
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):

@@ -21,7 +21,6 @@ get the same pieces; texts with a null key are seeded alike.
 """
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,7 @@ THETA = 1.0
 MARK, RAW_MARK = "▁", "\udc00"  # the space mark; stands for one found in a text
 STEP, PLACE = 0x9E3779B97F4A7C15, np.uint64(0xD1B54A32D192ED03)
 BASE = np.uint64(0x100000001B3)
+FEW = 16  # texts whose pieces are Python objects at a time
 
 
 class Vocabulary:
@@ -140,7 +140,7 @@ class Lattices(dict):
     the last. Beyond ``bound`` nodes a new batch starts afresh, so memory is bounded.
     """
 
-    def __init__(self, vocabulary: Vocabulary, bound: int = 600_000):
+    def __init__(self, vocabulary: Vocabulary, bound: int = 300_000):
         super().__init__()
         self.vocabulary, self.bound = vocabulary, bound
         self.restart()
@@ -160,12 +160,15 @@ class Lattices(dict):
         """The numbers of all parts, filtered if they are new, and how many each text has."""
         if self.first.size > self.bound:
             self.restart()
-        found = [self.vocabulary.split(t or "") for t in texts]
+        found = [self._numbers_of(t or "") for t in texts]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(found)), np.int64,
-                              int(sizes.sum()))
         self._filter_new()
-        return numbers, sizes
+        return np.concatenate([np.zeros(0, np.int64), *found]), sizes
+
+    def _numbers_of(self, text: str) -> np.ndarray:
+        """The numbers of a text's parts; the parts themselves are not kept."""
+        parts = self.vocabulary.split(text)
+        return np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
 
     def _filter_new(self) -> None:
         parts, self.new = self.new, []
@@ -304,11 +307,13 @@ def _encode(path: str, theta: float):
         def step(batch):
             texts = batch.column(1).to_pylist()
             ids, offsets = encode(lattices, batch.column(0).to_pylist(), texts)
-            lists = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
-            same = [back == (text or "") for back, text in zip(decode(vocabulary, lists), texts)]
+            same = []
+            for few in _runs(np.arange(len(texts)), FEW):
+                lists = [ids[offsets[k]:offsets[k + 1]].tolist() for k in few]
+                same += [back == (texts[k] or "") for k, back in zip(few, decode(vocabulary, lists))]
             column = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            return [batch.column(0), [len(x) for x in lists], column, same]
+            return [batch.column(0), np.diff(offsets).tolist(), column, same]
 
         return step
 

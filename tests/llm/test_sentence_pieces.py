@@ -95,3 +95,12 @@ def test_high_theta_gets_near_the_usual_segmentation(vocabulary):
 def test_documents(spark):
     docs = read_table(spark, f"{TESTDATA}/sf0.001", "documents")
     assert S.encode_texts(docs, PATH).filter("NOT lossless").isEmpty()
+
+
+def test_python_is_handed_few_texts_at_a_time(spark):
+    """A batch is held by the executor and by the worker; 10,000 whole texts took too much of both."""
+    rows = spark.range(3000).coalesce(1)
+    found = common.map_rows(
+        rows, lambda: lambda b: [b.column(0), [b.num_rows] * b.num_rows], "id long, held long", size=100_000)
+    sizes = found.groupBy("held").count().collect()
+    assert sum(r["count"] for r in sizes) == 3000 and max(r["held"] for r in sizes) <= common.BATCH

@@ -142,7 +142,7 @@ def refresh_history(raw: Table, history: Table, as_of) -> int:
     """
     base, number = history.source_seen(), raw.version().number
     if base is None or raw.version(base) is None:
-        return history.remember(raw.read(), KEY, TRACKED, as_of, seen=number)
+        return history.remember(raw.read(), KEY, TRACKED, as_of, seen=number, clustered=True)
     months = raw.changed_slices(base)
     old, new = raw.read(months, number=base), raw.read(months)
     changed = settle(differing(old, new, KEY, TRACKED, raw.read_near(months, base)))

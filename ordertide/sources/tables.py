@@ -38,6 +38,9 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{prefix}{layer}'")
 
 
+# The low 21 bits of a long.
+LOW = (1 << 21) - 1
+
 # In the log of a history: the moment of its newest versions, and what they were compared with.
 HISTORY, SEEN = "history", "seen"
 
@@ -62,6 +65,15 @@ def row_prints(columns: list[str]) -> list[Column]:
     return [F.xxhash64(F.lit(salt), *values, *map(F.isnull, values)) for salt in (1, 2)]
 
 
+def added_up(prints: Column) -> Column:
+    """The exact sum of 64-bit hashes, added as three longs, which no 2^41 rows overflow."""
+    parts = [prints.bitwiseAND(F.lit(LOW)), F.shiftrightunsigned(prints, 21).bitwiseAND(F.lit(LOW)),
+             F.shiftright(prints, 42)]
+    whole = [F.sum(part).cast("decimal(20,0)") * F.lit(1 << 21 * i).cast("decimal(14,0)")
+             for i, part in enumerate(parts)]
+    return reduce(Column.__add__, whole).cast("decimal(38,0)")
+
+
 @dataclass(frozen=True)
 class Version:
     """A committed version.
@@ -114,7 +126,7 @@ class Table:
     ``prints``: slices also get a fingerprint, so that two versions can be compared
     slice by slice without reading them.
     ``watch``: gives named tests that rows fail; failing rows are counted while a
-    version is written, not by reading it again.
+    version is written, or in the pass that finds the range of its keys.
     ``held``: the newest version is kept in memory, for a run that is the only writer.
     """
 
@@ -287,18 +299,29 @@ class Table:
             placed = placed.hint("rebalance")
         elif not clustered:
             placed = placed.hint("rebalance", "slice")
-        # Observed after the last shuffle, where a task that runs again is not counted twice.
-        observed, watch = Observation(), self.watch()
-        placed = placed.observe(observed, F.count(F.lit(1)).alias("rows"), F.collect_set("slice").alias("slices"), *[
-            F.count_if(fails).alias(f"n{i}") for i, fails in enumerate(watch.values())])
-        placed.sortWithinPartitions(*self.sort_by).write.mode("overwrite").partitionBy(
-            "slice"
-        ).parquet(f"{self.root}/{folder}")
-        found = observed.get
-        fresh = {name: f"{folder}/slice={name}" for name in found["slices"]}
+
+        def write(rows: DataFrame) -> None:
+            rows.sortWithinPartitions(*self.sort_by).write.mode("overwrite").partitionBy(
+                "slice"
+            ).parquet(f"{self.root}/{folder}")
+
+        if self.key is not None:
+            write(placed)
+            written = self._written(folder, rows.schema)
+            slices, count = [r["slice"] for r in written], sum(r["rows"] for r in written)
+            failing = {name: sum(r[f"n{i}"] for r in written) for i, name in enumerate(self.watch())}
+        else:
+            # Observed after the last shuffle, where a task that runs again is not counted twice.
+            observed, watch = Observation(), self.watch()
+            write(placed.observe(
+                observed, F.count(F.lit(1)).alias("rows"), F.collect_set("slice").alias("slices"),
+                *[F.count_if(fails).alias(f"n{i}") for i, fails in enumerate(watch.values())]))
+            found = observed.get
+            slices, count = found["slices"], found["rows"]
+            failing = {name: found[f"n{i}"] for i, name in enumerate(watch)}
+        fresh = {name: f"{folder}/slice={name}" for name in slices}
         batches = {} if before is None else {f: n for f, n in before.batches.items() if f != SEEN}
         batches |= {f: n for f, n in ((feed, batch), (SEEN, seen)) if f is not None and n is not None}
-        failing = {name: found[f"n{i}"] for i, name in enumerate(watch)}
         watched = {str(number): {"slices": len(fresh), "failing": failing}}
         lacks, stats = {}, {}
         if before is not None:
@@ -311,31 +334,32 @@ class Table:
         version = Version(number, feed, batches, rows.schema, {**kept, **fresh},
                           {s: c for s, c in lacks.items() if c}, stats, None, watched)
         if self.key is not None:
-            stats |= self._stats_of(version, fresh)
+            stats |= {r["slice"]: {k: r[k] for k in ("rows", "low", "high", "print")} for r in written}
         if self.unique:
             version = altered(version, repeats=self._repeats_of(version, before))
         self._log(version)
-        return found["rows"]
+        return count
 
     def _log(self, version: Version) -> None:
         line = self.spark.range(1).coalesce(1).select(F.lit(version.entry()).alias("value"))
         line.write.mode("append").text(f"{self.root}/log")
         self._newest = version
 
-    def _stats_of(self, version: Version, fresh: dict[str, str]) -> dict[str, dict]:
-        """Rows, range of keys and fingerprint of the slices just written, in one pass without a shuffle
-        of rows. It reads the key alone, or all columns for fingerprints."""
-        if not fresh:
-            return {}
-        stored = T.StructType([*version.schema.fields, T.StructField("slice", T.StringType())])
-        folder = f"{self.root}/data/v={version.number}"
-        key, wide = F.col(self.key), "decimal(20,0)"
-        prints = [F.sum(h.cast(wide)).cast("string") for h in row_prints(version.schema.names)]
+    def _written(self, folder: str, schema: T.StructType) -> list:
+        """Of the slices just written: rows, range of keys, fingerprint, and how many rows fail each
+        watched test, in one pass without a shuffle of rows.
+
+        It reads the key and the tested columns, all for fingerprints: cheaper than observing
+        rows on their way to the files, where Spark evaluates every test by interpretation.
+        """
+        stored = T.StructType([*schema.fields, T.StructField("slice", T.StringType())])
+        key = F.col(self.key)
+        prints = [added_up(h).cast("string") for h in row_prints(schema.names)]
         print_ = F.concat_ws(":", *prints) if self.prints else F.lit(None).cast("string")
-        rows = self.spark.read.schema(stored).parquet(folder).groupBy("slice").agg(
+        return self.spark.read.schema(stored).parquet(f"{self.root}/{folder}").groupBy("slice").agg(
             F.count(F.lit(1)).alias("rows"), F.min(key).cast("long").alias("low"),
-            F.max(key).cast("long").alias("high"), print_.alias("print"))
-        return {r["slice"]: {k: r[k] for k in ("rows", "low", "high", "print")} for r in rows.collect()}
+            F.max(key).cast("long").alias("high"), print_.alias("print"),
+            *[F.count_if(fails).alias(f"n{i}") for i, fails in enumerate(self.watch().values())]).collect()
 
     def _repeats_of(self, version: Version, before: Version | None) -> int:
         """How many keys of the version are there more than once; NULL is no key."""
@@ -468,7 +492,8 @@ class Table:
         return self._rewrite(version, touched, rows, feed, batch)
 
     def remember(self, source: DataFrame, key: str, tracked: list[str], as_of,
-                 changed: DataFrame | None = None, seen: int | None = None) -> int:
+                 changed: DataFrame | None = None, seen: int | None = None,
+                 clustered: bool = False) -> int:
         """Bring a history cut BY_VALIDITY up to ``as_of``.
 
         Open versions are compared with the source on key and tracked values;
@@ -477,12 +502,13 @@ class Table:
         ``changed`` (settled): what the comparison would find, where it is known
         already; ``source`` then needs only the rows of changed groups, and of the
         open versions those months are read that may hold a changed key. ``seen``
-        is the source's version, to be found in the log (``source_seen``).
+        is the source's version, to be found in the log (``source_seen``). ``clustered``:
+        the source is cut by months, as ``replace`` takes it; for a first load.
         """
         version, stamp = self.version(), _micros(as_of)
         if version is None:
             first = scd2_apply(None, source, key, tracked, as_of)
-            return self._commit(first, None, {}, HISTORY, stamp, seen=seen)
+            return self._commit(first, None, {}, HISTORY, stamp, clustered, seen)
         if version.batches.get(HISTORY, stamp) > stamp:
             raise ValueError(f"history at {self.root} has versions made after {as_of}")
         months = [s for s in version.folders if s.startswith("open-")]

@@ -302,6 +302,30 @@ def test_counts_of_failing_rows_follow_the_slices(spark, tmp_path):
     assert more.failing() == {"low": 1, "big": 1}  # a test that was not watched yet
 
 
+def test_keyed_tables_are_counted_when_read_back_and_a_first_history_is_not_shuffled(spark, tmp_path, monkeypatch):
+    from ordertide.plans.refresh import refresh_history
+    from ordertide.sources.tables import BY_VALIDITY
+
+    plans = written_plans(monkeypatch)
+    raw = Table(spark, f"{tmp_path}/raw", BY_MONTH, key="order_id", watch=lambda: {"low": F.col("amount") < 0})
+    assert raw.replace(raw_orders(spark, [])) == 0 and raw.failing() == {"low": 0}
+    rows = [(i, "C", f"2025-0{1 + i % 3}-10", 1.0 - i, "x", "FR") for i in range(6)]
+    assert raw.replace(raw_orders(spark, rows)) == 6 and raw.failing() == {"low": 4}
+    history = Table(spark, f"{tmp_path}/history", BY_VALIDITY, key="order_id")
+    assert refresh_history(raw, history, "2025-06-11 00:00:00") == 6
+    assert set(history.version().folders) == {f"open-2025-0{m}" for m in (1, 2, 3)}
+    assert not any("CollectMetrics" in p for p in plans)
+    assert "Exchange" not in next(p for p in plans if "valid_from" in p)
+
+
+def test_hashes_are_added_exactly(spark):
+    from ordertide.sources.tables import added_up
+
+    values = [-2**63, -2**63, 2**63 - 1, 2**63 - 1, 2**63 - 1, -1, 0, 12345678901234567]
+    rows = spark.createDataFrame([(v,) for v in values], "h long")
+    assert int(rows.agg(added_up(F.col("h")).alias("s")).first()["s"]) == sum(values)
+
+
 def months_read(df):
     return {re.search(r"slice=([\w-]+)", f).group(1) for f in df.inputFiles()}
 
